@@ -13,6 +13,12 @@ WS_CLASS = (
     "[\\x{09}-\\x{0d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
     "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 )
+_WS_RANGES = ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+              (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
+              (0x3000, 0x3000))
+# The same 29 characters as a plain set, for btrim.
+WS_CHARS = "".join(chr(c) for lo, hi in _WS_RANGES for c in range(lo, hi + 1))
+NON_WS_CLASS = "[^" + WS_CLASS[1:]
 # Separator of sentence spans: end punctuation followed by whitespace.
 SPAN_SPLIT = "[.!?]+[ \\t\\n\\x{0b}\\f\\r]+"
 # Token rule: lower-case, split on runs of anything but letters and digits.
@@ -25,19 +31,19 @@ def _col(c) -> Column:
 
 def normalize_ws(c) -> Column:
     """Runs of whitespace -> one space, then strip (NULL stays NULL)."""
-    return F.regexp_replace(
-        F.regexp_replace(_col(c), WS_CLASS + "+", " "), "^ | $", "")
+    # After collapsing, only one plain space can remain at either end.
+    return F.trim(F.regexp_replace(_col(c), WS_CLASS + "+", " "))
 
 
 def strip_ws(c) -> Column:
     """Python-style str.strip() on the Unicode whitespace set."""
-    return F.regexp_replace(_col(c), "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def is_blank(c) -> Column:
     """True for NULL, empty, or whitespace-only text."""
-    return F.coalesce(F.regexp_replace(_col(c), WS_CLASS + "+", "") == F.lit(""),
-                      F.lit(True))
+    # The scan stops at the first non-whitespace character.
+    return F.coalesce(~_col(c).rlike(NON_WS_CLASS), F.lit(True))
 
 
 def tokenize(c) -> Column:

@@ -74,59 +74,71 @@ def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None)
     return done.unionByName(tail).withColumn("weight", F.coalesce("weight", F.lit(0)))
 
 
-def _by_id(abstracts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return abstracts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .repartition("id")
+def _keyed_rows(abstracts: DataFrame, id_col: str, text_col: str, keep=()) -> DataFrame:
+    """(id, text, *keep) hash-partitioned by id: the one shuffle of the text.
+
+    Rows without an id cannot be keyed and are left out.
+    """
+    return (abstracts.where(F.col(id_col).isNotNull())
+            .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
+            .repartition("id"))
 
 
-def span_scores(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
-                no_repeat_ngram_size: int = 0, n_model_rows: int | None = None,
-                id_col: str = "id", text_col: str = "abstract") -> DataFrame:
-    """(id, span_pos, score, n_tok) for every scorable span of every row.
+def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
+                no_repeat_ngram_size: int = 0, n_model_rows: int | None = None) -> DataFrame:
+    """(id, span_pos, toks, score) for every span of every row of ``rows``
+    (id-partitioned). ``score`` is NULL for a span without usable tokens;
+    every row keeps at least one span, so no row is lost.
 
-    Input rows are hash-partitioned by id once; explode, weight join and both
-    aggregations then stay inside those partitions.
+    Explode, weight join and aggregation stay inside the id partitions.
     """
-    rows = _by_id(abstracts, id_col, text_col)
-    spans = rows.select("id", F.posexplode(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
+    spans = rows.select("id", F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
     toks = spans.select("id", "span_pos", F.slice(tokenize("span"), 1, max_length).alias("toks"))
-    toks = toks.where(F.size("toks") > 0)
     if no_repeat_ngram_size == 2:
+        # Adjacent token pairs; a span repeating one is not a candidate.
         pairs = F.transform(F.slice("toks", 1, F.greatest(F.size("toks") - 1, F.lit(1))),
-                            lambda t, i: F.concat(t, F.lit(" "), F.element_at("toks", i + 2)))
-        pairs = F.when(F.size("toks") > 1, pairs).otherwise(F.array().cast("array<string>"))
-        toks = toks.where(F.size(F.array_distinct(pairs)) == F.size(pairs))
+                            lambda t, i: F.concat(t, F.lit(" "), F.try_element_at("toks", i + 2)))
+        repeats = (F.size("toks") > 1) & (F.size(F.array_distinct(pairs)) < F.size(pairs))
+        toks = toks.withColumn("toks", F.when(repeats, F.array().cast("array<string>"))
+                               .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
-    tokens = toks.select("id", "span_pos", F.explode("toks").alias("token"))
+    tokens = toks.select("id", "span_pos", "toks", F.explode_outer("toks").alias("token"))
     weighted = _with_weights(tokens, model, n_model_rows)
+    n = F.count("token")
     return weighted.groupBy("id", "span_pos").agg(
-        (F.sum("weight") / F.count(F.lit(1))).alias("score"),
-        F.count(F.lit(1)).alias("n_tok"))
+        F.first("toks").alias("toks"),
+        F.when(n > 0, F.sum("weight") / n).alias("score"))
 
 
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              num_beams: int = 1, no_repeat_ngram_size: int = 0,
              n_model_rows: int | None = None, id_col: str = "id",
-             text_col: str = "abstract") -> DataFrame:
-    """Best span per row: (id, predicted_title, score) -- NULL title and
-    score for rows without any token. ``num_beams`` > 1 keeps the k best
-    spans per row with a ``beam`` rank column."""
-    scores = span_scores(abstracts, model, max_length, no_repeat_ngram_size, n_model_rows,
-                         id_col, text_col)
+             text_col: str = "abstract", keep=()) -> DataFrame:
+    """Best span per row: (id, *keep, predicted_title, score); NULL title and
+    score for rows without any usable token. ``num_beams`` > 1 keeps the k
+    best spans per row (column ``beam``). ``keep`` columns are carried over
+    from the input rows."""
+    rows = _keyed_rows(abstracts, id_col, text_col, keep)
+    scores = span_scores(rows.select("id", "text"), model, max_length, no_repeat_ngram_size,
+                         n_model_rows)
+    title = F.array_join("toks", " ")
     if num_beams <= 1:
-        best = scores.groupBy("id").agg(
-            F.max_by("span_pos", F.struct("score", (-F.col("span_pos")).alias("p"))).alias("span_pos"),
-            F.max("score").alias("score"))
+        order = F.when(F.col("score").isNotNull(),
+                       F.struct("score", (-F.col("span_pos")).alias("p")))
+        best = scores.groupBy("id").agg(F.max_by("toks", order).alias("toks"),
+                                        F.max("score").alias("score"))
+        out = best.select("id", F.when(F.col("score").isNotNull(), title).alias("predicted_title"),
+                          "score")
     else:
-        w = Window.partitionBy("id").orderBy(F.col("score").desc(), F.col("span_pos"))
-        best = scores.withColumn("beam", F.row_number().over(w)).where(F.col("beam") <= num_beams) \
-            .drop("n_tok")
-    # Same id partitioning as the scores: the join back adds no exchange.
-    out = _by_id(abstracts, id_col, text_col).join(best, "id", "left")
-    span = F.element_at(F.split("text", SPAN_SPLIT), F.col("span_pos") + 1)
-    title = F.array_join(F.slice(tokenize(span), 1, max_length), " ")
-    cols = ["id", F.when(F.col("span_pos").isNotNull(), title).alias("predicted_title"), "score"]
-    if num_beams > 1:
-        cols.append("beam")
-    return out.select(*cols)
+        w = Window.partitionBy("id").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"))
+        ranked = scores.withColumn("beam", F.row_number().over(w))
+        kept = ranked.where(((F.col("beam") <= num_beams) & F.col("score").isNotNull())
+                            | ((F.col("beam") == 1) & F.col("score").isNull()))
+        scored = F.col("score").isNotNull()
+        out = kept.select("id", F.when(scored, title).alias("predicted_title"), "score",
+                          F.when(scored, F.col("beam")).alias("beam"))
+    if keep:
+        # Both sides come from the same id-partitioned rows: no new exchange.
+        out = rows.select("id", *keep).join(out, "id", "left")
+    return out

@@ -91,7 +91,9 @@ class HashOrder:
         if k >= total:
             return F.lit(True)
         bh, bk = self.boundary(k)
-        return (self.h < F.lit(bh)) | ((self.h == F.lit(bh)) & (F.col(self.key) <= F.lit(bk)))
+        # One md5 per row: (h, key) <= (h_k, key_k) as a struct comparison.
+        return (F.struct(self.h.alias("h"), F.col(self.key).alias("k"))
+                <= F.struct(F.lit(bh).alias("h"), F.lit(bk).alias("k")))
 
     # -- rank ------------------------------------------------------------
     def rank(self, rank_col: str = "rank", group_cols=()) -> DataFrame:

@@ -42,7 +42,7 @@ def sample_n_reindexed(df: DataFrame, n: int, seed=42, key: str = "id",
         picked = sample_n(df, n, seed, key)
         # The window only sees the n rows left by the top-n.
         pos = F.row_number().over(Window.orderBy(seeded_hash(key, seed), F.col(key)))
-        return picked.withColumn(index_col, pos - 1)
+        return picked.withColumn(index_col, (pos - 1).cast("long"))
     ranked = hash_rank(df.where(order.cut(n)), key, seed, index_col)
     return ranked.withColumn(index_col, F.col(index_col) - 1)
 

@@ -10,7 +10,6 @@ on a bad record.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from titlecorpus.operators.model import generate
@@ -23,10 +22,10 @@ def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | Non
                   max_length: int = 128) -> DataFrame:
     """(id, abstract, predicted_title, error) for one batch of requests."""
     checked = validate_requests(requests)
-    titles = generate(checked.where(F.col("error").isNull()).select("id", "clean"), model,
-                      max_length=max_length, n_model_rows=n_model_rows, text_col="clean")
-    return checked.join(titles.select("id", "predicted_title"), "id", "left").select(
-        "id", "abstract", "predicted_title", "error")
+    # Invalid rows have a NULL ``clean`` text and so get a NULL title.
+    out = generate(checked, model, max_length=max_length, n_model_rows=n_model_rows,
+                   text_col="clean", keep=("abstract", "error"))
+    return out.select("id", "abstract", "predicted_title", "error")
 
 
 def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame,
