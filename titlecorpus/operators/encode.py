@@ -44,7 +44,8 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     bounded. ``mask_pad`` turns padding in the labels into -100.
     """
     def tagged(col, side, length):
-        return F.transform(F.slice(tokenize(col), 1, length),
+        # A NULL text encodes like an empty one (all padding).
+        return F.transform(F.slice(tokenize(F.coalesce(F.col(col), F.lit(""))), 1, length),
                            lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"),
                                                  t.alias("token")))
 
