@@ -37,11 +37,13 @@ def _pad(ids, length: int):
 
 def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
            target_col: str = "target_text", input_len: int = 512, label_len: int = 128,
-           mask_pad: bool = False, id_col: str = "id") -> DataFrame:
+           mask_pad: bool = False, id_col: str = "id", keep=()) -> DataFrame:
     """(id, input_ids[input_len], labels[label_len]) with right padding.
 
     Tokens are cut to the length *before* the explode, so a row's fan-out is
-    bounded. ``mask_pad`` turns padding in the labels into -100.
+    bounded. ``mask_pad`` turns padding in the labels into -100. ``keep``
+    columns (functions of the id, e.g. the split name) are carried along as
+    extra grouping keys, which the id partitioning already satisfies.
     """
     def tagged(col, side, length):
         # A NULL text encodes like an empty one (all padding).
@@ -50,9 +52,10 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
                                                  t.alias("token")))
 
     items = F.concat(tagged(input_col, 0, input_len), tagged(target_col, 1, label_len))
-    rows = df.select(F.col(id_col).alias("_id"), items.alias("_items")).repartition("_id")
-    exploded = rows.select("_id", F.explode_outer("_items").alias("_it")).select(
-        "_id", "_it.side", "_it.pos", "_it.token")
+    keep = list(keep)
+    rows = df.select(F.col(id_col).alias("_id"), *keep, items.alias("_items")).repartition("_id")
+    exploded = rows.select("_id", *keep, F.explode_outer("_items").alias("_it")).select(
+        "_id", *keep, "_it.side", "_it.pos", "_it.token")
     ids = exploded.join(F.broadcast(vocab.select("token", "token_id")), "token", "left") \
         .withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
                     .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
@@ -61,10 +64,10 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
         picked = F.collect_list(F.when(F.col("side") == side, F.struct("pos", "tid")))
         return F.transform(F.array_sort(picked), lambda s: s["tid"])
 
-    grouped = ids.groupBy("_id").agg(side_ids(0).alias("_in"), side_ids(1).alias("_lab"))
+    grouped = ids.groupBy("_id", *keep).agg(side_ids(0).alias("_in"), side_ids(1).alias("_lab"))
     labels = _pad(F.col("_lab"), label_len)
     if mask_pad:
         labels = F.transform(labels, lambda x: F.when(x == PAD_ID, F.lit(LABEL_IGNORE)).otherwise(x))
-    return grouped.select(F.col("_id").alias(id_col),
+    return grouped.select(F.col("_id").alias(id_col), *keep,
                           _pad(F.col("_in"), input_len).alias("input_ids"),
                           labels.alias("labels"))

@@ -118,6 +118,10 @@ SELECT row_number() OVER (ORDER BY id) AS line_no, {json_fields()} FROM d"""
     s["json_select"] = f"""WITH {JSON_SRC}
 SELECT {json_fields()} FROM d
 WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}') ORDER BY id LIMIT {Q.HEAD_N}"""
+    s["corpus_build"] = f"""WITH {JSON_SRC}
+SELECT row_number() OVER (ORDER BY id) AS id, title, abstract, journal_ref, categories FROM (
+  SELECT id, {json_fields()} FROM d
+  WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}') ORDER BY id LIMIT {Q.HEAD_N})"""
     s["json_count"] = f"""WITH {PAPERS}
 SELECT count(*) AS n_found FROM papers WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}')"""
     s["csv_roundtrip"] = f"""WITH {PAPERS}

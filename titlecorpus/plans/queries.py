@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from titlecorpus.operators import batch_udf, encode, evaluate, model, sampling, select, splits
 from titlecorpus.operators.rank import HashOrder, file_order_rank, hash_rank
 from titlecorpus.operators.validate import validate_requests
-from titlecorpus.plans import fixtures
+from titlecorpus.plans import corpus, fixtures
 from titlecorpus.session import work_path
 from titlecorpus.sources import files, jsonl, papers, table
 from titlecorpus.streaming.predict import start_predict_stream
@@ -88,6 +88,13 @@ def q_json_count(spark, sf):
     return jsonl.match_count(spark, path, CATEGORY)
 
 
+def q_corpus_build(spark, sf):
+    path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
+    tpath = work_path(spark, corpus.dataset_name(HEAD_N, CATEGORY))
+    corpus.build_corpus(spark, path, tpath, HEAD_N, categories_filter=CATEGORY)
+    return table.read_table(spark, tpath)
+
+
 def q_csv_roundtrip(spark, sf):
     base = work_path(spark, "papers")
     path = files.save_dataset(_papers(spark, sf), base, "csv")
@@ -270,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_extract_defaults": q_json_extract_defaults,
     "json_select": q_json_select,
     "json_count": q_json_count,
+    "corpus_build": q_corpus_build,
     "csv_roundtrip": q_csv_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
     "append_ids": q_append_ids,
