@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
@@ -74,14 +74,8 @@ def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None)
     return done.unionByName(tail).withColumn("weight", F.coalesce("weight", F.lit(0)))
 
 
-def _keyed_rows(abstracts: DataFrame, id_col: str, text_col: str, keep=()) -> DataFrame:
-    """(id, text, *keep) hash-partitioned by id: the one shuffle of the text.
-
-    Rows without an id cannot be keyed and are left out.
-    """
-    return (abstracts.where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
-            .repartition("id"))
+def _col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
@@ -114,14 +108,21 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              num_beams: int = 1, no_repeat_ngram_size: int = 0,
              n_model_rows: int | None = None, id_col: str = "id",
-             text_col: str = "abstract", keep=()) -> DataFrame:
+             text_col="abstract", keep: dict | tuple = ()) -> DataFrame:
     """Best span per row: (id, *keep, predicted_title, score); NULL title and
     score for rows without any usable token. ``num_beams`` > 1 keeps the k
-    best spans per row (column ``beam``). ``keep`` columns are carried over
-    from the input rows."""
-    rows = _keyed_rows(abstracts, id_col, text_col, keep)
-    scores = span_scores(rows.select("id", "text"), model, max_length, no_repeat_ngram_size,
-                         n_model_rows)
+    best spans per row (column ``beam``).
+
+    ``text_col`` and the ``keep`` columns (names, or a name -> Column dict)
+    are evaluated *after* the one hash-partitioning of the raw input rows by
+    id, so the scoring branch and the pass-through branch share that
+    exchange (Spark reuses it) and the text crosses the network once.
+    Rows without an id cannot be keyed and are left out.
+    """
+    keep = dict(keep) if isinstance(keep, dict) else {k: F.col(k) for k in keep}
+    base = abstracts.where(F.col(id_col).isNotNull()).repartition(id_col)
+    rows = base.select(F.col(id_col).alias("id"), _col(text_col).alias("text"))
+    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows)
     title = F.array_join("toks", " ")
     if num_beams <= 1:
         order = F.when(F.col("score").isNotNull(),
@@ -139,6 +140,7 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
         out = kept.select("id", F.when(scored, title).alias("predicted_title"), "score",
                           F.when(scored, F.col("beam")).alias("beam"))
     if keep:
-        # Both sides come from the same id-partitioned rows: no new exchange.
-        out = rows.select("id", *keep).join(out, "id", "left")
+        passthrough = base.select(F.col(id_col).alias("id"),
+                                  *[c.alias(name) for name, c in keep.items()])
+        out = passthrough.join(out, "id", "left")
     return out

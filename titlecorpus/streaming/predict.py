@@ -12,8 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import functions as F
+
+from titlecorpus.functions.text import is_blank, strip_ws
 from titlecorpus.operators.model import generate
-from titlecorpus.operators.validate import validate_requests
+from titlecorpus.schema import INVALID_INPUT_MESSAGE
 
 REQUEST_SCHEMA = "id long, abstract string"
 
@@ -21,10 +24,15 @@ REQUEST_SCHEMA = "id long, abstract string"
 def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | None,
                   max_length: int = 128) -> DataFrame:
     """(id, abstract, predicted_title, error) for one batch of requests."""
-    checked = validate_requests(requests)
-    # Invalid rows have a NULL ``clean`` text and so get a NULL title.
-    out = generate(checked, model, max_length=max_length, n_model_rows=n_model_rows,
-                   text_col="clean", keep=("abstract", "error"))
+    # Validation is expressed on the raw columns and evaluated after the
+    # id partitioning inside ``generate``; invalid rows have a NULL clean
+    # text and so get a NULL title next to their error.
+    bad = is_blank("abstract")
+    clean = F.when(~bad, strip_ws("abstract"))
+    error = F.when(bad, F.lit(INVALID_INPUT_MESSAGE))
+    out = generate(requests.select("id", "abstract"), model, max_length=max_length,
+                   n_model_rows=n_model_rows, text_col=clean,
+                   keep={"abstract": F.col("abstract"), "error": error})
     return out.select("id", "abstract", "predicted_title", "error")
 
 
