@@ -32,5 +32,28 @@ def test_truncation(spark):
 def test_encode_single_shuffle(spark):
     df = spark.createDataFrame([(1, "a b", "a")], "id long, input_text string, target_text string")
     vocab = spark.createDataFrame([("a", 1, 2)], "token string, count long, token_id int")
-    plan = encode(df, vocab)._jdf.queryExecution().executedPlan().toString()
+    plan = encode(df, vocab, vocab_size=1)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_unbounded_vocab_is_not_broadcast(spark):
+    df = spark.createDataFrame([(1, "a b", "a")], "id long, input_text string, target_text string")
+    vocab = spark.createDataFrame([("a", 1, 2)], "token string, count long, token_id int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = encode(df, vocab, input_len=3, label_len=2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert out.first().input_ids == [2, 1, 0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_large_vocab_uses_exact_rank(spark, monkeypatch):
+    from titlecorpus.operators import encode as enc
+    df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 7 + 1)), "t") for i in range(50)],
+                               "id long, input_text string, target_text string")
+    small = sorted(map(tuple, enc.build_vocab(df, ["input_text"], 5).collect()))
+    monkeypatch.setattr(enc, "TOP_N_LIMIT", 2)
+    large = sorted(map(tuple, enc.build_vocab(df, ["input_text"], 5).collect()))
+    assert small == large and len(small) == 5

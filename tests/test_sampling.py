@@ -88,12 +88,22 @@ def test_sample_n(spark, monkeypatch):
     assert {r.id for r in idx} == {r.id for r in sampling.sample_n(df, 10, 42).collect()}
 
 
-def test_draws_with_replacement(spark):
-    ranked = hash_rank(spark.range(10), "id", 42)
-    d1 = sampling.draw_with_replacement(ranked, 10, 50, seed=7).orderBy("draw").collect()
-    d2 = sampling.draw_with_replacement(ranked, 10, 50, seed=7).orderBy("draw").collect()
+def test_draws_with_replacement(spark, monkeypatch):
+    df = spark.range(10)
+    d1 = sampling.draw_with_replacement(df, 50, seed=7).orderBy("draw").collect()
+    d2 = sampling.draw_with_replacement(df, 50, seed=7).orderBy("draw").collect()
     assert len(d1) == 50 and d1 == d2
     assert len({r.id for r in d1}) < 50  # repeats happen with 50 draws from 10
+    ref = brute_rank(df, 42)
+    assert all(ref[r.id] == r["rank"] for r in d1)
+
+
+def test_rows_at_sparse_ranks(spark, monkeypatch):
+    monkeypatch.setattr(rank_mod, "_BUCKET_DIGITS", 2)
+    df = spark.range(2000).repartition(5)
+    ref = brute_rank(df, 42)
+    got = {r["rank"]: r.id for r in HashOrder(df, "id", 42).rows_at([1, 777, 2000, 5000]).collect()}
+    assert got == {rk: i for i, rk in ref.items() if rk in (1, 777, 2000)}
 
 
 def test_epoch_batches(spark):

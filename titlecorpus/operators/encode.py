@@ -13,6 +13,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
+from titlecorpus.operators.rank import global_rank
+from titlecorpus.operators.select import TOP_N_LIMIT
+
+# Vocabularies up to this many rows are broadcast to the encoding tasks.
+BROADCAST_VOCAB_ROWS = 5_000_000
 
 PAD_ID = 0
 UNK_ID = 1
@@ -25,9 +30,13 @@ def build_vocab(df: DataFrame, text_cols, size: int = 30_000) -> DataFrame:
     all_toks = toks[0] if len(toks) == 1 else F.concat(*toks)
     counts = (df.select(F.explode(all_toks).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("count")))
-    top = counts.orderBy(F.col("count").desc(), F.col("token")).limit(size)
+    order = [F.col("count").desc(), F.col("token")]
+    if size > TOP_N_LIMIT:
+        ranked = global_rank(counts, order, "_rank").where(F.col("_rank") <= size)
+        return ranked.select("token", "count", (F.col("_rank") + 1).cast("int").alias("token_id"))
+    top = counts.orderBy(*order).limit(size)
     # The window sees the ``size`` rows of the top-n only.
-    rank = F.row_number().over(Window.orderBy(F.col("count").desc(), F.col("token")))
+    rank = F.row_number().over(Window.orderBy(*order))
     return top.withColumn("token_id", (rank + 1).cast("int"))
 
 
@@ -37,7 +46,8 @@ def _pad(ids, length: int):
 
 def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
            target_col: str = "target_text", input_len: int = 512, label_len: int = 128,
-           mask_pad: bool = False, id_col: str = "id", keep=()) -> DataFrame:
+           mask_pad: bool = False, id_col: str = "id", keep=(),
+           vocab_size: int | None = None) -> DataFrame:
     """(id, input_ids[input_len], labels[label_len]) with right padding.
 
     Tokens are cut to the length *before* the explode, so a row's fan-out is
@@ -56,7 +66,12 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     rows = df.select(F.col(id_col).alias("_id"), *keep, items.alias("_items")).repartition("_id")
     exploded = rows.select("_id", *keep, F.explode_outer("_items").alias("_it")).select(
         "_id", *keep, "_it.side", "_it.pos", "_it.token")
-    ids = exploded.join(F.broadcast(vocab.select("token", "token_id")), "token", "left") \
+    table = vocab.select("token", "token_id")
+    # ``vocab_size`` (the build argument) bounds the table; unknown size or a
+    # very large vocabulary goes through a shuffle join instead.
+    if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_ROWS:
+        table = F.broadcast(table)
+    ids = exploded.join(table, "token", "left") \
         .withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
                     .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
 

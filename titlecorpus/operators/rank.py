@@ -95,6 +95,29 @@ class HashOrder:
         return (F.struct(self.h.alias("h"), F.col(self.key).alias("k"))
                 <= F.struct(F.lit(bh).alias("h"), F.lit(bk).alias("k")))
 
+    def rows_at(self, positions, rank_col: str = "rank") -> DataFrame:
+        """Rows at the given 1-based positions (duplicates allowed), each
+        with ``rank_col``. Only the buckets that hold those positions are
+        ranked, so the cost does not grow with the number of rows skipped."""
+        self.count()
+        wanted = sorted({int(p) for p in positions if 1 <= int(p) <= self.count()})
+        if not wanted:
+            return self.df.limit(0).withColumn(rank_col, F.lit(0).cast("long"))
+        offsets, before = {}, 0
+        for bucket, n in self._hist:
+            if any(before < p <= before + n for p in wanted):
+                offsets[bucket] = before
+            before += n
+        spark = self.df.sparkSession
+        # At most len(positions) rows: a broadcast bounded by the argument.
+        offs = F.broadcast(spark.createDataFrame(sorted(offsets.items()), "_b string, _off long"))
+        digits = len(next(iter(offsets)))
+        keyed = self.df.withColumn("_h", self.h).withColumn("_b", F.substring("_h", 1, digits))
+        picked = keyed.where(F.col("_b").isin(list(offsets))).join(offs, "_b")
+        within = Window.partitionBy("_b").orderBy("_h", self.key)
+        ranked = picked.withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("long"))
+        return ranked.where(F.col(rank_col).isin(wanted)).drop("_h", "_b", "_off")
+
     # -- rank ------------------------------------------------------------
     def rank(self, rank_col: str = "rank", group_cols=()) -> DataFrame:
         """Add ``rank_col`` = exact 1-based rank in hash order (per group)."""

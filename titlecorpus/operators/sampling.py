@@ -47,18 +47,25 @@ def sample_n_reindexed(df: DataFrame, n: int, seed=42, key: str = "id",
     return ranked.withColumn(index_col, F.col(index_col) - 1)
 
 
-def draw_with_replacement(ranked: DataFrame, n_rows: int, k: int, seed,
+def draw_with_replacement(df: DataFrame, k: int, seed, order_seed=42, key: str = "id",
                           rank_col: str = "rank") -> DataFrame:
-    """``k`` independent uniform draws (repeats allowed) from rows numbered
-    1..n_rows in ``rank_col``. Output keeps a ``draw`` column 0..k-1."""
-    spark = ranked.sparkSession
-    if n_rows <= 0:
-        return ranked.limit(0).withColumn("draw", F.lit(0).cast("long"))
+    """``k`` independent uniform draws (repeats allowed) from the rows of
+    ``df`` numbered 1..n in their seeded order (``order_seed``). Draw ``d``
+    picks rank ``md5('<seed>:<d>')[:8] mod n + 1``. Output: the drawn rows
+    with ``rank_col`` and ``draw`` (0..k-1), one row per draw."""
+    spark = df.sparkSession
+    order = HashOrder(df, key, order_seed)
+    n = order.count()
+    if n <= 0 or k <= 0:
+        return df.limit(0).withColumn(rank_col, F.lit(0).cast("long")).withColumn(
+            "draw", F.lit(0).cast("long"))
     draws = spark.range(k).select(
         F.col("id").alias("draw"),
-        (F.pmod(seeded_int(F.col("id"), seed), F.lit(n_rows)) + 1).alias(rank_col))
-    # k rows: a broadcast with a bound that is the argument itself.
-    return ranked.join(F.broadcast(draws), rank_col)
+        (F.pmod(seeded_int(F.col("id"), seed), F.lit(n)) + 1).alias(rank_col))
+    positions = [r[rank_col] for r in draws.collect()]  # k values
+    rows = order.rows_at(positions, rank_col)
+    # k rows on the draws side: a broadcast bounded by the argument itself.
+    return rows.join(F.broadcast(draws), rank_col)
 
 
 def epoch_batches(df: DataFrame, epochs: int, batch_size: int, seed, key: str = "id") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.operators import batch_udf, encode, evaluate, model, sampling, select, splits
-from titlecorpus.operators.rank import HashOrder, file_order_rank, hash_rank
+from titlecorpus.operators.rank import file_order_rank
 from titlecorpus.operators.validate import validate_requests
 from titlecorpus.plans import corpus, fixtures
 from titlecorpus.session import work_path
@@ -195,8 +195,7 @@ def q_eval_first_k(spark, sf):
 
 def q_draw_with_replacement(spark, sf):
     _, ev = _train_eval(spark, sf)
-    n = HashOrder(ev, "id", SEED).count()
-    return sampling.draw_with_replacement(hash_rank(ev, "id", SEED, "rank"), n, DRAWS, DRAW_SEED)
+    return sampling.draw_with_replacement(ev, DRAWS, DRAW_SEED, order_seed=SEED)
 
 
 def q_batch_groups(spark, sf):
@@ -216,12 +215,12 @@ def q_vocab(spark, sf):
 
 def q_encode_padded(spark, sf):
     return encode.encode(_pairs(spark, sf), _vocab(spark, sf), input_len=INPUT_LEN,
-                         label_len=LABEL_LEN)
+                         label_len=LABEL_LEN, vocab_size=VOCAB_SIZE)
 
 
 def q_encode_masked_labels(spark, sf):
     return encode.encode(_pairs(spark, sf), _vocab(spark, sf), input_len=INPUT_LEN,
-                         label_len=LABEL_LEN, mask_pad=True)
+                         label_len=LABEL_LEN, mask_pad=True, vocab_size=VOCAB_SIZE)
 
 
 # -- title model ---------------------------------------------------------------------

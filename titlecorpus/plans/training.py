@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from titlecorpus.operators import encode as enc
 from titlecorpus.operators import model as mdl
 from titlecorpus.operators.evaluate import eval_loss, side_by_side
-from titlecorpus.operators.rank import HashOrder, hash_rank
 from titlecorpus.operators.sampling import draw_with_replacement, epoch_batches
 from titlecorpus.operators.select import pair_projection
 from titlecorpus.operators.splits import first_k_of_split, split_fraction
@@ -41,8 +40,7 @@ def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
     tokens, totals = mdl.load_model(spark, model_path)
     scored = ev if eval_rows is None else first_k_of_split(split, eval_rows, seed).drop("split")
     loss = eval_loss(train, scored).first()
-    n_eval = HashOrder(ev, "id", seed).count()
-    picked = draw_with_replacement(hash_rank(ev, "id", seed), n_eval, n_show, draw_seed)
+    picked = draw_with_replacement(ev, n_show, draw_seed, order_seed=seed)
     pred = mdl.generate(picked.select("id", "input_text").dropDuplicates(["id"]), tokens,
                         max_length, n_model_rows=totals["n_tokens"], text_col="input_text")
     shown = side_by_side(picked.select("draw", "id", "input_text", "target_text"), pred)
@@ -58,7 +56,7 @@ def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
     vocab = enc.build_vocab(split.where(F.col("split") == "train"), ["input_text", "target_text"],
                             vocab_size)
     encoded = enc.encode(split, vocab, input_len=input_len, label_len=label_len,
-                         mask_pad=mask_pad, keep=("split",))
+                         mask_pad=mask_pad, keep=("split",), vocab_size=vocab_size)
     write_splits(encoded, out_path)
     return vocab
 
