@@ -85,3 +85,31 @@ def test_generate_shuffles_text_once(spark):
     plan = plan_of(E.queries()["predict_titles"](spark, SF_SMALL))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "BroadcastHashJoin" in plan
+
+
+def test_category_filter_pushed_to_parquet_table(spark, tmp_path):
+    from titlecorpus.operators.select import category_filter
+    from titlecorpus.sources.papers import papers
+    path = str(tmp_path / "papers_pq")
+    papers(spark, SF_SMALL).write.parquet(path)
+    plan = plan_of(category_filter(spark.read.parquet(path), "src1").select("id"))
+    assert "StringContains(categories,src1)" in plan
+    assert "ReadSchema: struct<id:bigint,categories:string>" in plan
+
+
+def test_generation_is_stable_under_repartitioning(spark):
+    from titlecorpus.plans import queries as Q
+    from titlecorpus.operators import model
+    tokens, totals, _, ev = Q._fitted(spark, SF_SMALL)
+    a = sorted(map(tuple, model.generate(ev.repartition(1), tokens, n_model_rows=totals["n_tokens"],
+                                         text_col="input_text").collect()))
+    b = sorted(map(tuple, model.generate(ev.repartition(16), tokens, n_model_rows=totals["n_tokens"],
+                                         text_col="input_text").collect()))
+    assert a == b
+
+
+def test_side_by_side_reuses_text_exchange(spark):
+    df = E.queries()["side_by_side"](spark, SF_SMALL)
+    df.collect()
+    plan = plan_of(df)
+    assert "ReusedExchange" in plan

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
+from titlecorpus.operators.model import generate
 
 
 def title_unigrams(train: DataFrame, target_col: str = "target_text") -> DataFrame:
@@ -33,6 +34,25 @@ def eval_loss(train: DataFrame, eval_rows: DataFrame, target_col: str = "target_
         F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_tokens"))
 
 
+def _overlap():
+    return F.size(F.array_intersect(tokenize("true_title"),
+                                    F.coalesce(tokenize("predicted_title"),
+                                               F.array().cast("array<string>"))))
+
+
+def predict_side_by_side(eval_rows: DataFrame, model: DataFrame, max_length: int = 128,
+                         n_model_rows: int | None = None) -> DataFrame:
+    """Generate and compare in one plan: (id, true_title, predicted_title,
+    abstract, overlap). The abstract rides along with the one id exchange of
+    the generation (reused); only the short true titles are shuffled to meet
+    the predictions."""
+    pred = generate(eval_rows, model, max_length, n_model_rows=n_model_rows,
+                    text_col="input_text", keep={"abstract": F.col("input_text")})
+    titles = eval_rows.select("id", F.col("target_text").alias("true_title"))
+    return pred.join(titles, "id", "left").select(
+        "id", "true_title", "predicted_title", "abstract", _overlap().alias("overlap"))
+
+
 def side_by_side(eval_rows: DataFrame, predictions: DataFrame) -> DataFrame:
     """(id, true_title, predicted_title, abstract, overlap) where overlap is
     the number of distinct tokens the two titles share."""

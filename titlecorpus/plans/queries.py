@@ -248,9 +248,7 @@ def q_eval_loss(spark, sf):
 
 def q_side_by_side(spark, sf):
     tokens, totals, _, ev = _fitted(spark, sf)
-    pred = model.generate(ev, tokens, TITLE_LEN, n_model_rows=totals["n_tokens"],
-                          text_col="input_text")
-    return evaluate.side_by_side(ev, pred)
+    return evaluate.predict_side_by_side(ev, tokens, TITLE_LEN, n_model_rows=totals["n_tokens"])
 
 
 # -- stream and user functions -----------------------------------------------------------
