@@ -27,3 +27,24 @@ def test_stream_equals_batch_and_errors(spark, tmp_path):
     assert len(errors) == 10 and all(e[3] == INVALID_INPUT_MESSAGE and e[2] is None for e in errors)
     echoed = [r for r in got if r[1] == " Random graphs. x "]
     assert echoed and echoed[0][2] == "random graphs"
+
+
+def test_stream_with_user_predictor_captures_errors(spark, tmp_path):
+    from titlecorpus.schema import PREDICTION_ERROR_PREFIX
+    reqs = spark.createDataFrame([(1, "fine text"), (2, "boom"), (3, " ")], "id long, abstract string")
+    src = str(tmp_path / "src")
+    reqs.write.parquet(src)
+
+    def predictor(text):
+        if text == "boom":
+            raise ValueError("cannot title this")
+        return text.title()
+
+    out, chk = str(tmp_path / "out"), str(tmp_path / "chk")
+    q = start_predict_stream(spark, src, None, None, out, chk, predictor=predictor)
+    q.awaitTermination()
+    rows = {r.id: r for r in spark.read.parquet(out).collect()}
+    assert rows[1].predicted_title == "Fine Text" and rows[1].error is None
+    assert rows[2].predicted_title is None
+    assert rows[2].error == PREDICTION_ERROR_PREFIX + "cannot title this"
+    assert rows[3].error == INVALID_INPUT_MESSAGE

@@ -75,10 +75,12 @@ class HashOrder:
                 before += n
             remaining -= before
             if n <= _EXACT_LIMIT:
-                rows = (self._keyed()
+                # The top-``remaining`` of one bucket, reduced to its last
+                # row on the executors: one row reaches the driver.
+                last = (self._keyed()
                         .where(F.col("_h").startswith(bucket))
-                        .orderBy("_h", self.key).limit(remaining).collect())
-                last = rows[-1]
+                        .orderBy("_h", self.key).limit(remaining)
+                        .agg(F.max(F.struct("_h", self.key)).alias("m")).first()["m"])
                 return last["_h"], last[self.key]
             prefix = bucket
             hist = self._histogram(prefix)

@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import is_blank, strip_ws
+from titlecorpus.operators.batch_udf import predict_with
 from titlecorpus.operators.model import generate
+from titlecorpus.operators.validate import validate_requests
 from titlecorpus.schema import INVALID_INPUT_MESSAGE
 
 REQUEST_SCHEMA = "id long, abstract string"
@@ -36,17 +38,32 @@ def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | Non
     return out.select("id", "abstract", "predicted_title", "error")
 
 
-def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame,
+def predict_batch_with(requests: DataFrame, predictor) -> DataFrame:
+    """As ``predict_batch`` with a user predictor ``str -> str`` run in Arrow
+    batches; a record whose prediction raises gets an error text."""
+    checked = validate_requests(requests)
+    titles = predict_with(checked.where(F.col("error").isNull()), predictor)
+    out = checked.join(titles, "id", "left")
+    return out.select("id", "abstract", "predicted_title",
+                      F.coalesce(checked["error"], titles["error"]).alias("error"))
+
+
+def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | None,
                          n_model_rows: int | None, output_dir: str, checkpoint_dir: str,
                          max_length: int = 128, available_now: bool = True,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         predictor=None) -> StreamingQuery:
+    """Start the stream; ``predictor`` (optional) replaces the counted model."""
     reader = spark.readStream.schema(REQUEST_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     requests = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = predict_batch(batch, model, n_model_rows, max_length)
+        if predictor is not None:
+            out = predict_batch_with(batch, predictor)
+        else:
+            out = predict_batch(batch, model, n_model_rows, max_length)
         out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
 
     writer = (requests.writeStream.foreachBatch(write_batch)
