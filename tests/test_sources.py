@@ -17,7 +17,7 @@ def test_json_three_states(spark, write_lines):
         '{"title":null}',
         '{"title":"d1","title":"d2"}',
     ])
-    rows = jsonl.load_arxiv_metadata(spark, path).orderBy("_order").collect()
+    rows = jsonl.load_arxiv_metadata(spark, path).orderBy("_rank").collect()
     assert [r.title for r in rows] == ["A", "B", None, "d2"]
     assert [r.abstract for r in rows] == [DEFAULT_ABSTRACT] * 4
     assert [r.journal_ref for r in rows] == [None] + [DEFAULT_JOURNAL_REF] * 3
@@ -44,11 +44,13 @@ def test_category_substring_filter(spark, write_lines):
     assert jsonl.match_count(spark, path, "src1").first().n_found == 2
     # No filter: everything, including the missing-key row.
     assert jsonl.load_arxiv_metadata(spark, path, categories_filter="").count() == 4
+    ranks = jsonl.load_arxiv_metadata(spark, path, categories_filter="src1").orderBy("_rank").collect()
+    assert [(r["_rank"], r.title) for r in ranks] == [(1, "1"), (2, "2")]
 
 
 def test_first_n_and_random_n(spark, write_lines):
     path = write_lines("n.jsonl", [json.dumps({"title": str(i)}) for i in range(50)])
-    first = jsonl.load_arxiv_metadata(spark, path, n_papers=7).orderBy("_order").collect()
+    first = jsonl.load_arxiv_metadata(spark, path, n_papers=7).orderBy("_rank").collect()
     assert [r.title for r in first] == [str(i) for i in range(7)]
     r1 = jsonl.load_arxiv_metadata(spark, path, 10, random_select=True, seed=3).collect()
     r2 = jsonl.load_arxiv_metadata(spark, path, 10, random_select=True, seed=3).collect()
@@ -163,3 +165,29 @@ def test_invalid_json_value_is_error_not_silent(spark, write_lines):
 
 def test_defaults_text():
     assert DEFAULT_TITLE == "No title available"
+
+
+@pytest.mark.parametrize("bad", ["{bad", ""])
+def test_bad_line_fails_with_filter(spark, write_lines, bad):
+    path = write_lines("badf.jsonl", ['{"title":"ok","categories":"x"}', bad])
+    with pytest.raises(Exception):
+        jsonl.load_arxiv_metadata(spark, path, categories_filter="x").collect()
+    with pytest.raises(Exception):
+        jsonl.match_count(spark, path, "x").collect()
+
+
+def test_filtered_file_order_numbering_across_splits(spark, tmp_path):
+    d = tmp_path / "dumpdir"
+    d.mkdir()
+    recs = [{"title": f"p{i:05d}", "categories": "keep" if i % 3 else "drop"} for i in range(6000)]
+    (d / "a.jsonl").write_text("".join(json.dumps(r) + "\n" for r in recs[:1000]))
+    (d / "b.jsonl").write_text("".join(json.dumps(r) + "\n" for r in recs[1000:]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = jsonl.load_arxiv_metadata(spark, str(d), 2500, categories_filter="keep") \
+            .orderBy("_rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    expected = [r["title"] for r in recs if r["categories"] == "keep"][:2500]
+    assert [r.title for r in got] == expected
+    assert [r["_rank"] for r in got] == list(range(1, 2501))

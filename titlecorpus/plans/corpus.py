@@ -1,15 +1,15 @@
 """Corpus build: JSON-lines dump -> filter -> first / random N -> papers table.
 
-One lazy plan per step: filter and selection run on executors in the scan
-stage; the only shuffles are the top-N or rank for the selection and the
-range partitioning that numbers the appended rows.
+One lazy plan per step: filter, selection and numbering run on executors in
+the scan stage. File order is numbered from per-split counts (no shuffle of
+the lines); a random pick shuffles only the picked rows, by hash bucket.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from titlecorpus.sources.jsonl import ORDER, load_arxiv_metadata
+from titlecorpus.sources.jsonl import RANK, load_arxiv_metadata
 from titlecorpus.sources.table import append_papers, read_table, show_papers
 
 
@@ -30,7 +30,7 @@ def build_corpus(spark: SparkSession, jsonl_path: str, table_path: str,
     """
     selected = load_arxiv_metadata(spark, jsonl_path, n_papers, random_select,
                                    categories_filter, seed, strict)
-    inserted = append_papers(spark, table_path, selected, [ORDER])
+    inserted = append_papers(spark, table_path, selected, rank_col=RANK)
     display = show_papers(read_table(spark, table_path), print_result) if print_result else ""
     return {"inserted": inserted, "display": display}
 

@@ -164,12 +164,12 @@ FROM papers ORDER BY {md5key(Q.SEED)}, id LIMIT {Q.SAMPLE_N}"""
     s["eval_first_k"] = f"""WITH {SPLIT}
 SELECT id, input_text, target_text, 'eval' AS split FROM eval ORDER BY rn LIMIT {Q.EVAL_FIRST_K}"""
     s["draw_with_replacement"] = f"""WITH {SPLIT},
-ne AS (SELECT count(*) AS n FROM eval),
-draws AS (SELECT d AS draw, CAST('0x' || substr({md5key(Q.DRAW_SEED, 'd')}, 1, 8) AS BIGINT) % n + 1 AS rank
-          FROM range({Q.DRAWS}) t(d), ne)
+draws AS (SELECT d AS draw,
+                 CAST('0x' || substr({md5key(Q.DRAW_SEED, 'd')}, 1, 8) AS BIGINT) % (SELECT count(*) FROM eval) + 1 AS rank
+          FROM range({Q.DRAWS}) t(d))
 SELECT e.rn AS rank, e.id, e.input_text, e.target_text, draws.draw FROM draws JOIN eval e ON e.rn = draws.rank"""
     s["batch_groups"] = f"""WITH {SPLIT},
-per_epoch AS (SELECT CAST(e AS INTEGER) AS epoch, id FROM train, range({Q.EPOCHS}) t(e)),
+per_epoch AS (SELECT CAST(unnest(range({Q.EPOCHS})) AS INTEGER) AS epoch, id FROM train),
 pos AS (SELECT epoch, id, row_number() OVER (PARTITION BY epoch ORDER BY md5('{Q.SEED}:' || epoch || ':' || id), id) AS position
         FROM per_epoch)
 SELECT epoch, id, position, (position - 1) // {Q.BATCH_SIZE} AS batch_id FROM pos"""
@@ -204,11 +204,11 @@ FROM pairs p LEFT JOIN grouped g ON g.id = p.id"""
     s["predict_topk"] = f"WITH {MODEL}{ctes_k}\n{final_k}"
     s["eval_loss"] = f"""WITH {SPLIT},
 counts AS (SELECT token, count(*) AS k FROM (SELECT unnest({tok('target_text')}) AS token FROM train) GROUP BY token),
-tot AS (SELECT sum(k) AS tt, count(*) AS vv FROM counts),
 seen AS (SELECT token, count(*) AS m FROM (SELECT unnest({tok('target_text')}) AS token FROM eval) GROUP BY token)
-SELECT round(sum(m * -ln((coalesce(k, 0) + 1) / CAST(tt + vv + 1 AS DOUBLE))) / sum(m), 6) AS eval_loss,
+SELECT round(sum(m * -ln((coalesce(k, 0) + 1)
+                         / CAST((SELECT sum(k) + count(*) + 1 FROM counts) AS DOUBLE))) / sum(m), 6) AS eval_loss,
        CAST(coalesce(sum(m), 0) AS BIGINT) AS n_tokens
-FROM seen LEFT JOIN counts USING (token), tot"""
+FROM seen LEFT JOIN counts USING (token)"""
     s["side_by_side"] = f"""WITH {MODEL}{ctes},
 pred AS ({final})
 SELECT e.id, e.target_text AS true_title, p.predicted_title, e.input_text AS abstract,

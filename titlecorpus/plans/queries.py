@@ -80,7 +80,7 @@ def q_json_extract_defaults(spark, sf):
 
 def q_json_select(spark, sf):
     path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
-    return jsonl.load_arxiv_metadata(spark, path, HEAD_N, categories_filter=CATEGORY).drop("_order")
+    return jsonl.load_arxiv_metadata(spark, path, HEAD_N, categories_filter=CATEGORY).drop(jsonl.RANK)
 
 
 def q_json_count(spark, sf):

@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlecorpus.operators.rank import FILE_ORDER, HashOrder, with_file_order
-from titlecorpus.operators.select import category_filter, first_n
+from titlecorpus.operators.rank import (FILE_ORDER, HashOrder, file_order_rank, hash_rank,
+                                        with_file_order)
+from titlecorpus.operators.select import category_filter
 from titlecorpus.schema import JSON_FIELDS
 
 JSON_RECORD = T.StructType([T.StructField(k, T.StringType(), True) for k, _, _ in JSON_FIELDS])
 
-ORDER = "_order"
+RANK = "_rank"
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -42,6 +43,12 @@ def field(json_key: str, default: str) -> Column:
     return F.when(present, F.col("_rec").getField(json_key)).otherwise(F.lit(default))
 
 
+def checked_categories() -> Column:
+    """Categories of a parsed line; reading it validates the line first, so
+    a filter cannot skip a blank or malformed line silently."""
+    return F.when(F.col("_keys").isNotNull(), F.col("_rec.categories"))
+
+
 def extract_fields(parsed: DataFrame, keep=()) -> DataFrame:
     cols = [field(k, d).alias(name) for k, name, d in JSON_FIELDS]
     return parsed.select(*keep, *cols)
@@ -52,30 +59,34 @@ def load_arxiv_metadata(spark: SparkSession, path: str, n_papers: int | None = N
                         seed=42, strict: bool = False) -> DataFrame:
     """Filter by category, take the first or a seeded random N, extract.
 
-    Output: ``title, abstract, journal_ref, categories, _order`` where
-    ``_order`` is a sortable struct giving the selection order (file order,
-    or the seeded random order).
+    Output: ``title, abstract, journal_ref, categories, _rank`` where
+    ``_rank`` numbers the selected papers 1..n in selection order (file
+    order, or the seeded random order). File order is numbered after the
+    filter from per-split counts, so neither form shuffles the lines; a
+    random pick ranks only the picked rows.
     """
     parsed = parse_records(read_json_lines(spark, path))
     if categories_filter:
-        parsed = category_filter(parsed, categories_filter, F.col("_rec.categories"))
+        parsed = category_filter(parsed, categories_filter, checked_categories())
     if random_select and n_papers is not None:
         key = F.concat_ws(":", *[F.col(c).cast("string") for c in FILE_ORDER])
         parsed = parsed.withColumn("_line_key", key)
         order = HashOrder(parsed, "_line_key", seed)
         if strict and n_papers > order.count():
             raise ValueError(f"Cannot take {n_papers} papers from {order.count()} lines")
-        selected = parsed.where(order.cut(n_papers)).withColumn(
-            ORDER, F.struct(order.h.alias("h"), F.col("_line_key").alias("k")))
+        selected = hash_rank(parsed.where(order.cut(n_papers)), "_line_key", seed, RANK)
     else:
-        selected = parsed.withColumn(ORDER, F.struct(*FILE_ORDER))
+        # Number the lines that passed the filter: row index re-taken above
+        # the filter, offsets from per-split counts.
+        renumbered = parsed.withColumn("_row", F.monotonically_increasing_id())
+        selected = file_order_rank(renumbered, RANK)
         if n_papers is not None:
-            selected = first_n(selected, [ORDER], n_papers)
-    return extract_fields(selected, keep=(ORDER,))
+            selected = selected.where(F.col(RANK) <= n_papers) if n_papers >= 0 else selected
+    return extract_fields(selected, keep=(RANK,))
 
 
 def match_count(spark: SparkSession, path: str, categories_filter: str) -> DataFrame:
     """Number of lines whose categories contain the filter (one row)."""
     parsed = parse_records(read_json_lines(spark, path))
-    return category_filter(parsed, categories_filter, F.col("_rec.categories")).agg(
+    return category_filter(parsed, categories_filter, checked_categories()).agg(
         F.count(F.lit(1)).alias("n_found"))

@@ -35,13 +35,20 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAPER_SCHEMA).parquet(path)
 
 
-def append_papers(spark: SparkSession, path: str, papers: DataFrame, order_cols) -> int:
-    """Append ``papers`` (the four text fields) under ids max(id)+1.. in
-    ``order_cols`` order; returns the number of rows written."""
+def append_papers(spark: SparkSession, path: str, papers: DataFrame, order_cols=None,
+                  rank_col: str | None = None) -> int:
+    """Append ``papers`` (the four text fields) under ids max(id)+1..
+
+    The new ids follow ``rank_col`` when the input already carries a dense
+    1..n position (no extra work), else ``order_cols`` (exact global rank).
+    Returns the number of rows written.
+    """
     create_table(spark, path)
     start = read_table(spark, path).agg(F.max("id")).first()[0] or 0
-    ranked = global_rank(papers.select(*TEXT_FIELDS, *order_cols), order_cols, "_rank")
-    out = ranked.select((F.col("_rank") + F.lit(start)).alias("id"), *TEXT_FIELDS)
+    if rank_col is None:
+        papers = global_rank(papers.select(*TEXT_FIELDS, *order_cols), order_cols, "_rank")
+        rank_col = "_rank"
+    out = papers.select((F.col(rank_col) + F.lit(start)).alias("id"), *TEXT_FIELDS)
     out.write.mode("append").parquet(path)
     return read_table(spark, path).where(F.col("id") > start).count()
 
