@@ -70,10 +70,15 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     # ``vocab_size`` (the build argument) bounds the table; unknown size or a
     # very large vocabulary goes through a shuffle join instead.
     if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_ROWS:
-        table = F.broadcast(table)
-    ids = exploded.join(table, "token", "left") \
-        .withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
-                    .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
+        joined = exploded.join(F.broadcast(table), "token", "left")
+    else:
+        # Rows of empty texts (NULL token) skip the shuffle: a NULL key would
+        # put all of them on one reducer.
+        empty = exploded.where(F.col("token").isNull()).withColumn("token_id", F.lit(None).cast("int"))
+        joined = exploded.where(F.col("token").isNotNull()).join(table, "token", "left") \
+            .unionByName(empty)
+    ids = joined.withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
+                            .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
 
     def side_ids(side):
         picked = F.collect_list(F.when(F.col("side") == side, F.struct("pos", "tid")))

@@ -69,8 +69,12 @@ def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None)
     hot = (model.orderBy(F.col("n_abs").desc(), F.col("token")).limit(HOT_TOKENS)
            .select("token", F.col("weight").alias("hot_w")))
     first = tokens.join(F.broadcast(hot), "token", "left")
-    done = first.where(F.col("hot_w").isNotNull()).withColumnRenamed("hot_w", "weight")
-    tail = first.where(F.col("hot_w").isNull()).drop("hot_w").join(weights, "token", "left")
+    done = first.where(F.col("hot_w").isNotNull() | F.col("token").isNull()) \
+        .withColumnRenamed("hot_w", "weight")
+    # NULL tokens (spans without any) never reach the shuffle: a NULL key
+    # would send all of them to one reducer.
+    tail = first.where(F.col("hot_w").isNull() & F.col("token").isNotNull()).drop("hot_w") \
+        .join(weights, "token", "left")
     return done.unionByName(tail).withColumn("weight", F.coalesce("weight", F.lit(0)))
 
 
