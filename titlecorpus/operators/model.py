@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
@@ -44,9 +44,11 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
 
 def save_model(model: DataFrame, path: str) -> dict:
     """Write the token table and a totals file; returns the totals."""
-    model.write.mode("overwrite").parquet(f"{path}/tokens")
-    stored = model.sparkSession.read.parquet(f"{path}/tokens")
-    totals = stored.agg(F.count(F.lit(1)).alias("n_tokens")).first().asDict()
+    # Totals are observed while the rows are written: no second pass.
+    obs = Observation("model_totals")
+    model.observe(obs, F.count(F.lit(1)).alias("n_tokens")) \
+        .write.mode("overwrite").parquet(f"{path}/tokens")
+    totals = {k: int(v) for k, v in obs.get.items()}
     model.sparkSession.createDataFrame([(json.dumps(totals),)], "totals string") \
         .write.mode("overwrite").text(f"{path}/totals")
     return totals
