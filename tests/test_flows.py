@@ -23,6 +23,7 @@ def test_build_corpus_and_train(spark, tmp_path):
     path = dump(tmp_path)
     tpath = str(tmp_path / dataset_name(20, "quant-ph"))
     res = build_corpus(spark, path, tpath, 20, categories_filter="quant-ph", print_result=2)
+    assert res["found"] == 30
     assert res["inserted"] == 20 and res["display"].startswith("Paper 1\nTitle: Spin chain 1\n")
     t = read_table(spark, tpath).orderBy("id").collect()
     assert [r.id for r in t] == list(range(1, 21))

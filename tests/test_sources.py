@@ -191,3 +191,12 @@ def test_filtered_file_order_numbering_across_splits(spark, tmp_path):
     expected = [r["title"] for r in recs if r["categories"] == "keep"][:2500]
     assert [r.title for r in got] == expected
     assert [r["_rank"] for r in got] == list(range(1, 2501))
+
+
+def test_match_count_observed_in_same_job(spark, write_lines):
+    from pyspark.sql import Observation
+    path = write_lines("obs.jsonl", [json.dumps({"title": str(i), "categories": "a" if i % 2 else "b"})
+                                     for i in range(40)])
+    obs = Observation("found")
+    rows = jsonl.load_arxiv_metadata(spark, path, 5, categories_filter="a", observation=obs).collect()
+    assert len(rows) == 5 and obs.get["n_found"] == 20

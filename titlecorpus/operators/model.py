@@ -11,6 +11,7 @@ ties go to the earlier span.
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
     return counts.withColumn("weight", weight_expr("n_both", "n_abs"))
 
 
+def default_model_name(now: datetime | None = None) -> str:
+    """Name of a model saved without one: its creation time."""
+    return (now or datetime.now()).strftime("%Y-%m-%d_%H-%M-%S")
+
+
 def save_model(model: DataFrame, path: str) -> dict:
     """Write the token table and a totals file; returns the totals."""
     # Totals are observed while the rows are written: no second pass.

@@ -7,7 +7,7 @@ the lines); a random pick shuffles only the picked rows, by hash bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from titlecorpus.sources.jsonl import RANK, load_arxiv_metadata
 from titlecorpus.sources.table import append_papers, read_table, show_papers
@@ -24,15 +24,18 @@ def build_corpus(spark: SparkSession, jsonl_path: str, table_path: str,
                  print_result: int = 0) -> dict:
     """Select papers from the dump and append them to the table.
 
-    Returns ``{"inserted": rows written, "display": text of the first
-    print_result papers of the table}``; asking to display more papers than
-    the table holds raises after the rows are stored.
+    Returns ``{"inserted": rows written, "found": lines matching the filter
+    (None without a filter), "display": text of the first print_result
+    papers of the table}``; asking to display more papers than the table
+    holds raises after the rows are stored.
     """
+    found = Observation("found") if categories_filter else None
     selected = load_arxiv_metadata(spark, jsonl_path, n_papers, random_select,
-                                   categories_filter, seed, strict)
+                                   categories_filter, seed, strict, observation=found)
     inserted = append_papers(spark, table_path, selected, rank_col=RANK)
     display = show_papers(read_table(spark, table_path), print_result) if print_result else ""
-    return {"inserted": inserted, "display": display}
+    return {"inserted": inserted, "found": found.get["n_found"] if found else None,
+            "display": display}
 
 
 def load_into_table(spark: SparkSession, jsonl_path: str, table_path: str, n_papers: int,

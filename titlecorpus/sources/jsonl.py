@@ -8,7 +8,7 @@ A blank or malformed line aborts the job, as a strict line parser would.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,9 +56,15 @@ def extract_fields(parsed: DataFrame, keep=()) -> DataFrame:
 
 def load_arxiv_metadata(spark: SparkSession, path: str, n_papers: int | None = None,
                         random_select: bool = False, categories_filter: str | None = None,
-                        seed=42, strict: bool = False) -> DataFrame:
+                        seed=42, strict: bool = False,
+                        observation: Observation | None = None) -> DataFrame:
     """Filter by category, take the first or a seeded random N, extract.
 
+    ``observation`` (optional) receives ``n_found``, the number of lines that
+    passed the filter, from the same job that reads them: the selection is a
+    predicate over the whole scan, never an early-stopping limit, so the
+    count is exact.
+
     Output: ``title, abstract, journal_ref, categories, _rank`` where
     ``_rank`` numbers the selected papers 1..n in selection order (file
     order, or the seeded random order). File order is numbered after the
@@ -68,6 +74,8 @@ def load_arxiv_metadata(spark: SparkSession, path: str, n_papers: int | None = N
     parsed = parse_records(read_json_lines(spark, path))
     if categories_filter:
         parsed = category_filter(parsed, categories_filter, checked_categories())
+    if observation is not None:
+        parsed = parsed.observe(observation, F.count(F.lit(1)).alias("n_found"))
     if random_select and n_papers is not None:
         key = F.concat_ws(":", *[F.col(c).cast("string") for c in FILE_ORDER])
         parsed = parsed.withColumn("_line_key", key)
