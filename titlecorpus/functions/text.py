@@ -31,8 +31,10 @@ def _col(c) -> Column:
 
 def normalize_ws(c) -> Column:
     """Runs of whitespace -> one space, then strip (NULL stays NULL)."""
-    # After collapsing, only one plain space can remain at either end.
-    return F.trim(F.regexp_replace(_col(c), WS_CLASS + "+", " "))
+    # Every whitespace character becomes a plain space, runs of spaces
+    # collapse to one, and only a single space can remain at either end.
+    spaces = F.translate(_col(c), WS_CHARS, " " * len(WS_CHARS))
+    return F.trim(F.regexp_replace(spaces, "  +", " "))
 
 
 def strip_ws(c) -> Column:
