@@ -43,3 +43,31 @@ def test_build_corpus_and_train(spark, tmp_path):
     assert {r.split for r in shards.select("split").distinct().collect()} == {"train", "eval"}
     assert all(len(r.input_ids) == 8 for r in shards.collect())
     assert batch_plan(pairs, 2, 4).count() == 60
+
+
+def test_evaluate_saved_model_and_three_way_shards(spark, tmp_path):
+    from titlecorpus.operators import model
+    from titlecorpus.plans.training import evaluate_saved_model
+    path = dump(tmp_path, 40)
+    tpath = str(tmp_path / "t")
+    build_corpus(spark, path, tpath)
+    pairs = training_pairs(spark, tpath, limit=None)
+    model.save_model(model.fit(pairs), str(tmp_path / "m"))
+    shown = evaluate_saved_model(spark, pairs, str(tmp_path / "m")).collect()
+    assert len(shown) == 5
+    write_training_shards(spark, pairs, str(tmp_path / "sh3"), three_way=True, input_len=4, label_len=2)
+    got = {r.split: r["count"] for r in spark.read.parquet(str(tmp_path / "sh3")).groupBy("split").count().collect()}
+    assert got == {"train": 36, "validation": 2, "test": 2}
+
+
+def test_cli_build_and_train(spark, tmp_path, capsys):
+    from titlecorpus.cli import main
+    path = dump(tmp_path, 30)
+    main(["build", "--input", path, "--table-dir", str(tmp_path / "tables"), "--num-papers", "20",
+          "--print-result", "1"])
+    out = capsys.readouterr().out
+    assert "Paper 1" in out and '"inserted": 20' in out
+    table = str(tmp_path / "tables" / "arxiv_papers_20n_None_cat")
+    main(["train", "--table", table, "--model-dir", str(tmp_path / "models"), "--model-name", "m1"])
+    out = capsys.readouterr().out
+    assert '"eval_loss"' in out

@@ -16,7 +16,7 @@ from titlecorpus.operators import model as mdl
 from titlecorpus.operators.evaluate import eval_loss, side_by_side
 from titlecorpus.operators.sampling import draw_with_replacement, epoch_batches
 from titlecorpus.operators.select import pair_projection
-from titlecorpus.operators.splits import first_k_of_split, split_fraction
+from titlecorpus.operators.splits import first_k_of_split, split_fraction, split_three_way
 from titlecorpus.sources.files import write_splits
 from titlecorpus.sources.table import fetch_papers_for_training, read_table
 
@@ -47,12 +47,29 @@ def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
     return {"totals": totals, "eval_loss": loss["eval_loss"], "shown": shown}
 
 
+def evaluate_saved_model(spark: SparkSession, pairs: DataFrame, model_path: str,
+                         frac: float = 0.9, seed=42, n_show: int = 5, draw_seed=7,
+                         max_length: int = 128) -> DataFrame:
+    """Held-out check of a saved model: an exact ``frac`` sample of the pairs,
+    ``n_show`` draws (with replacement) from it, true vs predicted titles."""
+    tokens, totals = mdl.load_model(spark, model_path)
+    sample = split_fraction(pairs, frac, seed, part="sample").where(F.col("split") == "sample") \
+        .drop("split")
+    picked = draw_with_replacement(sample, n_show, draw_seed, order_seed=seed)
+    pred = mdl.generate(picked.select("id", "input_text").dropDuplicates(["id"]), tokens,
+                        max_length, n_model_rows=totals["n_tokens"], text_col="input_text")
+    return side_by_side(picked.select("draw", "id", "input_text", "target_text"), pred)
+
+
 def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
                           held_frac: float = 0.1, seed=42, vocab_size: int = 30_000,
-                          input_len: int = 512, label_len: int = 128, mask_pad: bool = False) -> DataFrame:
+                          input_len: int = 512, label_len: int = 128, mask_pad: bool = False,
+                          three_way: bool = False) -> DataFrame:
     """Encode all pairs with a vocabulary of the train part and write them
-    partitioned by split; returns the vocabulary."""
-    split = split_fraction(pairs, held_frac, seed)
+    partitioned by split (train / eval, or train / validation / test);
+    returns the vocabulary."""
+    split = (split_three_way(pairs, held_frac, seed) if three_way
+             else split_fraction(pairs, held_frac, seed))
     vocab = enc.build_vocab(split.where(F.col("split") == "train"), ["input_text", "target_text"],
                             vocab_size)
     encoded = enc.encode(split, vocab, input_len=input_len, label_len=label_len,
