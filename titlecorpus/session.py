@@ -14,23 +14,38 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "titlecorpus") -> SparkSession:
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
+                app_name: str = "titlecorpus", initial_partitions: int = 8192,
+                advisory_partition_bytes: str = "256m") -> SparkSession:
+    """Session with AQE on.
+
+    ``shuffle_partitions`` pins the shuffle width (tests, local bench).
+    Without it, shuffles start ``initial_partitions`` wide and AQE coalesces
+    them to about ``advisory_partition_bytes`` each, so the one id shuffle of
+    a 100 TB corpus does not produce partitions larger than executor memory,
+    and a small input does not produce thousands of empty tasks.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    return (
+    builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 str(initial_partitions))
+    if master and master.startswith("local"):
+        builder = builder.config("spark.ui.enabled", "false")
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
