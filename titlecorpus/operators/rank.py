@@ -195,7 +195,8 @@ def global_rank(df: DataFrame, order_cols, rank_col: str = "rank",
     spark = df.sparkSession
     shared_dir(spark)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    parts = num_partitions or spark.sparkContext.defaultParallelism
+    # As wide as the input (one range per input split) or the cluster.
+    parts = num_partitions or max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
     placed = (df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())

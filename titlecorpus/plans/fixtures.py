@@ -41,16 +41,23 @@ def json_dump_lines(docs: DataFrame) -> DataFrame:
                     F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value"))
 
 
-def write_json_dump(docs: DataFrame, path: str, files: int = 4) -> str:
+def _file_count(docs: DataFrame, at_least: int = 4) -> int:
+    """One output file per input split (at least ``at_least``): the write
+    runs as wide as the scan, whatever the data size."""
+    return max(at_least, docs.rdd.getNumPartitions())
+
+
+def write_json_dump(docs: DataFrame, path: str) -> str:
     """Write the dump as several text files whose names follow line order."""
     lines = json_dump_lines(docs)
-    (lines.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+    (lines.repartitionByRange(_file_count(docs), "doc_id").sortWithinPartitions("doc_id")
      .select("value").write.mode("overwrite").text(path))
     return path
 
 
-def write_requests(docs: DataFrame, path: str, files: int = 4) -> str:
-    """(id, abstract) request files, ``files`` of them."""
+def write_requests(docs: DataFrame, path: str) -> int:
+    """(id, abstract) request files; returns how many files were written."""
     reqs = papers_from_documents(docs).select("id", "abstract")
-    reqs.repartitionByRange(files, "id").write.mode("overwrite").parquet(path)
-    return path
+    n = _file_count(docs)
+    reqs.repartitionByRange(n, "id").write.mode("overwrite").parquet(path)
+    return n

@@ -254,10 +254,12 @@ def q_side_by_side(spark, sf):
 # -- stream and user functions -----------------------------------------------------------
 def q_stream_predict(spark, sf):
     tokens, totals, _, _ = _fitted(spark, sf)
-    src = fixtures.write_requests(papers.read_table(spark, sf, "documents"), work_path(spark, "requests"))
+    src = work_path(spark, "requests")
+    n_files = fixtures.write_requests(papers.read_table(spark, sf, "documents"), src)
     out, chk = work_path(spark, "predictions"), work_path(spark, "stream-checkpoint")
+    # About four micro-batches at any data size.
     q = start_predict_stream(spark, src, tokens, totals["n_tokens"], out, chk,
-                             max_length=TITLE_LEN, max_files_per_trigger=1)
+                             max_length=TITLE_LEN, max_files_per_trigger=max(1, n_files // 4))
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
