@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.operators.rank import HashOrder
+from titlecorpus.operators.select import first_n
 
 
 def fraction_size(frac: float, n: int) -> int:
@@ -54,4 +55,4 @@ def first_k_of_split(df: DataFrame, k: int, seed=42, key: str = "id",
                      split_col: str = "split", name: str = "eval") -> DataFrame:
     """First ``k`` rows of a split in its (hash) order."""
     part = df.where(F.col(split_col) == F.lit(name))
-    return part.orderBy(HashOrder(part, key, seed).h, F.col(key)).limit(k)
+    return first_n(part, [HashOrder(part, key, seed).h, F.col(key)], k)
