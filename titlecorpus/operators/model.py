@@ -44,8 +44,8 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
 
 
 def default_model_name(now: datetime | None = None) -> str:
-    """Name of a model saved without one: its creation time."""
-    return (now or datetime.now()).strftime("%Y-%m-%d_%H-%M-%S")
+    """Name of a model saved without one: its creation date."""
+    return (now or datetime.now()).strftime("%Y-%m-%d")
 
 
 def save_model(model: DataFrame, path: str) -> dict:
