@@ -17,7 +17,8 @@ from titlecorpus.operators.evaluate import eval_loss, side_by_side
 from titlecorpus.operators.sampling import draw_with_replacement, epoch_batches
 from titlecorpus.operators.select import pair_projection
 from titlecorpus.operators.splits import first_k_of_split, split_fraction, split_three_way
-from titlecorpus.sources.files import write_splits
+from titlecorpus.session import work_path
+from titlecorpus.sources.files import read_split, write_splits
 from titlecorpus.sources.table import fetch_papers_for_training, read_table
 
 
@@ -32,13 +33,19 @@ def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
                        n_show: int = 5, draw_seed=7, max_length: int = 128) -> dict:
     """Fit on the train part, score held-out rows. Returns ``{"totals",
     "eval_loss", "shown"}`` where ``shown`` is a DataFrame of true vs
-    predicted titles for ``n_show`` draws (with replacement) of eval rows."""
-    split = split_fraction(pairs, eval_frac, seed)
-    train = split.where(F.col("split") == "train").drop("split")
-    ev = split.where(F.col("split") == "eval").drop("split")
+    predicted titles for ``n_show`` draws (with replacement) of eval rows.
+
+    The split is written once, partitioned by name, to the shared folder:
+    every later step reads only its own part (partition pruning) instead of
+    rescanning all pairs to re-derive it.
+    """
+    split_path = write_splits(split_fraction(pairs, eval_frac, seed), work_path(spark, "split"))
+    train = read_split(spark, split_path, "train").drop("split")
+    ev = read_split(spark, split_path, "eval").drop("split")
     totals = mdl.save_model(mdl.fit(train), model_path)
     tokens, totals = mdl.load_model(spark, model_path)
-    scored = ev if eval_rows is None else first_k_of_split(split, eval_rows, seed).drop("split")
+    scored = ev if eval_rows is None else first_k_of_split(
+        read_split(spark, split_path, "eval"), eval_rows, seed).drop("split")
     loss = eval_loss(train, scored).first()
     picked = draw_with_replacement(ev, n_show, draw_seed, order_seed=seed)
     pred = mdl.generate(picked.select("id", "input_text").dropDuplicates(["id"]), tokens,
