@@ -202,6 +202,10 @@ FROM pairs p LEFT JOIN grouped g ON g.id = p.id"""
     s["predict_titles"] = f"WITH {MODEL}{ctes}\n{final}"
     ctes_k, final_k = generate_sql("eval", "input_text", Q.BEAM_TITLE_LEN, Q.BEAMS, True)
     s["predict_topk"] = f"WITH {MODEL}{ctes_k}\n{final_k}"
+    ctes_c, final_c = generate_sql("conv", "text", Q.TITLE_LEN)
+    s["predict_conversations"] = f"""WITH {MODEL},
+conv AS (SELECT conv_id || ':' || turn AS id, role, text FROM conversations){ctes_c}
+""" + final_c.replace("SELECT r.id,", "SELECT r.id, r.role,", 1)
     s["eval_loss"] = f"""WITH {SPLIT},
 counts AS (SELECT token, count(*) AS k FROM (SELECT unnest({tok('target_text')}) AS token FROM train) GROUP BY token),
 seen AS (SELECT token, count(*) AS m FROM (SELECT unnest({tok('target_text')}) AS token FROM eval) GROUP BY token)

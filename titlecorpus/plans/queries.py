@@ -251,6 +251,16 @@ def q_side_by_side(spark, sf):
     return evaluate.predict_side_by_side(ev, tokens, TITLE_LEN, n_model_rows=totals["n_tokens"])
 
 
+def q_predict_conversations(spark, sf):
+    """Titles for every conversation turn (long multi-sentence texts) from the
+    model fitted on the documents' train split; key ``'<conv_id>:<turn>'``."""
+    tokens, totals, _, _ = _fitted(spark, sf)
+    turns = papers.read_table(spark, sf, "conversations").select(
+        F.concat_ws(":", "conv_id", "turn").alias("id"), "role", "text")
+    return model.generate(turns, tokens, TITLE_LEN, n_model_rows=totals["n_tokens"],
+                          text_col="text", keep=("role",))
+
+
 # -- stream and user functions -----------------------------------------------------------
 def q_stream_predict(spark, sf):
     tokens, totals, _, _ = _fitted(spark, sf)
@@ -306,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_fit": q_model_fit,
     "predict_titles": q_predict_titles,
     "predict_topk": q_predict_topk,
+    "predict_conversations": q_predict_conversations,
     "eval_loss": q_eval_loss,
     "side_by_side": q_side_by_side,
     "stream_predict": q_stream_predict,
