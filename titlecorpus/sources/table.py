@@ -9,7 +9,7 @@ stores them again under new ids.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.operators.rank import global_rank
@@ -49,8 +49,9 @@ def append_papers(spark: SparkSession, path: str, papers: DataFrame, order_cols=
         papers = global_rank(papers.select(*TEXT_FIELDS, *order_cols), order_cols, "_rank")
         rank_col = "_rank"
     out = papers.select((F.col(rank_col) + F.lit(start)).alias("id"), *TEXT_FIELDS)
-    out.write.mode("append").parquet(path)
-    return read_table(spark, path).where(F.col("id") > start).count()
+    written = Observation("appended")
+    out.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    return int(written.get["n"])
 
 
 def fetch_papers(table: DataFrame, limit: int = 10) -> DataFrame:
