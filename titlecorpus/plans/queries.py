@@ -71,25 +71,31 @@ def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, dict, DataFrame, D
     return tokens, totals, train, ev
 
 
+def _json_dump(spark: SparkSession, sf: str) -> str:
+    """The documents as a JSON-lines dump (absent / null / present keys)."""
+    return fixtures.write_json_dump(papers.read_table(spark, sf, "documents"),
+                                    work_path(spark, "jsonl"))
+
+
 # -- sources and sinks --------------------------------------------------------------
 def q_json_extract_defaults(spark, sf):
-    path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
+    path = _json_dump(spark, sf)
     parsed = jsonl.parse_records(jsonl.read_json_lines(spark, path))
     return jsonl.extract_fields(file_order_rank(parsed, "line_no"), keep=("line_no",))
 
 
 def q_json_select(spark, sf):
-    path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
+    path = _json_dump(spark, sf)
     return jsonl.load_arxiv_metadata(spark, path, HEAD_N, categories_filter=CATEGORY).drop(jsonl.RANK)
 
 
 def q_json_count(spark, sf):
-    path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
+    path = _json_dump(spark, sf)
     return jsonl.match_count(spark, path, CATEGORY)
 
 
 def q_corpus_build(spark, sf):
-    path = fixtures.write_json_dump(papers.read_table(spark, sf, "documents"), work_path(spark, "jsonl"))
+    path = _json_dump(spark, sf)
     tpath = work_path(spark, corpus.dataset_name(HEAD_N, CATEGORY))
     corpus.build_corpus(spark, path, tpath, HEAD_N, categories_filter=CATEGORY)
     return table.read_table(spark, tpath)
