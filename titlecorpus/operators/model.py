@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
+from titlecorpus.schema import MODEL_NAME_DATE_FORMAT
 
 # Model rows we broadcast whole; above it only the hot tokens are broadcast.
 BROADCAST_MODEL_ROWS = 2_000_000
@@ -45,7 +46,7 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
 
 def default_model_name(now: datetime | None = None) -> str:
     """Name of a model saved without one: its creation date."""
-    return (now or datetime.now()).strftime("%Y-%m-%d")
+    return (now or datetime.now()).strftime(MODEL_NAME_DATE_FORMAT)
 
 
 def save_model(model: DataFrame, path: str) -> dict:

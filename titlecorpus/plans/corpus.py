@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import Observation, SparkSession
 
+from titlecorpus.schema import DATASET_NAME_FORMAT
 from titlecorpus.sources.jsonl import RANK, load_arxiv_metadata
 from titlecorpus.sources.table import append_papers, read_table, show_papers
 
 
 def dataset_name(n_papers: int | None, category: str | None) -> str:
     """Name of a built corpus, from its parameters."""
-    return f"arxiv_papers_{n_papers}n_{category}_cat"
+    return DATASET_NAME_FORMAT.format(n=n_papers, category=category)
 
 
 def build_corpus(spark: SparkSession, jsonl_path: str, table_path: str,

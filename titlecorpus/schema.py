@@ -15,6 +15,15 @@ INVALID_INPUT_MESSAGE = "Invalid input. Please enter a valid abstract as text."
 PREDICTION_ERROR_PREFIX = "Error during prediction: "
 # Task prefix used for text-to-text training rows:
 TASK_PREFIX = "summarize: "
+# Name of a built corpus, from its size and category filter (None prints as "None"):
+DATASET_NAME_FORMAT = "arxiv_papers_{n}n_{category}_cat"
+# Name of a model saved without a name (its creation date):
+MODEL_NAME_DATE_FORMAT = "%Y-%m-%d"
+# Record display: heading, field labels in order, and the separator line.
+DISPLAY_HEADING = "Paper {number}"
+DISPLAY_LABELS = (("title", "Title"), ("abstract", "Abstract"),
+                  ("journal_ref", "Journal Reference"), ("categories", "Categories"))
+DISPLAY_SEPARATOR = "-" * 80
 # Cells read as missing by pandas 2.3 CSV parsing (its default NA set):
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

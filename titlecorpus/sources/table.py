@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from titlecorpus.operators.rank import global_rank
 from titlecorpus.operators.select import first_n, row_at
-from titlecorpus.schema import PAPER_SCHEMA, TEXT_FIELDS
+from titlecorpus.schema import (DISPLAY_HEADING, DISPLAY_LABELS, DISPLAY_SEPARATOR, PAPER_SCHEMA,
+                                TEXT_FIELDS)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -69,14 +70,10 @@ def paper_at(table: DataFrame, index: int) -> DataFrame:
 
 
 def format_paper(row: Row, index: int) -> str:
-    return "\n".join([
-        f"Paper {index + 1}",
-        f"Title: {row['title']}",
-        f"Abstract: {row['abstract']}",
-        f"Journal Reference: {row['journal_ref']}",
-        f"Categories: {row['categories']}",
-        "-" * 80,
-    ])
+    """Display text of one record at 0-based position ``index``."""
+    lines = [DISPLAY_HEADING.format(number=index + 1)]
+    lines += [f"{label}: {row[name]}" for name, label in DISPLAY_LABELS]
+    return "\n".join(lines + [DISPLAY_SEPARATOR])
 
 
 def show_papers(table: DataFrame, k: int) -> str:
