@@ -8,7 +8,6 @@ stores them again under new ids.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,18 +17,10 @@ from titlecorpus.schema import (DISPLAY_HEADING, DISPLAY_LABELS, DISPLAY_SEPARAT
                                 TEXT_FIELDS)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
-
-
 def create_table(spark: SparkSession, path: str) -> None:
-    """Create the empty table if it is not there (idempotent)."""
-    if not table_exists(spark, path):
-        spark.createDataFrame([], PAPER_SCHEMA).write.mode("ignore").parquet(path)
+    """Create the empty table if it is not there (idempotent): an ``ignore``
+    write does nothing when the folder exists."""
+    spark.createDataFrame([], PAPER_SCHEMA).write.mode("ignore").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
