@@ -71,3 +71,10 @@ def test_cli_build_and_train(spark, tmp_path, capsys):
     main(["train", "--table", table, "--model-dir", str(tmp_path / "models"), "--model-name", "m1"])
     out = capsys.readouterr().out
     assert '"eval_loss"' in out
+
+
+def test_write_batch_plan(spark, tmp_path):
+    from titlecorpus.plans.training import write_batch_plan
+    path = write_batch_plan(spark.range(10), str(tmp_path / "plan"), epochs=3, batch_size=4)
+    e1 = spark.read.parquet(path).where("epoch = 1")
+    assert e1.count() == 10 and sorted(r.position for r in e1.collect()) == list(range(1, 11))

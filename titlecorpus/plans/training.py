@@ -88,3 +88,11 @@ def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
 def batch_plan(train: DataFrame, epochs: int, batch_size: int, seed=42) -> DataFrame:
     """(epoch, id, position, batch_id) for every epoch of training."""
     return epoch_batches(train.select("id"), epochs, batch_size, seed)
+
+
+def write_batch_plan(train: DataFrame, out_path: str, epochs: int, batch_size: int,
+                     seed=42) -> str:
+    """Write the batch plan as one folder per epoch (``epoch=<e>``)."""
+    batch_plan(train, epochs, batch_size, seed).write.mode("overwrite") \
+        .partitionBy("epoch").parquet(out_path)
+    return out_path
