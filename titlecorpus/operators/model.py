@@ -91,13 +91,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _span_tokens(text: Column, span_pos: Column, max_length: int) -> Column:
+    """Tokens of span ``span_pos`` (0-based) of ``text``, cut to ``max_length``."""
+    span = F.element_at(F.split(text, SPAN_SPLIT), span_pos + 1)
+    return F.slice(tokenize(span), 1, max_length)
+
+
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                 no_repeat_ngram_size: int = 0, n_model_rows: int | None = None) -> DataFrame:
-    """(id, span_pos, toks, score) for every span of every row of ``rows``
+    """(id, span_pos, score) for every span of every row of ``rows``
     (id-partitioned). ``score`` is NULL for a span without usable tokens;
     every row keeps at least one span, so no row is lost.
 
-    Explode, weight join and aggregation stay inside the id partitions.
+    Explode, weight join and the (sum, count) hash aggregation stay inside
+    the id partitions; no token array is carried past the explode.
     """
     spans = rows.select("id", F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
     toks = spans.select("id", "span_pos", F.slice(tokenize("span"), 1, max_length).alias("toks"))
@@ -110,12 +117,10 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                                .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
-    tokens = toks.select("id", "span_pos", "toks", F.explode_outer("toks").alias("token"))
+    tokens = toks.select("id", "span_pos", F.explode_outer("toks").alias("token"))
     weighted = _with_weights(tokens, model, n_model_rows)
     n = F.count("token")
-    return weighted.groupBy("id", "span_pos").agg(
-        F.first("toks").alias("toks"),
-        F.when(n > 0, F.sum("weight") / n).alias("score"))
+    return weighted.groupBy("id", "span_pos").agg(F.when(n > 0, F.sum("weight") / n).alias("score"))
 
 
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
@@ -128,31 +133,30 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
 
     ``text_col`` and the ``keep`` columns (names, or a name -> Column dict)
     are evaluated *after* the one hash-partitioning of the raw input rows by
-    id, so the scoring branch and the pass-through branch share that
-    exchange (Spark reuses it) and the text crosses the network once.
+    id. The scoring branch and the title branch read the same exchange
+    (Spark reuses it), so the text crosses the network once; the best spans
+    are picked by a window over span-level rows inside the id partitions,
+    and their tokens are rebuilt from the text through a hash join.
     Rows without an id cannot be keyed and are left out.
     """
     keep = dict(keep) if isinstance(keep, dict) else {k: F.col(k) for k in keep}
     base = abstracts.where(F.col(id_col).isNotNull()).repartition(id_col)
     rows = base.select(F.col(id_col).alias("id"), _col(text_col).alias("text"))
     scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows)
-    title = F.array_join("toks", " ")
-    if num_beams <= 1:
-        order = F.when(F.col("score").isNotNull(),
-                       F.struct("score", (-F.col("span_pos")).alias("p")))
-        best = scores.groupBy("id").agg(F.max_by("toks", order).alias("toks"),
-                                        F.max("score").alias("score"))
-        out = best.select("id", F.when(F.col("score").isNotNull(), title).alias("predicted_title"),
-                          "score")
-    else:
-        w = Window.partitionBy("id").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"))
-        ranked = scores.withColumn("beam", F.row_number().over(w))
-        kept = ranked.where(((F.col("beam") <= num_beams) & F.col("score").isNotNull())
-                            | ((F.col("beam") == 1) & F.col("score").isNull()))
-        scored = F.col("score").isNotNull()
-        out = kept.select("id", F.when(scored, title).alias("predicted_title"), "score",
-                          F.when(scored, F.col("beam")).alias("beam"))
+    w = Window.partitionBy("id").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"))
+    ranked = scores.withColumn("beam", F.row_number().over(w))
+    scored = F.col("score").isNotNull()
+    # Up to k scored spans; a row with no scored span keeps one NULL entry.
+    best = ranked.where(((F.col("beam") <= max(num_beams, 1)) & scored)
+                        | ((F.col("beam") == 1) & ~scored))
+    titled = rows.join(best.hint("shuffle_hash"), "id", "left")
+    title = F.array_join(_span_tokens(F.col("text"), F.col("span_pos"), max_length), " ")
+    cols = ["id", F.when(scored, title).alias("predicted_title"), "score"]
+    if num_beams > 1:
+        cols.append(F.when(scored, F.col("beam")).alias("beam"))
+    out = titled.select(*cols)
     if keep:
+        # Pass-through columns come from the same id-partitioned rows.
         passthrough = base.select(F.col(id_col).alias("id"),
                                   *[c.alias(name) for name, c in keep.items()])
         out = passthrough.join(out, "id", "left")
