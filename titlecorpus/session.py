@@ -45,7 +45,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                                  str(initial_partitions))
     if master and master.startswith("local"):
         builder = builder.config("spark.ui.enabled", "false")
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if shuffle_partitions is None and spark.sparkContext.master.startswith("local"):
+        # One machine: as many shuffle partitions as cores.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
