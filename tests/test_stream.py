@@ -48,3 +48,17 @@ def test_stream_with_user_predictor_captures_errors(spark, tmp_path):
     assert rows[2].predicted_title is None
     assert rows[2].error == PREDICTION_ERROR_PREFIX + "cannot title this"
     assert rows[3].error == INVALID_INPUT_MESSAGE
+
+
+def test_replayed_batch_is_not_duplicated(spark, tmp_path):
+    from titlecorpus.streaming.predict import write_predictions
+    pairs = spark.createDataFrame([(1, "Spin chains. We study.", "Spin chains")],
+                                  "id long, input_text string, target_text string")
+    m = model.fit(pairs)
+    batch = spark.createDataFrame([(1, "Spin chains."), (2, "")], "id long, abstract string")
+    out = str(tmp_path / "out")
+    write_predictions(batch, 0, out, m, 10)
+    write_predictions(batch, 0, out, m, 10)  # the same batch again, e.g. after a failure
+    write_predictions(batch, 1, out, m, 10)
+    got = spark.read.parquet(out)
+    assert got.count() == 4 and got.where("batch_id = 0").count() == 2

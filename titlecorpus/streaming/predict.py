@@ -48,6 +48,17 @@ def predict_batch_with(requests: DataFrame, predictor) -> DataFrame:
                       F.coalesce(checked["error"], titles["error"]).alias("error"))
 
 
+def write_predictions(batch: DataFrame, batch_id: int, output_dir: str, model: DataFrame | None,
+                      n_model_rows: int | None, max_length: int = 128, predictor=None) -> None:
+    """Predict one micro-batch into ``<output_dir>/batch_id=<n>``, replacing
+    whatever an earlier attempt of the same batch wrote (idempotent replay)."""
+    if predictor is not None:
+        out = predict_batch_with(batch, predictor)
+    else:
+        out = predict_batch(batch, model, n_model_rows, max_length)
+    out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
+
+
 def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | None,
                          n_model_rows: int | None, output_dir: str, checkpoint_dir: str,
                          max_length: int = 128, available_now: bool = True,
@@ -60,11 +71,7 @@ def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame
     requests = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if predictor is not None:
-            out = predict_batch_with(batch, predictor)
-        else:
-            out = predict_batch(batch, model, n_model_rows, max_length)
-        out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
+        write_predictions(batch, batch_id, output_dir, model, n_model_rows, max_length, predictor)
 
     writer = (requests.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_dir))
