@@ -30,3 +30,16 @@ def test_cut_rank_and_rows_at(spark, monkeypatch, n, seed, data):
     pos = data.draw(st.lists(st.integers(1, max(n, 1)), max_size=4))
     got = {r["rank"]: r.id for r in order.rows_at(pos).collect()}
     assert got == {r: i for i, r in ref.items() if r in set(pos)}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(1, 400), seed=st.integers(0, 1000), data=st.data())
+def test_several_cuts_in_one_job(spark, monkeypatch, n, seed, data):
+    monkeypatch.setattr(rank_mod, "_BUCKET_DIGITS", 1)
+    monkeypatch.setattr(rank_mod, "_EXACT_LIMIT", data.draw(st.sampled_from([5, 10_000])))
+    df = spark.range(n)
+    ref = brute(list(range(n)), seed)
+    ks = data.draw(st.lists(st.integers(-1, n + 2), min_size=1, max_size=4))
+    order = HashOrder(df, "id", seed)
+    for k, pred in zip(ks, order.cuts(ks)):
+        assert {r.id for r in df.where(pred).collect()} == {i for i, r in ref.items() if r <= k}

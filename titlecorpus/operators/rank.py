@@ -85,14 +85,52 @@ class HashOrder:
             prefix = bucket
             hist = self._histogram(prefix)
 
+    def boundaries(self, ks) -> dict:
+        """``{k: (h, key)}`` of the k-th rows for several k at once: one job
+        ranks only the buckets that hold them; a bucket too large for that
+        is refined on its own (``boundary``)."""
+        total = self.count()
+        found, pending = {}, {}
+        for k in sorted({int(k) for k in ks if 0 < int(k) <= total}):
+            before = 0
+            for bucket, n in self._hist:
+                if before + n >= k:
+                    break
+                before += n
+            if n <= _EXACT_LIMIT:
+                pending[k] = (bucket, k - before)
+            else:
+                found[k] = self.boundary(k)
+        if pending:
+            buckets = sorted({b for b, _ in pending.values()})
+            local = sorted({r for _, r in pending.values()})
+            digits = len(buckets[0])
+            within = Window.partitionBy("_b").orderBy("_h", self.key)
+            # At most len(buckets) x len(ks) rows reach the driver.
+            rows = (self._keyed().withColumn("_b", F.substring("_h", 1, digits))
+                    .where(F.col("_b").isin(buckets))
+                    .withColumn("_r", F.row_number().over(within))
+                    .where(F.col("_r").isin(local)).collect())
+            at = {(r["_b"], r["_r"]): (r["_h"], r[self.key]) for r in rows}
+            found.update({k: at[pos] for k, pos in pending.items()})
+        return found
+
+    def cuts(self, ks) -> list:
+        """Predicates for several k, with all boundaries found in one job."""
+        total = self.count()
+        bounds = self.boundaries([k for k in ks if 0 < k < total])
+        return [self._cut_at(k, total, bounds.get(k)) for k in ks]
+
     def cut(self, k: int) -> Column:
         """Predicate: True for the first ``k`` rows in hash order."""
-        total = self.count()
+        return self.cuts([k])[0]
+
+    def _cut_at(self, k: int, total: int, bound) -> Column:
         if k <= 0:
             return F.lit(False)
         if k >= total:
             return F.lit(True)
-        bh, bk = self.boundary(k)
+        bh, bk = bound
         # One md5 per row: (h, key) <= (h_k, key_k) as a struct comparison.
         return (F.struct(self.h.alias("h"), F.col(self.key).alias("k"))
                 <= F.struct(F.lit(bh).alias("h"), F.lit(bk).alias("k")))

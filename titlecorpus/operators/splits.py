@@ -44,11 +44,10 @@ def split_three_way(df: DataFrame, held_frac: float = 0.1, seed=42, key: str = "
     """train / validation / test with exact sizes from one hash order."""
     order = HashOrder(df, key, seed)
     held, test = three_way_sizes(held_frac, order.count())
+    in_test, in_held = order.cuts([test, held])
     return df.withColumn(
         split_col,
-        F.when(order.cut(test), F.lit("test"))
-        .when(order.cut(held), F.lit("validation"))
-        .otherwise(F.lit("train")))
+        F.when(in_test, F.lit("test")).when(in_held, F.lit("validation")).otherwise(F.lit("train")))
 
 
 def first_k_of_split(df: DataFrame, k: int, seed=42, key: str = "id",
