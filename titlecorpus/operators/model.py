@@ -70,7 +70,10 @@ def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None) -> DataFrame:
     """Left-join token weights (0 when unseen), sized by the model row count."""
     weights = model.select("token", "weight")
-    if n_model_rows is not None and n_model_rows <= BROADCAST_MODEL_ROWS:
+    if n_model_rows is None:
+        # Unknown size: count the model table (one row per token) first.
+        n_model_rows = model.count()
+    if n_model_rows <= BROADCAST_MODEL_ROWS:
         joined = tokens.join(F.broadcast(weights), "token", "left")
         return joined.withColumn("weight", F.coalesce("weight", F.lit(0)))
     # Large model: frequent tokens (by paper count) are the skewed keys; they
