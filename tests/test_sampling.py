@@ -116,3 +116,21 @@ def test_epoch_batches(spark):
     order0 = [r.id for r in sorted((r for r in rows if r.epoch == 0), key=lambda r: r.position)]
     order1 = [r.id for r in sorted((r for r in rows if r.epoch == 1), key=lambda r: r.position)]
     assert sorted(order0) == list(range(10)) and order0 != order1
+
+
+def test_complement_broadcast_bound(spark, monkeypatch):
+    df = spark.range(50)
+    part = df.where("id % 5 = 0")
+    small = splits.complement(df, part)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(splits, "BROADCAST_KEYS", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = splits.complement(df, part)
+        large.collect()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in large.collect()) == [i for i in range(50) if i % 5]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

@@ -28,9 +28,21 @@ def split_fraction(df: DataFrame, frac: float = 0.1, seed=42, key: str = "id",
     return df.withColumn(split_col, F.when(order.cut(k), F.lit(part)).otherwise(F.lit(rest)))
 
 
+# Identity keys of the removed part that may be broadcast (8 bytes each).
+BROADCAST_KEYS = 10_000_000
+
+
 def complement(df: DataFrame, part: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of ``df`` whose key is not in ``part`` (difference by row identity)."""
-    return df.join(part.select(key), key, "left_anti")
+    """Rows of ``df`` whose key is not in ``part`` (difference by row identity).
+
+    The part's keys are counted first: up to ``BROADCAST_KEYS`` of them are
+    broadcast, so the rows of ``df`` (with their text) are not shuffled;
+    beyond that both sides meet in a shuffle join on the key.
+    """
+    keys = part.select(key)
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.join(keys, key, "left_anti")
 
 
 def three_way_sizes(held_frac: float, n: int) -> tuple[int, int]:
