@@ -200,3 +200,12 @@ def test_match_count_observed_in_same_job(spark, write_lines):
     obs = Observation("found")
     rows = jsonl.load_arxiv_metadata(spark, path, 5, categories_filter="a", observation=obs).collect()
     assert len(rows) == 5 and obs.get["n_found"] == 20
+
+
+def test_load_dataset_large_head_path(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(f"t{i:03d}", "a", None, "c") for i in range(300)], PAPER_FILE_SCHEMA)
+    path = files.save_dataset(df.repartition(1), str(tmp_path / "h"), "parquet")
+    small = [r.title for r in files.load_dataset(spark, path, n_rows=120).collect()]
+    monkeypatch.setattr(files, "TOP_N_LIMIT", 10)
+    large = [r.title for r in files.load_dataset(spark, path, n_rows=120).collect()]
+    assert sorted(small) == sorted(large) and len(large) == 120

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlecorpus.operators.rank import FILE_ORDER, HashOrder, with_file_order
-from titlecorpus.operators.select import first_n
+from titlecorpus.operators.rank import FILE_ORDER, HashOrder, file_order_rank, with_file_order
+from titlecorpus.operators.select import TOP_N_LIMIT, first_n
 from titlecorpus.schema import NA_TOKENS, PAPER_FILE_SCHEMA
 
 # CSV layout that reads back cell for cell: quoted fields may hold newlines
@@ -65,7 +65,11 @@ def load_dataset(spark: SparkSession, filename: str, n_rows: int | None = None,
     if n_rows is None:
         return df.select(*data_cols)
     if not random_select:
-        return first_n(df, list(FILE_ORDER), n_rows).select(*data_cols)
+        if n_rows <= TOP_N_LIMIT:
+            return first_n(df, list(FILE_ORDER), n_rows).select(*data_cols)
+        # Large head: number rows in file order from per-split counts (no
+        # shuffle, no checkpoint) and keep a prefix by predicate.
+        return file_order_rank(df, "_pos").where(F.col("_pos") <= n_rows).select(*data_cols)
     keyed = df.withColumn("_line_key", F.concat_ws(":", *[F.col(c).cast("string") for c in FILE_ORDER]))
     order = HashOrder(keyed, "_line_key", seed)
     if n_rows > order.count():
