@@ -102,6 +102,9 @@ def test_fetch_limits_and_display(spark):
     assert table.fetch_papers_for_training(t, 2).columns == ["id", "abstract", "title"]
     assert table.paper_at(t, 2).first().id == 3
     assert table.paper_at(t, 9).count() == 0
+    assert table.paper_info(t, 4).startswith("Paper 5\nTitle: t5")
+    with pytest.raises(IndexError):
+        table.paper_info(t, 5)
     text = table.show_papers(t, 2)
     assert text.startswith("Paper 1\nTitle: t1") and "Paper 2" in text
     with pytest.raises(IndexError):

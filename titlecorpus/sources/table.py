@@ -67,6 +67,14 @@ def format_paper(row: Row, index: int) -> str:
     return "\n".join(lines + [DISPLAY_SEPARATOR])
 
 
+def paper_info(table: DataFrame, index: int) -> str:
+    """Display text of the record at 0-based ``index``; past the end raises."""
+    row = paper_at(table, index).first()
+    if row is None:
+        raise IndexError(f"no paper at position {index}")
+    return format_paper(row, index)
+
+
 def show_papers(table: DataFrame, k: int) -> str:
     """Text of the first ``k`` papers; raises when there are fewer."""
     rows = fetch_papers(table, k).orderBy("id").collect()
