@@ -2,9 +2,9 @@
 
 Ids: 0 = padding, 1 = unknown token, 2.. = vocabulary by descending count,
 ties by token. Encoding explodes the (already truncated) token lists, joins
-the vocabulary -- a broadcast whose size is bounded by the vocabulary size
-argument -- and regroups by row id. The rows are hash-partitioned by id
-first, so the regrouping needs no second shuffle.
+the vocabulary -- broadcast when its size argument bounds it, else by
+shuffle -- and regroups by row id. The rows are hash-partitioned by id
+first, so with the broadcast the regrouping needs no second shuffle.
 """
 
 from __future__ import annotations
