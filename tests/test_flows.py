@@ -55,7 +55,9 @@ def test_evaluate_saved_model_and_three_way_shards(spark, tmp_path):
     model.save_model(model.fit(pairs), str(tmp_path / "m"))
     shown = evaluate_saved_model(spark, pairs, str(tmp_path / "m")).collect()
     assert len(shown) == 5
-    write_training_shards(spark, pairs, str(tmp_path / "sh3"), three_way=True, input_len=4, label_len=2)
+    vocab = write_training_shards(spark, pairs, str(tmp_path / "sh3"), three_way=True, input_len=4,
+                                  label_len=2, mask_pad=True, prefix="summarize: ")
+    assert vocab.where("token = 'summarize'").count() == 1
     got = {r.split: r["count"] for r in spark.read.parquet(str(tmp_path / "sh3")).groupBy("split").count().collect()}
     assert got == {"train": 36, "validation": 2, "test": 2}
 

@@ -16,6 +16,7 @@ import json
 from titlecorpus.operators.model import default_model_name, load_model
 from titlecorpus.plans.corpus import build_corpus, dataset_name
 from titlecorpus.plans.training import train_and_evaluate, training_pairs, write_training_shards
+from titlecorpus.schema import TASK_PREFIX
 from titlecorpus.session import get_session, work_path
 from titlecorpus.streaming.predict import start_predict_stream
 
@@ -43,6 +44,7 @@ def main(argv=None) -> None:
     s.add_argument("--held-frac", type=float, default=0.1)
     s.add_argument("--three-way", action="store_true")
     s.add_argument("--mask-pad", action="store_true")
+    s.add_argument("--task-prefix", action="store_true", help="prefix inputs with the task prefix")
     p = sub.add_parser("predict")
     p.add_argument("--model", required=True)
     p.add_argument("--requests", required=True)
@@ -65,7 +67,8 @@ def main(argv=None) -> None:
         print(json.dumps({"model": path, "eval_loss": out["eval_loss"], **out["totals"]}))
     elif a.cmd == "shards":
         write_training_shards(spark, training_pairs(spark, a.table, None), a.out, a.held_frac,
-                              mask_pad=a.mask_pad, three_way=a.three_way)
+                              mask_pad=a.mask_pad, three_way=a.three_way,
+                              prefix=TASK_PREFIX if a.task_prefix else None)
     elif a.cmd == "predict":
         tokens, totals = load_model(spark, a.model)
         q = start_predict_stream(spark, a.requests, tokens, totals["n_tokens"], a.out,

@@ -15,7 +15,7 @@ from titlecorpus.operators import encode as enc
 from titlecorpus.operators import model as mdl
 from titlecorpus.operators.evaluate import eval_loss, side_by_side
 from titlecorpus.operators.sampling import draw_with_replacement, epoch_batches
-from titlecorpus.operators.select import pair_projection
+from titlecorpus.operators.select import pair_projection, with_task_prefix
 from titlecorpus.operators.splits import first_k_of_split, split_fraction, split_three_way
 from titlecorpus.session import work_path
 from titlecorpus.sources.files import read_split, write_splits
@@ -71,10 +71,13 @@ def evaluate_saved_model(spark: SparkSession, pairs: DataFrame, model_path: str,
 def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
                           held_frac: float = 0.1, seed=42, vocab_size: int = 30_000,
                           input_len: int = 512, label_len: int = 128, mask_pad: bool = False,
-                          three_way: bool = False) -> DataFrame:
+                          three_way: bool = False, prefix: str | None = None) -> DataFrame:
     """Encode all pairs with a vocabulary of the train part and write them
     partitioned by split (train / eval, or train / validation / test);
-    returns the vocabulary."""
+    ``prefix`` (e.g. the task prefix) is put before each input text.
+    Returns the vocabulary."""
+    if prefix is not None:
+        pairs = with_task_prefix(pairs, "input_text", prefix)
     split = (split_three_way(pairs, held_frac, seed) if three_way
              else split_fraction(pairs, held_frac, seed))
     vocab = enc.build_vocab(split.where(F.col("split") == "train"), ["input_text", "target_text"],
