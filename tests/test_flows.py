@@ -80,3 +80,19 @@ def test_write_batch_plan(spark, tmp_path):
     path = write_batch_plan(spark.range(10), str(tmp_path / "plan"), epochs=3, batch_size=4)
     e1 = spark.read.parquet(path).where("epoch = 1")
     assert e1.count() == 10 and sorted(r.position for r in e1.collect()) == list(range(1, 11))
+
+
+def test_file_pairs_and_shards_cli(spark, tmp_path):
+    from titlecorpus.cli import main
+    from titlecorpus.plans.training import file_pairs
+    from titlecorpus.schema import PAPER_FILE_SCHEMA
+    from titlecorpus.sources.files import save_dataset
+    df = spark.createDataFrame([(f"Title {i}", None if i == 3 else f"Abstract {i}. More.", None, "c")
+                                for i in range(12)], PAPER_FILE_SCHEMA)
+    path = save_dataset(df.coalesce(1), str(tmp_path / "papers"), "csv")
+    pairs = file_pairs(spark, path, n_rows=10).orderBy("id").collect()
+    assert [r.id for r in pairs] == [0, 1, 2, 4, 5, 6, 7, 8, 9]
+    assert pairs[0].target_text == "Title 0"
+    main(["shards", "--from-file", path, "--n-rows", "10", "--out", str(tmp_path / "sh"), "--three-way",
+          "--task-prefix", "--mask-pad"])
+    assert spark.read.parquet(str(tmp_path / "sh")).count() == 9

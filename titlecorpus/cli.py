@@ -15,7 +15,8 @@ import json
 
 from titlecorpus.operators.model import default_model_name, load_model
 from titlecorpus.plans.corpus import build_corpus, dataset_name
-from titlecorpus.plans.training import train_and_evaluate, training_pairs, write_training_shards
+from titlecorpus.plans.training import (file_pairs, train_and_evaluate, training_pairs,
+                                        write_training_shards)
 from titlecorpus.schema import TASK_PREFIX
 from titlecorpus.session import get_session, work_path
 from titlecorpus.streaming.predict import start_predict_stream
@@ -39,7 +40,10 @@ def main(argv=None) -> None:
     t.add_argument("--limit", type=int, default=100)
     t.add_argument("--eval-frac", type=float, default=0.1)
     s = sub.add_parser("shards")
-    s.add_argument("--table", required=True)
+    src = s.add_mutually_exclusive_group(required=True)
+    src.add_argument("--table")
+    src.add_argument("--from-file", help="a .csv or .parquet export")
+    s.add_argument("--n-rows", type=int)
     s.add_argument("--out", required=True)
     s.add_argument("--held-frac", type=float, default=0.1)
     s.add_argument("--three-way", action="store_true")
@@ -66,7 +70,9 @@ def main(argv=None) -> None:
         out["shown"].show(truncate=False)
         print(json.dumps({"model": path, "eval_loss": out["eval_loss"], **out["totals"]}))
     elif a.cmd == "shards":
-        write_training_shards(spark, training_pairs(spark, a.table, None), a.out, a.held_frac,
+        pairs = (file_pairs(spark, a.from_file, a.n_rows) if a.from_file
+                 else training_pairs(spark, a.table, a.n_rows))
+        write_training_shards(spark, pairs, a.out, a.held_frac,
                               mask_pad=a.mask_pad, three_way=a.three_way,
                               prefix=TASK_PREFIX if a.task_prefix else None)
     elif a.cmd == "predict":

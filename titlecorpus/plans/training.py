@@ -18,7 +18,8 @@ from titlecorpus.operators.sampling import draw_with_replacement, epoch_batches
 from titlecorpus.operators.select import pair_projection, with_task_prefix
 from titlecorpus.operators.splits import first_k_of_split, split_fraction, split_three_way
 from titlecorpus.session import work_path
-from titlecorpus.sources.files import read_split, write_splits
+from titlecorpus.operators.rank import file_order_rank
+from titlecorpus.sources.files import read_dataset, read_split, write_splits
 from titlecorpus.sources.table import fetch_papers_for_training, read_table
 
 
@@ -28,6 +29,16 @@ def training_pairs(spark: SparkSession, table_path: str, limit: int | None = 100
                                                      -1 if limit is None else limit))
 
 
+def file_pairs(spark: SparkSession, filename: str, n_rows: int | None = None) -> DataFrame:
+    """(id, input_text, target_text) from a CSV / Parquet export: rows are
+    numbered 0.. in file order (from per-split counts, no shuffle), the first
+    ``n_rows`` kept by predicate, then projected to pairs."""
+    numbered = file_order_rank(read_dataset(spark, filename), "_pos")
+    if n_rows is not None and n_rows >= 0:
+        numbered = numbered.where(F.col("_pos") <= n_rows)
+    return pair_projection(numbered.withColumn("id", F.col("_pos") - 1))
+
+
 def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
                        eval_frac: float = 0.1, seed=42, eval_rows: int | None = 5,
                        n_show: int = 5, draw_seed=7, max_length: int = 128) -> dict:
