@@ -116,6 +116,7 @@ def test_epoch_batches(spark):
     order0 = [r.id for r in sorted((r for r in rows if r.epoch == 0), key=lambda r: r.position)]
     order1 = [r.id for r in sorted((r for r in rows if r.epoch == 1), key=lambda r: r.position)]
     assert sorted(order0) == list(range(10)) and order0 != order1
+    assert sampling.epoch_batches(spark.range(10), epochs=0, batch_size=4, seed=42).count() == 0
 
 
 def test_complement_broadcast_bound(spark, monkeypatch):

@@ -71,6 +71,9 @@ def draw_with_replacement(df: DataFrame, k: int, seed, order_seed=42, key: str =
 def epoch_batches(df: DataFrame, epochs: int, batch_size: int, seed, key: str = "id") -> DataFrame:
     """Per epoch, a fresh seeded shuffle cut into batches of ``batch_size``
     (the last one may be short): adds ``epoch``, ``position``, ``batch_id``."""
+    if epochs <= 0:
+        return df.limit(0).select(F.lit(0).alias("epoch"), key, F.lit(0).cast("long").alias("position"),
+                                  F.lit(0).cast("long").alias("batch_id"))
     per_epoch = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     epoch_seed: Column = F.concat(F.lit(f"{seed}:"), F.col("epoch").cast("string"))
     ranked = hash_rank(per_epoch, key, epoch_seed, "position", group_cols=["epoch"])
