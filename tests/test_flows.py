@@ -73,6 +73,8 @@ def test_cli_build_and_train(spark, tmp_path, capsys):
     main(["train", "--table", table, "--model-dir", str(tmp_path / "models"), "--model-name", "m1"])
     out = capsys.readouterr().out
     assert '"eval_loss"' in out
+    main(["evaluate", "--table", table, "--model", str(tmp_path / "models" / "m1"), "--show", "3"])
+    assert "true_title" in capsys.readouterr().out
 
 
 def test_write_batch_plan(spark, tmp_path):

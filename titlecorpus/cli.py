@@ -3,6 +3,7 @@
     build    JSON-lines dump -> papers table (filter, first / random N, show K)
     train    papers table -> split -> fit + save model -> held-out loss + examples
     shards   papers table -> encoded training shards per split
+    evaluate saved model on an exact 0.9 sample: k random true vs predicted titles
     predict  request files (id, abstract) -> titles, as a stream (availableNow)
 
 Paths may be any Hadoop path; intermediate state goes to spark.checkpoint.dir.
@@ -15,8 +16,8 @@ import json
 
 from titlecorpus.operators.model import default_model_name, load_model
 from titlecorpus.plans.corpus import build_corpus, dataset_name
-from titlecorpus.plans.training import (file_pairs, train_and_evaluate, training_pairs,
-                                        write_training_shards)
+from titlecorpus.plans.training import (evaluate_saved_model, file_pairs, train_and_evaluate,
+                                        training_pairs, write_training_shards)
 from titlecorpus.schema import TASK_PREFIX
 from titlecorpus.session import get_session, work_path
 from titlecorpus.streaming.predict import start_predict_stream
@@ -49,6 +50,12 @@ def main(argv=None) -> None:
     s.add_argument("--three-way", action="store_true")
     s.add_argument("--mask-pad", action="store_true")
     s.add_argument("--task-prefix", action="store_true", help="prefix inputs with the task prefix")
+    e = sub.add_parser("evaluate")
+    e.add_argument("--table", required=True)
+    e.add_argument("--model", required=True)
+    e.add_argument("--limit", type=int, default=1000)
+    e.add_argument("--frac", type=float, default=0.9)
+    e.add_argument("--show", type=int, default=5)
     p = sub.add_parser("predict")
     p.add_argument("--model", required=True)
     p.add_argument("--requests", required=True)
@@ -75,6 +82,10 @@ def main(argv=None) -> None:
         write_training_shards(spark, pairs, a.out, a.held_frac,
                               mask_pad=a.mask_pad, three_way=a.three_way,
                               prefix=TASK_PREFIX if a.task_prefix else None)
+    elif a.cmd == "evaluate":
+        shown = evaluate_saved_model(spark, training_pairs(spark, a.table, a.limit), a.model,
+                                     a.frac, n_show=a.show)
+        shown.orderBy("draw").show(truncate=False)
     elif a.cmd == "predict":
         tokens, totals = load_model(spark, a.model)
         q = start_predict_stream(spark, a.requests, tokens, totals["n_tokens"], a.out,
