@@ -35,8 +35,10 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
     One explode of each abstract's distinct tokens and one aggregation by
     token; partial (map-side) counts absorb very frequent tokens.
     """
+    # Abstract tokens are de-duplicated (papers are counted once per token);
+    # the title side is only probed with array_contains, so it needs none.
     per_paper = pairs.select(F.array_distinct(tokenize(input_col)).alias("a"),
-                             F.array_distinct(tokenize(target_col)).alias("t"))
+                             tokenize(target_col).alias("t"))
     occ = per_paper.select(F.explode("a").alias("token"), "t").select(
         "token", F.array_contains("t", F.col("token")).alias("in_title"))
     counts = occ.groupBy("token").agg(F.count(F.lit(1)).alias("n_abs"),
