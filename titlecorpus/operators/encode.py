@@ -55,17 +55,24 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     columns (functions of the id, e.g. the split name) are carried along as
     extra grouping keys, which the id partitioning already satisfies.
     """
-    def tagged(col, side, length):
+    def toks(col, length):
         # A NULL text encodes like an empty one (all padding).
-        return F.transform(F.slice(tokenize(F.coalesce(F.col(col), F.lit(""))), 1, length),
-                           lambda t, i: F.struct(F.lit(side).alias("side"), i.alias("pos"),
-                                                 t.alias("token")))
+        return F.slice(tokenize(F.coalesce(F.col(col), F.lit(""))), 1, length)
 
-    items = F.concat(tagged(input_col, 0, input_len), tagged(target_col, 1, label_len))
     keep = list(keep)
-    rows = df.select(F.col(id_col).alias("_id"), *keep, items.alias("_items")).repartition("_id")
-    exploded = rows.select("_id", *keep, F.explode_outer("_items").alias("_it")).select(
-        "_id", *keep, "_it.side", "_it.pos", "_it.token")
+    tokenized = df.select(F.col(id_col).alias("_id"), *keep, toks(input_col, input_len).alias("_in"),
+                          toks(target_col, label_len).alias("_lab"))
+    # Inputs then labels in one array; the position tells the side apart.
+    rows = tokenized.select("_id", *keep, F.concat("_in", "_lab").alias("_items"),
+                            F.size("_in").alias("_n_in")).repartition("_id")
+    exploded = rows.select("_id", *keep, "_n_in",
+                           F.posexplode_outer("_items").alias("_p", "token"))
+    is_label = F.col("_p") >= F.col("_n_in")
+    # An empty text leaves one row with a NULL position: side stays NULL.
+    exploded = exploded.select(
+        "_id", *keep, "token",
+        F.when(is_label, 1).when(~is_label, 0).alias("side"),
+        F.when(is_label, F.col("_p") - F.col("_n_in")).otherwise(F.col("_p")).alias("pos"))
     table = vocab.select("token", "token_id")
     # ``vocab_size`` (the build argument) bounds the table; unknown size or a
     # very large vocabulary goes through a shuffle join instead.
