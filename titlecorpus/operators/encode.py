@@ -40,8 +40,8 @@ def build_vocab(df: DataFrame, text_cols, size: int = 30_000) -> DataFrame:
     return top.withColumn("token_id", (rank + 1).cast("int"))
 
 
-def _pad(ids, length: int):
-    return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(length) - F.size(ids)))
+def _pad(ids, length: int, value: int = PAD_ID):
+    return F.concat(ids, F.array_repeat(F.lit(value), F.lit(length) - F.size(ids)))
 
 
 def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
@@ -89,12 +89,13 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
 
     def side_ids(side):
         picked = F.collect_list(F.when(F.col("side") == side, F.struct("pos", "tid")))
-        return F.transform(F.array_sort(picked), lambda s: s["tid"])
+        # Sorted by position, then the id field of every element.
+        return F.array_sort(picked).getField("tid")
 
     grouped = ids.groupBy("_id", *keep).agg(side_ids(0).alias("_in"), side_ids(1).alias("_lab"))
-    labels = _pad(F.col("_lab"), label_len)
-    if mask_pad:
-        labels = F.transform(labels, lambda x: F.when(x == PAD_ID, F.lit(LABEL_IGNORE)).otherwise(x))
+    # Padding sits only on the right and real ids are never 0, so masking the
+    # padding is padding with -100 directly.
+    labels = _pad(F.col("_lab"), label_len, LABEL_IGNORE if mask_pad else PAD_ID)
     return grouped.select(F.col("_id").alias(id_col), *keep,
                           _pad(F.col("_in"), input_len).alias("input_ids"),
                           labels.alias("labels"))
