@@ -114,10 +114,11 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     spans = rows.select("id", F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
     toks = spans.select("id", "span_pos", F.slice(tokenize("span"), 1, max_length).alias("toks"))
     if no_repeat_ngram_size == 2:
-        # Adjacent token pairs; a span repeating one is not a candidate.
-        pairs = F.transform(F.slice("toks", 1, F.greatest(F.size("toks") - 1, F.lit(1))),
-                            lambda t, i: F.concat(t, F.lit(" "), F.try_element_at("toks", i + 2)))
-        repeats = (F.size("toks") > 1) & (F.size(F.array_distinct(pairs)) < F.size(pairs))
+        # Adjacent token pairs (the list zipped with itself shifted by one);
+        # a span repeating a pair is not a candidate.
+        m = F.greatest(F.size("toks") - 1, F.lit(0))
+        pairs = F.arrays_zip(F.slice("toks", 1, m), F.slice("toks", 2, m))
+        repeats = F.size(F.array_distinct(pairs)) < F.size(pairs)
         toks = toks.withColumn("toks", F.when(repeats, F.array().cast("array<string>"))
                                .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
