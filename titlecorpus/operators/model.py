@@ -103,16 +103,21 @@ def _span_tokens(text: Column, span_pos: Column, max_length: int) -> Column:
 
 
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
-                no_repeat_ngram_size: int = 0, n_model_rows: int | None = None) -> DataFrame:
+                no_repeat_ngram_size: int = 0, n_model_rows: int | None = None,
+                carry=()) -> DataFrame:
     """(id, span_pos, score) for every span of every row of ``rows``
     (id-partitioned). ``score`` is NULL for a span without usable tokens;
     every row keeps at least one span, so no row is lost.
 
     Explode, weight join and the (sum, count) hash aggregation stay inside
-    the id partitions; no token array is carried past the explode.
+    the id partitions; no token array is carried past the explode. ``carry``
+    names small columns (functions of the id) kept as extra grouping keys.
     """
-    spans = rows.select("id", F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
-    toks = spans.select("id", "span_pos", F.slice(tokenize("span"), 1, max_length).alias("toks"))
+    carry = list(carry)
+    spans = rows.select("id", *carry,
+                        F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
+    toks = spans.select("id", *carry, "span_pos",
+                        F.slice(tokenize("span"), 1, max_length).alias("toks"))
     if no_repeat_ngram_size == 2:
         # Adjacent token pairs (the list zipped with itself shifted by one);
         # a span repeating a pair is not a candidate.
@@ -123,16 +128,17 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                                .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
-    tokens = toks.select("id", "span_pos", F.explode_outer("toks").alias("token"))
+    tokens = toks.select("id", *carry, "span_pos", F.explode_outer("toks").alias("token"))
     weighted = _with_weights(tokens, model, n_model_rows)
     n = F.count("token")
-    return weighted.groupBy("id", "span_pos").agg(F.when(n > 0, F.sum("weight") / n).alias("score"))
+    return weighted.groupBy("id", "span_pos", *carry).agg(
+        F.when(n > 0, F.sum("weight") / n).alias("score"))
 
 
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              num_beams: int = 1, no_repeat_ngram_size: int = 0,
              n_model_rows: int | None = None, id_col: str = "id",
-             text_col="abstract", keep: dict | tuple = ()) -> DataFrame:
+             text_col="abstract", keep: dict | tuple = (), carry=()) -> DataFrame:
     """Best span per row: (id, *keep, predicted_title, score); NULL title and
     score for rows without any usable token. ``num_beams`` > 1 keeps the k
     best spans per row (column ``beam``).
@@ -143,21 +149,26 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
     (Spark reuses it), so the text crosses the network once; the best spans
     are picked by a window over span-level rows inside the id partitions,
     and their tokens are rebuilt from the text through a hash join.
+    ``carry`` names small input columns to output as well: they ride along
+    the scoring as grouping keys, so both branches read the very same
+    exchange (``keep`` columns that are not derived from the text's inputs
+    would need a second, separate exchange).
     Rows without an id cannot be keyed and are left out.
     """
     keep = dict(keep) if isinstance(keep, dict) else {k: F.col(k) for k in keep}
     base = abstracts.where(F.col(id_col).isNotNull()).repartition(id_col)
-    rows = base.select(F.col(id_col).alias("id"), _col(text_col).alias("text"))
-    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows)
+    carry = list(carry)
+    rows = base.select(F.col(id_col).alias("id"), _col(text_col).alias("text"), *carry)
+    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows, carry)
     w = Window.partitionBy("id").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"))
     ranked = scores.withColumn("beam", F.row_number().over(w))
     scored = F.col("score").isNotNull()
     # Up to k scored spans; a row with no scored span keeps one NULL entry.
     best = ranked.where(((F.col("beam") <= max(num_beams, 1)) & scored)
                         | ((F.col("beam") == 1) & ~scored))
-    titled = rows.join(best.hint("shuffle_hash"), "id", "left")
+    titled = rows.join(best.drop(*carry).hint("shuffle_hash"), "id", "left")
     title = F.array_join(_span_tokens(F.col("text"), F.col("span_pos"), max_length), " ")
-    cols = ["id", F.when(scored, title).alias("predicted_title"), "score"]
+    cols = ["id", *carry, F.when(scored, title).alias("predicted_title"), "score"]
     if num_beams > 1:
         cols.append(F.when(scored, F.col("beam")).alias("beam"))
     out = titled.select(*cols)

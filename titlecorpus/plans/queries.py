@@ -264,7 +264,7 @@ def q_predict_conversations(spark, sf):
     turns = papers.read_table(spark, sf, "conversations").select(
         F.concat_ws(":", "conv_id", "turn").alias("id"), "role", "text")
     return model.generate(turns, tokens, TITLE_LEN, n_model_rows=totals["n_tokens"],
-                          text_col="text", keep=("role",))
+                          text_col="text", carry=("role",))
 
 
 # -- stream and user functions -----------------------------------------------------------
