@@ -119,3 +119,9 @@ def test_side_by_side_reuses_text_exchange(spark):
     df.collect()
     plan = plan_of(df)
     assert "ReusedExchange" in plan
+
+
+def test_carried_column_shares_the_exchange(spark):
+    plan = final_plan(E.queries()["predict_conversations"](spark, SF_SMALL))
+    own = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "ReusedExchange" not in l]
+    assert len(own) == 1 and "ReusedExchange" in plan
