@@ -43,14 +43,13 @@ def _overlap():
 def predict_side_by_side(eval_rows: DataFrame, model: DataFrame, max_length: int = 128,
                          n_model_rows: int | None = None) -> DataFrame:
     """Generate and compare in one plan: (id, true_title, predicted_title,
-    abstract, overlap). The abstract rides along with the one id exchange of
-    the generation (reused); only the short true titles are shuffled to meet
-    the predictions."""
+    abstract, overlap). The true title is carried through the scoring and
+    the abstract is the scored text itself, so everything comes out of the
+    generation's one id exchange (reused by its title join)."""
     pred = generate(eval_rows, model, max_length, n_model_rows=n_model_rows,
-                    text_col="input_text", keep={"abstract": F.col("input_text")})
-    titles = eval_rows.select("id", F.col("target_text").alias("true_title"))
-    return pred.join(titles, "id", "left").select(
-        "id", "true_title", "predicted_title", "abstract", _overlap().alias("overlap"))
+                    text_col="input_text", carry=("target_text",), text_as="abstract")
+    return pred.select("id", F.col("target_text").alias("true_title"), "predicted_title",
+                       "abstract", _overlap().alias("overlap"))
 
 
 def side_by_side(eval_rows: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -138,7 +138,8 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              num_beams: int = 1, no_repeat_ngram_size: int = 0,
              n_model_rows: int | None = None, id_col: str = "id",
-             text_col="abstract", keep: dict | tuple = (), carry=()) -> DataFrame:
+             text_col="abstract", keep: dict | tuple = (), carry=(),
+             text_as: str | None = None) -> DataFrame:
     """Best span per row: (id, *keep, predicted_title, score); NULL title and
     score for rows without any usable token. ``num_beams`` > 1 keeps the k
     best spans per row (column ``beam``).
@@ -152,7 +153,8 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
     ``carry`` names small input columns to output as well: they ride along
     the scoring as grouping keys, so both branches read the very same
     exchange (``keep`` columns that are not derived from the text's inputs
-    would need a second, separate exchange).
+    would need a second, separate exchange). ``text_as`` also outputs the
+    scored text under that name, read by the same join that rebuilds titles.
     Rows without an id cannot be keyed and are left out.
     """
     keep = dict(keep) if isinstance(keep, dict) else {k: F.col(k) for k in keep}
@@ -168,7 +170,8 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
                         | ((F.col("beam") == 1) & ~scored))
     titled = rows.join(best.drop(*carry).hint("shuffle_hash"), "id", "left")
     title = F.array_join(_span_tokens(F.col("text"), F.col("span_pos"), max_length), " ")
-    cols = ["id", *carry, F.when(scored, title).alias("predicted_title"), "score"]
+    cols = ["id", *carry, *([F.col("text").alias(text_as)] if text_as else []),
+            F.when(scored, title).alias("predicted_title"), "score"]
     if num_beams > 1:
         cols.append(F.when(scored, F.col("beam")).alias("beam"))
     out = titled.select(*cols)
