@@ -75,3 +75,19 @@ def test_eval_loss_and_side_by_side(spark, pairs):
     pred = model.generate(ev, model.fit(train), text_col="input_text", n_model_rows=100)
     sbs = side_by_side(ev, pred).first()
     assert sbs.true_title == "Spin glasses" and sbs.overlap >= 1
+
+
+def test_pass_through_options_agree(spark, pairs):
+    m = model.fit(pairs)
+    req = spark.createDataFrame([(1, "Spin chains. Graphs!", "a"), (2, None, "b"), (3, "x. y", "c")],
+                                "id long, abstract string, tag string")
+    base = {r.id: (r.predicted_title, r.score) for r in model.generate(req, m, n_model_rows=9).collect()}
+    kept = {r.id: r for r in model.generate(req, m, n_model_rows=9, keep=("tag",)).collect()}
+    carried = {r.id: r for r in model.generate(req, m, n_model_rows=9, carry=("tag",),
+                                               text_as="abstract").collect()}
+    assert set(kept) == set(carried) == {1, 2, 3}
+    for i, (title, score) in base.items():
+        assert (kept[i].predicted_title, kept[i].score) == (title, score)
+        assert (carried[i].predicted_title, carried[i].score) == (title, score)
+        assert kept[i].tag == carried[i].tag == {1: "a", 2: "b", 3: "c"}[i]
+    assert carried[1].abstract == "Spin chains. Graphs!" and carried[2].abstract is None
