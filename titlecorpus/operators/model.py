@@ -140,9 +140,9 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              n_model_rows: int | None = None, id_col: str = "id",
              text_col="abstract", keep: dict | tuple = (), carry=(),
              text_as: str | None = None) -> DataFrame:
-    """Best span per row: (id, *keep, predicted_title, score); NULL title and
-    score for rows without any usable token. ``num_beams`` > 1 keeps the k
-    best spans per row (column ``beam``).
+    """Best span per row: (id, *keep, *carry, [text_as], predicted_title,
+    score); NULL title and score for rows without any usable token.
+    ``num_beams`` > 1 keeps the k best spans per row (column ``beam``).
 
     ``text_col`` and the ``keep`` columns (names, or a name -> Column dict)
     are evaluated *after* the one hash-partitioning of the raw input rows by
