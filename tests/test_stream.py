@@ -62,3 +62,22 @@ def test_replayed_batch_is_not_duplicated(spark, tmp_path):
     write_predictions(batch, 1, out, m, 10)
     got = spark.read.parquet(out)
     assert got.count() == 4 and got.where("batch_id = 0").count() == 2
+
+
+def test_stream_from_json_request_files(spark, tmp_path):
+    import json as _json
+    import pytest as _pytest
+    pairs = spark.createDataFrame([(1, "Spin chains. We study spin chains.", "Spin chains")],
+                                  "id long, input_text string, target_text string")
+    m = model.fit(pairs)
+    src = tmp_path / "json_requests"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(_json.dumps(r) for r in [
+        {"id": 1, "abstract": "Spin chains. Nothing."}, {"id": 2, "abstract": " "}]) + "\n")
+    out, chk = str(tmp_path / "out"), str(tmp_path / "chk")
+    q = start_predict_stream(spark, str(src), m, 10, out, chk, source_format="json")
+    q.awaitTermination()
+    rows = {r.id: r for r in spark.read.parquet(out).collect()}
+    assert rows[1].predicted_title == "spin chains" and rows[2].error == INVALID_INPUT_MESSAGE
+    with _pytest.raises(ValueError):
+        start_predict_stream(spark, str(src), m, 10, out, chk, source_format="csv")

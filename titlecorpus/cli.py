@@ -61,6 +61,7 @@ def main(argv=None) -> None:
     p.add_argument("--requests", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--max-length", type=int, default=128)
+    p.add_argument("--source-format", choices=("parquet", "json"), default="parquet")
     a = ap.parse_args(argv)
 
     spark = get_session()
@@ -89,7 +90,8 @@ def main(argv=None) -> None:
     elif a.cmd == "predict":
         tokens, totals = load_model(spark, a.model)
         q = start_predict_stream(spark, a.requests, tokens, totals["n_tokens"], a.out,
-                                 work_path(spark, "predict-checkpoint"), a.max_length)
+                                 work_path(spark, "predict-checkpoint"), a.max_length,
+                                 source_format=a.source_format)
         q.awaitTermination()
 
 

@@ -59,16 +59,37 @@ def write_predictions(batch: DataFrame, batch_id: int, output_dir: str, model: D
     out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
 
 
+def request_stream(spark: SparkSession, source_dir: str | None, source_format: str = "parquet",
+                   source_options: dict | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of requests ``(id, abstract)``."""
+    if source_format == "kafka":
+        raw = spark.readStream.format("kafka").options(**(source_options or {})).load()
+        parsed = F.from_json(F.col("value").cast("string"), REQUEST_SCHEMA)
+        return raw.select(parsed.alias("r")).select("r.id", "r.abstract")
+    if source_format not in ("parquet", "json"):
+        raise ValueError(f"Unsupported request source {source_format!r}")
+    reader = spark.readStream.schema(REQUEST_SCHEMA).options(**(source_options or {}))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.format(source_format).load(source_dir)
+
+
 def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | None,
                          n_model_rows: int | None, output_dir: str, checkpoint_dir: str,
                          max_length: int = 128, available_now: bool = True,
                          max_files_per_trigger: int | None = None,
-                         predictor=None) -> StreamingQuery:
-    """Start the stream; ``predictor`` (optional) replaces the counted model."""
-    reader = spark.readStream.schema(REQUEST_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    requests = reader.parquet(source_dir)
+                         predictor=None, source_format: str = "parquet",
+                         source_options: dict | None = None) -> StreamingQuery:
+    """Start the stream; ``predictor`` (optional) replaces the counted model.
+
+    ``source_format``: ``parquet`` or ``json`` request files in ``source_dir``
+    (JSON lines ``{"id": ..., "abstract": ...}``), or ``kafka`` with
+    ``source_options`` (bootstrap servers, topic) whose message values are
+    such JSON objects; Kafka needs its connector on the classpath.
+    """
+    requests = request_stream(spark, source_dir, source_format, source_options,
+                              max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         write_predictions(batch, batch_id, output_dir, model, n_model_rows, max_length, predictor)
