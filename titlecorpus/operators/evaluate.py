@@ -19,19 +19,25 @@ def eval_loss(train: DataFrame, eval_rows: DataFrame, target_col: str = "target_
     """Mean -ln P(token) over eval title tokens under add-one unigrams of the
     training titles: P = (k + 1) / (T + V + 1); one row ``(eval_loss, n_tokens)``.
 
-    Both sides are aggregated by token before they meet, so the join moves
-    one row per distinct token, not one per occurrence.
+    Computed in one job: since -ln P = -ln(k + 1) + ln(T + V + 1), a single
+    aggregation over the union of the training counts (giving T and V) and
+    the eval tokens joined to them (giving sum m * ln(k + 1) and sum m) has
+    everything. Both sides are aggregated by token before they meet, so the
+    join moves one row per distinct token.
     """
     counts = title_unigrams(train, target_col)
-    totals = counts.agg(F.sum("k").alias("T"), F.count(F.lit(1)).alias("V")).first()
-    t_all, v_all = int(totals["T"] or 0), int(totals["V"] or 0)
     seen = (eval_rows.select(F.explode(tokenize(target_col)).alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("m")))
-    per_token = seen.join(counts, "token", "left").select(
-        "m", (-F.ln((F.coalesce("k", F.lit(0)) + 1) / F.lit(float(t_all + v_all + 1)))).alias("nll"))
-    return per_token.agg(
-        F.round(F.sum(F.col("m") * F.col("nll")) / F.sum("m"), 6).alias("eval_loss"),
-        F.coalesce(F.sum("m"), F.lit(0)).cast("long").alias("n_tokens"))
+    scored = seen.join(counts, "token", "left").select(
+        F.lit(None).cast("long").alias("k"), "m",
+        (F.col("m") * F.ln(F.coalesce("k", F.lit(0)) + 1)).alias("mlog"))
+    both = counts.select("k", F.lit(None).cast("long").alias("m"),
+                         F.lit(None).cast("double").alias("mlog")).unionByName(scored)
+    t_plus_v = F.coalesce(F.sum("k"), F.lit(0)) + F.count("k")
+    m_total = F.sum("m")
+    loss = (-F.sum("mlog") / m_total) + F.ln(t_plus_v + 1)
+    return both.agg(F.round(loss, 6).alias("eval_loss"),
+                    F.coalesce(m_total, F.lit(0)).cast("long").alias("n_tokens"))
 
 
 def _overlap():

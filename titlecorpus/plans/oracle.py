@@ -212,8 +212,8 @@ conv AS (SELECT conv_id || ':' || turn AS id, role, text FROM conversations){cte
     s["eval_loss"] = f"""WITH {SPLIT},
 counts AS (SELECT token, count(*) AS k FROM (SELECT unnest({tok('target_text')}) AS token FROM train) GROUP BY token),
 seen AS (SELECT token, count(*) AS m FROM (SELECT unnest({tok('target_text')}) AS token FROM eval) GROUP BY token)
-SELECT round(sum(m * -ln((coalesce(k, 0) + 1)
-                         / CAST((SELECT sum(k) + count(*) + 1 FROM counts) AS DOUBLE))) / sum(m), 6) AS eval_loss,
+SELECT round(-sum(m * ln(coalesce(k, 0) + 1)) / sum(m)
+             + ln((SELECT coalesce(sum(k), 0) + count(*) + 1 FROM counts)), 6) AS eval_loss,
        CAST(coalesce(sum(m), 0) AS BIGINT) AS n_tokens
 FROM seen LEFT JOIN counts USING (token)"""
     s["side_by_side"] = f"""WITH {MODEL}{ctes},
