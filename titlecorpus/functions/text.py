@@ -55,4 +55,5 @@ def tokenize(c) -> Column:
 
 
 def task_prefix(c, prefix: str = TASK_PREFIX) -> Column:
+    """``prefix + text`` (NULL stays NULL)."""
     return F.concat(F.lit(prefix), _col(c))

@@ -64,6 +64,7 @@ def save_model(model: DataFrame, path: str) -> dict:
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """(token table, totals) of a model written by ``save_model``."""
     tokens = spark.read.parquet(f"{path}/tokens")
     totals = json.loads(spark.read.text(f"{path}/totals").first()[0])
     return tokens, totals

@@ -25,6 +25,7 @@ def category_filter(df: DataFrame, category: str | None, col: Column | None = No
 
 
 def category_count(df: DataFrame, category: str | None) -> DataFrame:
+    """One row ``n_found``: rows whose categories contain ``category``."""
     return category_filter(df, category).agg(F.count(F.lit(1)).alias("n_found"))
 
 
@@ -43,6 +44,7 @@ def pair_projection(df: DataFrame, input_col: str = "abstract",
 
 
 def with_task_prefix(df: DataFrame, col: str = "input_text", prefix: str | None = None) -> DataFrame:
+    """Put the task prefix (or ``prefix``) before ``col``, in place."""
     return df.withColumn(col, task_prefix(col) if prefix is None else task_prefix(col, prefix))
 
 

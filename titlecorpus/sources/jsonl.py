@@ -39,6 +39,7 @@ def parse_records(lines: DataFrame) -> DataFrame:
 
 
 def field(json_key: str, default: str) -> Column:
+    """Value of a key: the default text when absent, NULL when JSON null."""
     present = F.array_contains(F.col("_keys"), F.lit(json_key))
     return F.when(present, F.col("_rec").getField(json_key)).otherwise(F.lit(default))
 
@@ -50,6 +51,7 @@ def checked_categories() -> Column:
 
 
 def extract_fields(parsed: DataFrame, keep=()) -> DataFrame:
+    """The four paper fields of parsed lines (plus ``keep`` columns)."""
     cols = [field(k, d).alias(name) for k, name, d in JSON_FIELDS]
     return parsed.select(*keep, *cols)
 

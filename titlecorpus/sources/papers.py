@@ -15,10 +15,12 @@ from titlecorpus.functions.text import normalize_ws
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table, ``<sf_dir>/<name>.parquet``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def papers_from_documents(docs: DataFrame) -> DataFrame:
+    """``documents`` as papers: first line = title, the rest = abstract."""
     text = F.col("text")
     nl = F.instr(text, "\n")
     return docs.select(

@@ -24,6 +24,7 @@ def create_table(spark: SparkSession, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The papers table with its fixed schema."""
     return spark.read.schema(PAPER_SCHEMA).parquet(path)
 
 
@@ -57,6 +58,7 @@ def fetch_papers_for_training(table: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def paper_at(table: DataFrame, index: int) -> DataFrame:
+    """The paper at 0-based position ``index`` in id order (0 or 1 row)."""
     return row_at(table, "id", index)
 
 
