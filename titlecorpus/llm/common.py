@@ -39,3 +39,23 @@ def hot_join(rows: DataFrame, per_key: DataFrame, key: str, weight: str) -> Data
     cold = keyed.join(hot.select(key), key, "left_anti").join(per_key.drop(weight), key, "left")
     columns = [*rows.columns, *extra]
     return keyed.join(hot, key).select(columns).unionByName(cold.select(columns)).unionByName(none.select(columns))
+
+
+#: Text bytes that one step of a Python task holds (a single longer text is one step).
+STEP_BYTES = 4 << 20
+
+
+def steps(batches, column: str, most: int = STEP_BYTES):
+    """Slices of Arrow batches whose ``column`` holds at most ``most`` bytes, one row at least."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = size[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(size, before + most, "right")))
+            yield pa.RecordBatch.from_arrays([c.slice(start, end - start) for c in batch.columns], schema=batch.schema)
+            start = end

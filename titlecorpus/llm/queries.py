@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import quality, url_filter
+from titlecorpus.llm import quality, toxicity, url_filter
 
-QUERIES = {"op1_quality_rules": quality.op1_quality_rules, "op9_url_filter": url_filter.op9_url_filter}
-ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL, "op9_url_filter": url_filter.ORACLE_SQL}
+QUERIES = {
+    "op1_quality_rules": quality.op1_quality_rules,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op9_url_filter": url_filter.op9_url_filter,
+}
+ORACLE_SQL = {
+    "op1_quality_rules": quality.ORACLE_SQL,
+    "op9_url_filter": url_filter.ORACLE_SQL,
+}
