@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import quality, toxicity, url_filter
+from titlecorpus.llm import packing, quality, toxicity, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLE_SQL = {
