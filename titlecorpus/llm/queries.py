@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import packing, quality, toxicity, url_filter
+from titlecorpus.llm import packing, pieces, quality, toxicity, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
