@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import packing, pieces, quality, toxicity, url_filter
+from titlecorpus.llm import packing, pieces, quality, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_warc": warc.op4_warc,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
 }
 ORACLE_SQL = {
     "op1_quality_rules": quality.ORACLE_SQL,
+    "op4_warc": warc.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
 }
