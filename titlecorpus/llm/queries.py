@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import packing, pieces, quality, toxicity, url_filter, warc
+from titlecorpus.llm import html_text, packing, pieces, quality, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
 }
+QUERIES["op10_html_text"] = html_text.op10_html_text
 ORACLE_SQL = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op4_warc": warc.ORACLE_SQL,
