@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import html_text, packing, pieces, quality, toxicity, url_filter, warc
+from titlecorpus.llm import html_text, neighbours, packing, pieces, quality, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_warc": warc.op4_warc,
+    "op7_neighbours": neighbours.op7_neighbours,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
 }
