@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.session import work_path
@@ -22,6 +22,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once per row."""
+    return F.transform(F.array(value), body)[0]
+
+
 def hot_join(rows: DataFrame, per_key: DataFrame, key: str, weight: str) -> DataFrame:
     """Left join of ``rows`` with ``per_key`` (one row per key), safe for hot keys.
 

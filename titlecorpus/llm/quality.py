@@ -20,7 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlecorpus.llm.common import stored, table
+from titlecorpus.llm.common import let, stored, table
 
 #: Rows of the sample that cost and selectivity are measured on.
 SAMPLE_ROWS = 500
@@ -48,11 +48,6 @@ def rejects(rule: str, text: str = "text") -> Column:
     return F.coalesce(F.expr(rule.format(t=f"`{text}`")), F.lit(True))
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is evaluated once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def rule_order(df: DataFrame, rules: Mapping[str, str], text: str = "text", rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
     """(name, cost in seconds, selectivity) by falling rejection per cost, measured on at most ``rows`` texts.
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import html_text, near_dedup, neighbours, packing, pieces, quality, toxicity, url_filter, warc
+from titlecorpus.llm import html_text, line_dedup, near_dedup, neighbours, packing, pieces, quality, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_warc": warc.op4_warc,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_neighbours": neighbours.op7_neighbours,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
