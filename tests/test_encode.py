@@ -36,24 +36,22 @@ def test_encode_single_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_unbounded_vocab_is_not_broadcast(spark):
-    df = spark.createDataFrame([(1, "a b", "a")], "id long, input_text string, target_text string")
-    vocab = spark.createDataFrame([("a", 1, 2)], "token string, count long, token_id int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = encode(df, vocab, input_len=3, label_len=2)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
-        assert out.first().input_ids == [2, 1, 0]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_unknown_vocab_size_splits_hot_tokens(spark, monkeypatch):
+    from titlecorpus.operators import encode as enc
+    df = spark.createDataFrame([(i, "a b c " + "z" * 80, "a") for i in range(20)] + [(99, None, "")],
+                               "id long, input_text string, target_text string")
+    vocab = spark.createDataFrame([("a", 9, 2), ("b", 5, 3), ("z" * 80, 4, 4)], "token string, count long, token_id int")
+    whole = sorted(map(tuple, encode(df, vocab, input_len=5, label_len=2, vocab_size=3).collect()))
+    monkeypatch.setattr(enc, "HOT_TOKENS", 2)
+    monkeypatch.setattr(enc, "HOT_LENGTH", 64)
+    split = sorted(map(tuple, encode(df, vocab, input_len=5, label_len=2).collect()))
+    assert whole == split and split[0][1] == [2, 3, 1, 4, 0] and split[-1][1] == [0] * 5
 
 
-def test_large_vocab_uses_exact_rank(spark, monkeypatch):
+def test_vocab_capped_and_whole(spark):
     from titlecorpus.operators import encode as enc
     df = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 7 + 1)), "t") for i in range(50)],
                                "id long, input_text string, target_text string")
-    small = sorted(map(tuple, enc.build_vocab(df, ["input_text"], 5).collect()))
-    monkeypatch.setattr(enc, "TOP_N_LIMIT", 2)
-    large = sorted(map(tuple, enc.build_vocab(df, ["input_text"], 5).collect()))
-    assert small == large and len(small) == 5
+    whole = sorted(map(tuple, enc.build_vocab(df, ["input_text"]).collect()), key=lambda r: r[2])
+    capped = sorted(map(tuple, enc.build_vocab(df, ["input_text"], 5).collect()), key=lambda r: r[2])
+    assert len(whole) == 7 and capped == whole[:5] and [r[2] for r in whole] == list(range(2, 9))

@@ -68,18 +68,37 @@ def test_global_rank_any_order(spark):
     assert got == expected
 
 
-def test_first_n_large_path(spark, monkeypatch):
-    monkeypatch.setattr(select, "TOP_N_LIMIT", 5)
+def test_first_n_any_size(spark):
     df = spark.range(100).repartition(3)
-    assert [r.id for r in select.first_n(df, ["id"], 40).orderBy("id").collect()] == list(range(40))
+    for n in (0, 1, 40, 99, 100, 500):
+        assert [r.id for r in select.first_n(df, ["id"], n).orderBy("id").collect()] == list(range(min(n, 100)))
+    assert select.first_n(df, ["id"], None).count() == 100
+    assert [r.id for r in select.first_n(df, ["id"], -95).orderBy("id").collect()] == list(range(5))
 
 
-def test_sample_n(spark, monkeypatch):
+def test_first_n_and_row_at_with_ties_and_nulls(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (1, "c"), (1, "d"), (1, "e"), (2, "f")], "k int, v string").repartition(4)
+    expected = [None, None, 1, 1, 1, 2]
+    for n in range(7):
+        got = [r.k for r in select.first_n(df, ["k"], n).collect()]
+        assert sorted(got, key=lambda k: -1 if k is None else k) == expected[:n]
+    assert [select.row_at(df, "k", i).first().k for i in range(6)] == expected
+    assert select.row_at(df, "k", 6).count() == 0
+    assert select.first_n(df.limit(0), ["k"], 3).count() == 0
+
+
+def test_sample_n_with_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "e"), (None, "f")], "id long, v string")
+    for n in range(7):
+        assert sampling.sample_n(df, n, 42).count() == n
+    index = sampling.sample_n_reindexed(df, 4, 42).collect()
+    assert sorted(r["index"] for r in index) == [0, 1, 2, 3]
+
+
+def test_sample_n(spark):
     df = spark.range(200)
     small = {r.id for r in sampling.sample_n(df, 30, 42).collect()}
-    monkeypatch.setattr(sampling, "TOP_N_LIMIT", 5)
-    large = {r.id for r in sampling.sample_n(df, 30, 42).collect()}
-    assert small == large and len(small) == 30
+    assert len(small) == 30 and small == {i for i, rk in brute_rank(df, 42).items() if rk <= 30}
     assert sampling.sample_n(df, 1000, 42).count() == 200
     with pytest.raises(ValueError):
         sampling.sample_n_strict(df, 201, 42)

@@ -205,10 +205,37 @@ def test_match_count_observed_in_same_job(spark, write_lines):
     assert len(rows) == 5 and obs.get["n_found"] == 20
 
 
-def test_load_dataset_large_head_path(spark, tmp_path, monkeypatch):
+def test_load_dataset_head_and_slice(spark, tmp_path):
     df = spark.createDataFrame([(f"t{i:03d}", "a", None, "c") for i in range(300)], PAPER_FILE_SCHEMA)
     path = files.save_dataset(df.repartition(1), str(tmp_path / "h"), "parquet")
-    small = [r.title for r in files.load_dataset(spark, path, n_rows=120).collect()]
-    monkeypatch.setattr(files, "TOP_N_LIMIT", 10)
-    large = [r.title for r in files.load_dataset(spark, path, n_rows=120).collect()]
-    assert sorted(small) == sorted(large) and len(large) == 120
+    everything = [r.title for r in files.load_dataset(spark, path).collect()]
+    assert [r.title for r in files.load_dataset(spark, path, n_rows=120).collect()] == everything[:120]
+    assert [r.title for r in files.load_dataset(spark, path, n_rows=-5).collect()] == everything[:-5]
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "swapped.csv").write_text("abstract,title,categories,journal_ref\nA,T,c,j\n")
+    row = files.load_dataset(spark, str(tmp_path / "swapped.csv")).first()
+    assert (row.title, row.abstract, row.journal_ref, row.categories) == ("T", "A", "j", "c")
+    (tmp_path / "short.csv").write_text("abstract,title\nA,T\n")
+    with pytest.raises(ValueError, match="journal_ref"):
+        files.load_dataset(spark, str(tmp_path / "short.csv"))
+
+
+def test_random_lines_do_not_depend_on_the_split_layout(spark, tmp_path):
+    """The same sample under two split sizes, also when the size changes between build and run."""
+    lines = ['{"id": "%d", "title": "t%d", "abstract": "%s"}' % (i, i, "x" * 40) for i in range(2000)]
+    (tmp_path / "d").mkdir()
+    for part in range(2):
+        (tmp_path / "d" / f"p{part}.json").write_text("\n".join(lines[part * 1000:(part + 1) * 1000]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = []
+    try:
+        for before, after in (("128m", "128m"), ("8k", "8k"), ("128m", "8k")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            picked = jsonl.load_arxiv_metadata(spark, str(tmp_path / "d"), 50, random_select=True)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", after)
+            got.append(sorted(r.title for r in picked.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1] == got[2] and len(got[0]) == 50

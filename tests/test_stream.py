@@ -81,3 +81,55 @@ def test_stream_from_json_request_files(spark, tmp_path):
     assert rows[1].predicted_title == "spin chains" and rows[2].error == INVALID_INPUT_MESSAGE
     with _pytest.raises(ValueError):
         start_predict_stream(spark, str(src), m, 10, out, chk, source_format="csv")
+
+
+def test_repeated_and_null_ids_and_malformed_lines_keep_their_rows(spark, tmp_path):
+    pairs = spark.createDataFrame([(1, "Spin chains. Graphs are fun.", "Spin chains graphs")],
+                                  "id long, input_text string, target_text string")
+    m = model.fit(pairs)
+    rows = [(1, "Spin chains."), (1, "Graphs."), (None, "Spin chains."), (None, "Graphs."), (1, "Graphs."), (2, None)]
+    reqs = spark.createDataFrame(rows, "id long, abstract string")
+    got = [(r.id, r.abstract, r.predicted_title, r.error) for r in predict_batch(reqs, m, 100).collect()]
+    assert len(got) == len(rows)
+    for i, text, title, error in got:
+        assert title == (None if text is None else text.lower().rstrip(".")) and (error is None) == (text is not None)
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1, "abstract": "Graphs."}\n{broken\n{"abstract": "Spin chains."}\n')
+    out = str(tmp_path / "out")
+    for predictor in (None, str.upper):
+        q = start_predict_stream(spark, str(src), m, 10, f"{out}-{predictor is None}", str(tmp_path / f"c{predictor is None}"),
+                                 source_format="json", predictor=predictor)
+        q.awaitTermination()
+        got = spark.read.parquet(f"{out}-{predictor is None}").collect()
+        assert len(got) == 3 and sum(r.error == INVALID_INPUT_MESSAGE for r in got) == 1
+        assert {(r.id, r.abstract) for r in got} == {(1, "Graphs."), (None, "Spin chains."), (None, None)}
+
+
+def test_long_span_windows_are_all_candidates(spark):
+    pairs = spark.createDataFrame([(1, "gold dust and noise", "gold dust")], "id long, input_text string, target_text string")
+    m = model.fit(pairs)
+    text = " ".join(["noise"] * 131) + " gold dust"
+    reqs = spark.createDataFrame([(1, text)], "id long, abstract string")
+    assert predict_batch(reqs, m, 10, max_length=2).first().predicted_title in ("gold dust", "noise gold", "dust")
+
+
+def test_second_run_keeps_the_first_ones_output(spark, tmp_path):
+    import shutil
+
+    import pytest as _pytest
+
+    from titlecorpus.streaming.predict import default_checkpoint
+    m = model.fit(spark.createDataFrame([(1, "Spin chains.", "Spin chains")], "id long, input_text string, target_text string"))
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    for i in (1, 2):
+        spark.createDataFrame([(i, "Spin chains.")], "id long, abstract string").coalesce(1).write.mode("overwrite").parquet(str(tmp_path / f"r{i}"))
+        src.mkdir(exist_ok=True)
+        for f in (tmp_path / f"r{i}").glob("*.parquet"):
+            shutil.copy(f, src / f"{i}.parquet")
+        q = start_predict_stream(spark, str(src), m, 10, out, default_checkpoint(spark, out))
+        q.awaitTermination()
+        (src / f"{i}.parquet").unlink()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+    with _pytest.raises(ValueError):
+        default_checkpoint(spark, out, str(tmp_path / "other"))

@@ -19,8 +19,8 @@ from titlecorpus.plans.corpus import build_corpus, dataset_name
 from titlecorpus.plans.training import (evaluate_saved_model, file_pairs, train_and_evaluate,
                                         training_pairs, write_training_shards)
 from titlecorpus.schema import TASK_PREFIX
-from titlecorpus.session import get_session, work_path
-from titlecorpus.streaming.predict import start_predict_stream
+from titlecorpus.session import get_session
+from titlecorpus.streaming.predict import default_checkpoint, start_predict_stream
 
 
 def main(argv=None) -> None:
@@ -38,7 +38,7 @@ def main(argv=None) -> None:
     t.add_argument("--table", required=True)
     t.add_argument("--model-dir", required=True)
     t.add_argument("--model-name")
-    t.add_argument("--limit", type=int, default=100)
+    t.add_argument("--limit", type=int, help="the first papers only (all)")
     t.add_argument("--eval-frac", type=float, default=0.1)
     s = sub.add_parser("shards")
     src = s.add_mutually_exclusive_group(required=True)
@@ -53,13 +53,14 @@ def main(argv=None) -> None:
     e = sub.add_parser("evaluate")
     e.add_argument("--table", required=True)
     e.add_argument("--model", required=True)
-    e.add_argument("--limit", type=int, default=1000)
+    e.add_argument("--limit", type=int, help="the first papers only (all)")
     e.add_argument("--frac", type=float, default=0.9)
     e.add_argument("--show", type=int, default=5)
     p = sub.add_parser("predict")
     p.add_argument("--model", required=True)
     p.add_argument("--requests", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--checkpoint", help="the stream's checkpoint folder (<out>/_checkpoint)")
     p.add_argument("--max-length", type=int, default=128)
     p.add_argument("--source-format", choices=("parquet", "json"), default="parquet")
     a = ap.parse_args(argv)
@@ -90,7 +91,7 @@ def main(argv=None) -> None:
     elif a.cmd == "predict":
         tokens, totals = load_model(spark, a.model)
         q = start_predict_stream(spark, a.requests, tokens, totals["n_tokens"], a.out,
-                                 work_path(spark, "predict-checkpoint"), a.max_length,
+                                 default_checkpoint(spark, a.out, a.checkpoint), a.max_length,
                                  source_format=a.source_format)
         q.awaitTermination()
 

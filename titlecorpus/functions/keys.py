@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 
 def seeded_hash(key, seed) -> Column:
-    """md5 hex of '<seed>:<key>'; ``seed`` may be a value or a Column."""
+    """md5 hex of '<seed>:<key>' (a NULL key hashes like an empty one); ``seed`` may be a value or a Column."""
     k = F.col(key) if isinstance(key, str) else key
+    k = F.coalesce(k.cast("string"), F.lit(""))
     if isinstance(seed, Column):
         return F.md5(F.concat(seed.cast("string"), F.lit(":"), k.cast("string")))
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))

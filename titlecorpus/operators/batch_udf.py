@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from titlecorpus.schema import PREDICTION_ERROR_PREFIX
 
@@ -35,19 +36,28 @@ def word_counts(pdf: pd.DataFrame, text_col: str = "text", out_col: str = "n_wor
     return pdf.assign(**{out_col: n.astype("Int64")})
 
 
-def predict_with(df: DataFrame, predict: Callable[[str], str], text_col: str = "clean",
-                 id_col: str = "id") -> DataFrame:
-    """(id, predicted_title, error) from a user predictor, per row guarded."""
+def predict_with(df: DataFrame, predict: Callable[[str], str], text_col: str = "clean") -> DataFrame:
+    """``df`` (with ``error``, added if missing, NULL where the text is valid) plus
+    ``predicted_title`` from a user predictor. Every row comes out once; a row
+    that has an error, or whose prediction raises, has no title."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             titles, errors = [], []
-            for text in pdf[text_col]:
-                try:
-                    titles.append(predict(text))
-                    errors.append(None)
-                except Exception as exc:  # noqa: BLE001 - per-record capture
-                    titles.append(None)
-                    errors.append(f"{PREDICTION_ERROR_PREFIX}{exc}")
-            yield pd.DataFrame({id_col: pdf[id_col], "predicted_title": titles, "error": errors})
-    return df.select(id_col, text_col).mapInPandas(
-        run, f"{id_col} long, predicted_title string, error string")
+            for text, error in zip(pdf[text_col], pdf["error"]):
+                title = None
+                if error is None:
+                    try:
+                        title = predict(text)
+                    except Exception as exc:  # noqa: BLE001 - per-record capture
+                        error = f"{PREDICTION_ERROR_PREFIX}{exc}"
+                titles.append(title)
+                errors.append(error)
+            yield pdf.assign(error=errors, predicted_title=titles)
+    if "error" not in df.columns:
+        df = df.withColumn("error", F.lit(None).cast("string"))
+    # Nullable integers reach pandas as objects, not as floats.
+    numbers = [c for c, t in df.dtypes if t in ("bigint", "int", "smallint", "tinyint")]
+    as_text = df.withColumns({c: df[c].cast("string") for c in numbers})
+    fields = ", ".join([*(f"`{c}` {t}" for c, t in as_text.dtypes), "predicted_title string"])
+    out = as_text.mapInPandas(run, fields)
+    return out.withColumns({c: out[c].cast(dict(df.dtypes)[c]) for c in numbers})

@@ -9,41 +9,52 @@ first, so with the broadcast the regrouping needs no second shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
 from titlecorpus.operators.rank import global_rank
-from titlecorpus.operators.select import TOP_N_LIMIT
 
-# Vocabularies up to this many rows are broadcast to the encoding tasks.
-BROADCAST_VOCAB_ROWS = 5_000_000
+# Tokens that are broadcast to the encoding tasks, and their longest.
+HOT_TOKENS, HOT_LENGTH = 200_000, 64
 
 PAD_ID = 0
 UNK_ID = 1
 LABEL_IGNORE = -100
 
 
-def build_vocab(df: DataFrame, text_cols, size: int = 30_000) -> DataFrame:
-    """(token, count, token_id) for the ``size`` most frequent tokens."""
+def build_vocab(df: DataFrame, text_cols, size: int | None = None) -> DataFrame:
+    """(token, count, token_id) of all tokens, or the ``size`` most frequent."""
     toks = [tokenize(c) for c in text_cols]
     all_toks = toks[0] if len(toks) == 1 else F.concat(*toks)
     counts = (df.select(F.explode(all_toks).alias("token"))
               .groupBy("token").agg(F.count(F.lit(1)).alias("count")))
-    order = [F.col("count").desc(), F.col("token")]
-    if size > TOP_N_LIMIT:
-        ranked = global_rank(counts, order, "_rank").where(F.col("_rank") <= size)
-        return ranked.select("token", "count", (F.col("_rank") + 1).cast("int").alias("token_id"))
-    top = counts.orderBy(*order).limit(size)
-    # The window sees the ``size`` rows of the top-n only.
-    rank = F.row_number().over(Window.orderBy(*order))
-    return top.withColumn("token_id", (rank + 1).cast("int"))
+    ranked = global_rank(counts, [F.col("count").desc(), F.col("token")], "_rank")
+    if size is not None:
+        ranked = ranked.where(F.col("_rank") <= size)
+    return ranked.select("token", "count", (F.col("_rank") + 1).cast("int").alias("token_id"))
 
 
 def _pad(ids, length: int, value: int = PAD_ID):
     return F.concat(ids, F.array_repeat(F.lit(value), F.lit(length) - F.size(ids)))
 
 
+def _with_ids(tokens: DataFrame, table: DataFrame, vocab_size: int | None) -> DataFrame:
+    """Left join of the ids. Ids follow the counts, so the tokens that could
+    crowd one reducer are the first ids: those go by broadcast (HOT_TOKENS rows
+    of HOT_LENGTH characters at most), only the others by a shuffle. A
+    vocabulary whose ``vocab_size`` fits goes by broadcast whole."""
+    if vocab_size is not None and vocab_size <= HOT_TOKENS:
+        return tokens.join(F.broadcast(table), "token", "left")
+    is_hot = (F.col("token_id") <= HOT_TOKENS) & (F.length("token") <= HOT_LENGTH)
+    first = tokens.join(F.broadcast(table.where(is_hot)), "token", "left")
+    # Rows of empty texts (NULL token) skip the shuffle: a NULL key would put
+    # all of them on one reducer.
+    settled = F.col("token_id").isNotNull() | F.col("token").isNull()
+    tail = first.where(~settled).drop("token_id").join(table.where(~is_hot), "token", "left")
+    return first.where(settled).unionByName(tail)
+
+
 def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
            target_col: str = "target_text", input_len: int = 512, label_len: int = 128,
            mask_pad: bool = False, id_col: str = "id", keep=(),
@@ -73,17 +84,7 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
         "_id", *keep, "token",
         F.when(is_label, 1).when(~is_label, 0).alias("side"),
         F.when(is_label, F.col("_p") - F.col("_n_in")).otherwise(F.col("_p")).alias("pos"))
-    table = vocab.select("token", "token_id")
-    # ``vocab_size`` (the build argument) bounds the table; unknown size or a
-    # very large vocabulary goes through a shuffle join instead.
-    if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_ROWS:
-        joined = exploded.join(F.broadcast(table), "token", "left")
-    else:
-        # Rows of empty texts (NULL token) skip the shuffle: a NULL key would
-        # put all of them on one reducer.
-        empty = exploded.where(F.col("token").isNull()).withColumn("token_id", F.lit(None).cast("int"))
-        joined = exploded.where(F.col("token").isNotNull()).join(table, "token", "left") \
-            .unionByName(empty)
+    joined = _with_ids(exploded, vocab.select("token", "token_id"), vocab_size)
     ids = joined.withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
                             .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
 

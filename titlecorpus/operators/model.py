@@ -4,8 +4,8 @@ Content selection by counts (Banko, Mittal & Witbrock, ACL 2000): for each
 token, how often a paper whose abstract has it also has it in the title.
 The weight is an integer, ``floor(1e6 * (n_both + 0.5) / (n_abs + 1))``, so
 sums do not depend on the order of addition. A title is the sentence span
-of the abstract (first ``max_length`` tokens) with the highest mean weight;
-ties go to the earlier span.
+of the abstract (or the window of ``max_length`` tokens of a longer one) with
+the highest mean weight; ties go to the earlier one.
 """
 
 from __future__ import annotations
@@ -35,14 +35,13 @@ def fit(pairs: DataFrame, input_col: str = "input_text", target_col: str = "targ
     One explode of each abstract's distinct tokens and one aggregation by
     token; partial (map-side) counts absorb very frequent tokens.
     """
-    # Abstract tokens are de-duplicated (papers are counted once per token);
-    # the title side is only probed with array_contains, so it needs none.
-    per_paper = pairs.select(F.array_distinct(tokenize(input_col)).alias("a"),
-                             tokenize(target_col).alias("t"))
-    occ = per_paper.select(F.explode("a").alias("token"), "t").select(
-        "token", F.array_contains("t", F.col("token")).alias("in_title"))
-    counts = occ.groupBy("token").agg(F.count(F.lit(1)).alias("n_abs"),
-                                      F.count_if("in_title").alias("n_both"))
+    # Both lists hold distinct tokens: those of the abstract, then those of
+    # them that the title has too (a hash-based intersection).
+    per_paper = pairs.select(F.array_distinct(tokenize(input_col)).alias("a"), tokenize(target_col).alias("t"))
+    both = per_paper.select(F.size("a").alias("n"), F.concat("a", F.array_intersect("a", F.coalesce("t", F.array().cast("array<string>")))).alias("x"))
+    occ = both.select("n", F.posexplode("x").alias("p", "token"))
+    counts = occ.groupBy("token").agg(F.count_if(F.col("p") < F.col("n")).alias("n_abs"),
+                                      F.count_if(F.col("p") >= F.col("n")).alias("n_both"))
     return counts.withColumn("weight", weight_expr("n_both", "n_abs"))
 
 
@@ -97,31 +96,42 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _span_tokens(text: Column, span_pos: Column, max_length: int) -> Column:
-    """Tokens of span ``span_pos`` (0-based) of ``text``, cut to ``max_length``."""
+def _window_tokens(text: Column, span_pos: Column, part: Column, max_length: int) -> Column:
+    """Tokens of window ``part`` (of ``max_length`` tokens) of span ``span_pos`` (both 0-based) of ``text``."""
     span = F.element_at(F.split(text, SPAN_SPLIT), span_pos + 1)
-    return F.slice(tokenize(span), 1, max_length)
+    return F.slice(tokenize(span), part * max_length + 1, max_length)
+
+
+def row_key(df: DataFrame) -> Column:
+    """MD5 of all columns of a row: tells apart rows that share an id, or have none."""
+    return F.md5(F.concat_ws("\x1f", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns)))
 
 
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                 no_repeat_ngram_size: int = 0, n_model_rows: int | None = None,
                 carry=()) -> DataFrame:
-    """(id, span_pos, score) for every span of every row of ``rows``
-    (id-partitioned). ``score`` is NULL for a span without usable tokens;
-    every row keeps at least one span, so no row is lost.
+    """(_key, span_pos, part, score) for every window of every span of every
+    row of ``rows`` (partitioned by ``_key``). A span longer than
+    ``max_length`` tokens is cut into windows, which are candidates each.
+    ``score`` is NULL for a window without usable tokens; every row keeps at
+    least one, so no row is lost.
 
     Explode, weight join and the (sum, count) hash aggregation stay inside
-    the id partitions; no token array is carried past the explode. ``carry``
-    names small columns (functions of the id) kept as extra grouping keys.
+    the partitions; no token array is carried past the explode. ``carry``
+    names small columns (functions of the key) kept as extra grouping keys.
+    Equal rows share a key; their tokens add to sum and count alike, which
+    leaves the mean.
     """
     carry = list(carry)
-    spans = rows.select("id", *carry,
+    spans = rows.select("_key", *carry,
                         F.posexplode_outer(F.split("text", SPAN_SPLIT)).alias("span_pos", "span"))
-    toks = spans.select("id", *carry, "span_pos",
-                        F.slice(tokenize("span"), 1, max_length).alias("toks"))
+    every = spans.select("_key", *carry, "span_pos", tokenize("span").alias("all"))
+    last = F.greatest(F.lit(0), F.floor((F.size("all") - 1) / F.lit(max_length)).cast("int"))
+    toks = every.select("_key", *carry, "span_pos", "all", F.explode(F.sequence(F.lit(0), last)).alias("part")).select(
+        "_key", *carry, "span_pos", "part", F.slice("all", F.col("part") * max_length + 1, max_length).alias("toks"))
     if no_repeat_ngram_size == 2:
         # Adjacent token pairs (the list zipped with itself shifted by one);
-        # a span repeating a pair is not a candidate.
+        # a window repeating a pair is not a candidate.
         m = F.greatest(F.size("toks") - 1, F.lit(0))
         pairs = F.arrays_zip(F.slice("toks", 1, m), F.slice("toks", 2, m))
         repeats = F.size(F.array_distinct(pairs)) < F.size(pairs)
@@ -129,10 +139,10 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                                .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
-    tokens = toks.select("id", *carry, "span_pos", F.explode_outer("toks").alias("token"))
+    tokens = toks.select("_key", *carry, "span_pos", "part", F.explode_outer("toks").alias("token"))
     weighted = _with_weights(tokens, model, n_model_rows)
     n = F.count("token")
-    return weighted.groupBy("id", "span_pos", *carry).agg(
+    return weighted.groupBy("_key", "span_pos", "part", *carry).agg(
         F.when(n > 0, F.sum("weight") / n).alias("score"))
 
 
@@ -141,44 +151,39 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
              n_model_rows: int | None = None, id_col: str = "id",
              text_col="abstract", keep: dict | tuple = (), carry=(),
              text_as: str | None = None) -> DataFrame:
-    """Best span per row: (id, *keep, *carry, [text_as], predicted_title,
+    """Best window per row: (id, *keep, *carry, [text_as], predicted_title,
     score); NULL title and score for rows without any usable token.
-    ``num_beams`` > 1 keeps the k best spans per row (column ``beam``).
+    ``num_beams`` > 1 keeps the k best per row (column ``beam``).
+
+    Rows are told apart by all their columns (``row_key``), not by the id:
+    repeated and NULL ids each get the title of their own text, and as many
+    rows come out as go in (times the beams).
 
     ``text_col`` and the ``keep`` columns (names, or a name -> Column dict)
     are evaluated *after* the one hash-partitioning of the raw input rows by
-    id. The scoring branch and the title branch read the same exchange
-    (Spark reuses it), so the text crosses the network once; the best spans
-    are picked by a window over span-level rows inside the id partitions,
-    and their tokens are rebuilt from the text through a hash join.
-    ``carry`` names small input columns to output as well: they ride along
-    the scoring as grouping keys, so both branches read the very same
-    exchange (``keep`` columns that are not derived from the text's inputs
-    would need a second, separate exchange). ``text_as`` also outputs the
-    scored text under that name, read by the same join that rebuilds titles.
-    Rows without an id cannot be keyed and are left out.
+    key. The scoring branch and the title branch read the same exchange
+    (Spark reuses it), so the text crosses the network once; the best windows
+    are picked over window-level rows inside the partitions, and their tokens
+    are rebuilt from the text through a hash join. ``carry`` names small
+    input columns to output as well: they ride along the scoring as grouping
+    keys, as the id does, so both branches read the very same exchange.
+    ``text_as`` also outputs the scored text under that name.
     """
     keep = dict(keep) if isinstance(keep, dict) else {k: F.col(k) for k in keep}
-    base = abstracts.where(F.col(id_col).isNotNull()).repartition(id_col)
+    base = abstracts.withColumn("_key", row_key(abstracts)).repartition("_key")
     carry = list(carry)
-    rows = base.select(F.col(id_col).alias("id"), _col(text_col).alias("text"), *carry)
-    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows, carry)
-    w = Window.partitionBy("id").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"))
+    rows = base.select("_key", F.col(id_col).alias("id"), _col(text_col).alias("text"), *carry, *(c.alias(n) for n, c in keep.items()))
+    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows, ["id", *carry])
+    w = Window.partitionBy("_key").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"), F.col("part"))
     ranked = scores.withColumn("beam", F.row_number().over(w))
     scored = F.col("score").isNotNull()
-    # Up to k scored spans; a row with no scored span keeps one NULL entry.
+    # Up to k scored windows; a row with none keeps one NULL entry.
     best = ranked.where(((F.col("beam") <= max(num_beams, 1)) & scored)
                         | ((F.col("beam") == 1) & ~scored))
-    titled = rows.join(best.drop(*carry).hint("shuffle_hash"), "id", "left")
-    title = F.array_join(_span_tokens(F.col("text"), F.col("span_pos"), max_length), " ")
-    cols = ["id", *carry, *([F.col("text").alias(text_as)] if text_as else []),
+    titled = rows.join(best.drop("id", *carry).hint("shuffle_hash"), "_key", "left")
+    title = F.array_join(_window_tokens(F.col("text"), F.col("span_pos"), F.col("part"), max_length), " ")
+    cols = ["id", *keep, *carry, *([F.col("text").alias(text_as)] if text_as else []),
             F.when(scored, title).alias("predicted_title"), "score"]
     if num_beams > 1:
         cols.append(F.when(scored, F.col("beam")).alias("beam"))
-    out = titled.select(*cols)
-    if keep:
-        # Pass-through columns come from the same id-partitioned rows.
-        passthrough = base.select(F.col(id_col).alias("id"),
-                                  *[c.alias(name) for name, c in keep.items()])
-        out = passthrough.join(out, "id", "left")
-    return out
+    return titled.select(*cols)

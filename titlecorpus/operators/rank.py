@@ -25,15 +25,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.keys import hex_prefix_int, seeded_hash
-from titlecorpus.session import shared_dir
+from titlecorpus.session import shared_dir, work_path
 
 _BUCKET_DIGITS = 4            # 65 536 buckets per refinement level
-_EXACT_LIMIT = 200_000        # rows of one bucket we are willing to top-k
-_BROADCAST_SPLITS = 200_000   # offsets rows that may be broadcast
+_HASH_DIGITS = 32
+_EXACT_LIMIT = 200_000        # rows of one bucket that one task sorts; more are refined first
+_BROADCAST_SPLITS = 10_000_000  # input splits whose offsets (24 bytes each) are broadcast
 
 
 class HashOrder:
-    """Rows of ``df`` ordered by ``(md5('<seed>:<key>'), key)``; ``key`` unique."""
+    """Rows of ``df`` ordered by ``(md5('<seed>:<key>'), key)``.
+
+    ``cut`` and ``cuts`` are predicates on the key, so rows that share a key
+    fall on the same side; ``take`` gives exactly k rows in any case.
+    """
 
     def __init__(self, df: DataFrame, key: str, seed):
         self.df = df
@@ -41,10 +46,17 @@ class HashOrder:
         self.seed = seed
         self.h = seeded_hash(key, seed)
         self._hist: list[tuple[str, int]] | None = None
+        self._keys: DataFrame | None = None
 
     # -- histogram -----------------------------------------------------
     def _keyed(self) -> DataFrame:
-        return self.df.select(F.col(self.key), self.h.alias("_h"))
+        """(key, hash) of all rows, written once: the jobs that look for a
+        boundary read these narrow rows, not the rows of ``df`` again."""
+        if self._keys is None:
+            path = work_path(self.df.sparkSession, "hash-keys")
+            self.df.select(F.col(self.key), self.h.alias("_h")).write.parquet(path)
+            self._keys = self.df.sparkSession.read.parquet(path)
+        return self._keys
 
     def _histogram(self, prefix: str = "") -> list[tuple[str, int]]:
         digits = len(prefix) + _BUCKET_DIGITS
@@ -74,6 +86,10 @@ class HashOrder:
                     break
                 before += n
             remaining -= before
+            if len(bucket) >= _HASH_DIGITS:
+                # One hash is one key: all its rows are ties.
+                key = (self._keyed().where(F.col("_h") == bucket).agg(F.max(self.key).alias("k")).first()["k"])
+                return bucket, key
             if n <= _EXACT_LIMIT:
                 # The top-``remaining`` of one bucket, reduced to its last
                 # row on the executors: one row reaches the driver.
@@ -130,10 +146,31 @@ class HashOrder:
             return F.lit(False)
         if k >= total:
             return F.lit(True)
-        bh, bk = bound
         # One md5 per row: (h, key) <= (h_k, key_k) as a struct comparison.
-        return (F.struct(self.h.alias("h"), F.col(self.key).alias("k"))
-                <= F.struct(F.lit(bh).alias("h"), F.lit(bk).alias("k")))
+        return _position(self.h, F.col(self.key)) <= self._literal(bound)
+
+    def take(self, k: int) -> DataFrame:
+        """Exactly the first ``k`` rows (all, if there are fewer); which of
+        the rows that share the last key are among them is left open."""
+        total = self.count()
+        if k <= 0:
+            return self.df.limit(0)
+        if k >= total:
+            return self.df
+        bound = self.boundary(k)
+        before, ties = (self._keyed().agg(
+            F.count_if(_position(F.col("_h"), F.col(self.key)) < self._literal(bound)).alias("b"),
+            F.count_if(_position(F.col("_h"), F.col(self.key)) == self._literal(bound)).alias("t")).first())
+        own = _position(self.h, F.col(self.key))
+        if before + ties == k:
+            return self.df.where(own <= self._literal(bound))
+        # Rows of one key only.
+        return self.df.where(own < self._literal(bound)).unionByName(
+            self.df.where(own == self._literal(bound)).limit(k - before))
+
+    def _literal(self, bound) -> Column:
+        kind = self.df.schema[self.key].dataType
+        return _position(F.lit(bound[0]), F.lit(bound[1]).cast(kind))
 
     def rows_at(self, positions, rank_col: str = "rank") -> DataFrame:
         """Rows at the given 1-based positions (duplicates allowed), each
@@ -164,6 +201,10 @@ class HashOrder:
         return hash_rank(self.df, self.key, self.seed, rank_col, group_cols)
 
 
+def _position(h: Column, key: Column) -> Column:
+    return F.struct(h.alias("h"), key.alias("k"))
+
+
 def hash_rank(df: DataFrame, key: str, seed, rank_col: str = "rank",
               group_cols=()) -> DataFrame:
     """Exact 1-based rank of rows by ``(md5('<seed>:<key>'), key)`` per group.
@@ -205,22 +246,63 @@ FILE_ORDER = ("_file", "_block", "_row")
 
 def file_order_rank(tagged: DataFrame, rank_col: str = "line_no") -> DataFrame:
     """Exact 1-based line order over all files of a scan tagged by
-    ``with_file_order``: order = (file path, split start, row in split)."""
+    ``with_file_order``: order = (file path, split start, row in split).
+
+    A split's offset is keyed by a hash of its file and start, so the offsets
+    are 24 bytes a split and are broadcast up to ``_BROADCAST_SPLITS`` of them
+    (more than a petabyte in splits of 128 MB). A row whose split has no
+    offset, because the input changed between the two reads, is an error.
+    """
+    key = F.xxhash64("_file", "_block")
     splits = tagged.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_file", "_block", "_first",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # One offsets row per input split: bounded by files + bytes/maxPartitionBytes.
-    bound = len(tagged.inputFiles()) + tagged.rdd.getNumPartitions()
-    if bound <= _BROADCAST_SPLITS:
+    offsets = splits.select(key.alias("_split"),
+                            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_off"))
+    if tagged.rdd.getNumPartitions() + len(tagged.inputFiles()) <= _BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
-    return (tagged.join(offsets, ["_file", "_block"])
-            .withColumn(rank_col, (F.col("_off") + F.col("_row") - F.col("_first") + 1).cast("long"))
-            .drop("_off", "_first"))
+    known = F.when(F.col("_off").isNull(), F.raise_error(F.lit("the input files changed while they were read")).cast("long")) \
+        .otherwise(F.col("_off"))
+    return (tagged.withColumn("_split", key).join(offsets, "_split", "left")
+            .withColumn(rank_col, (known + F.col("_row")).cast("long")).drop("_split", "_off"))
 
 
 # -- any order -----------------------------------------------------------------
+def first_by(df: DataFrame, order_cols, n: int) -> DataFrame:
+    """Exactly the first ``n`` rows by ``order_cols`` (all, if there are fewer).
+
+    Only the order columns are sorted: they are range-partitioned, the
+    partition that holds place ``n`` is found from the partitions' counts, and
+    the key at that place cuts ``df`` by a predicate. No row of ``df`` is
+    shuffled; of rows with the very last key as many are taken as are missing.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    position = F.struct(*((F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order_cols)))
+    keys = df.select(position.alias("_k"))
+    parts = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    placed = (keys.repartitionByRange(parts, "_k").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    before = 0
+    # One row per partition reaches the driver.
+    for r in sorted(placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()):
+        if before + r["n"] >= n:
+            break
+        before += r["n"]
+    else:
+        return df
+    # Range partitions keep equal keys together, so all ties are in this one.
+    inside = placed.where(F.col("_pid") == r["_pid"])
+    place = F.row_number().over(Window.partitionBy("_pid").orderBy("_k"))
+    rank = F.rank().over(Window.partitionBy("_pid").orderBy("_k"))
+    last = inside.withColumn("_place", place).withColumn("_rank", rank).where(F.col("_place") == n - before).first()
+    fields = placed.schema["_k"].dataType.fields
+    bound = F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last["_k"], fields)))
+    missing = n - before - last["_rank"] + 1
+    if inside.where(F.col("_k") == bound).limit(missing + 1).count() == missing:
+        return df.where(position <= bound)
+    return df.where(position < bound).unionByName(df.where(position == bound).limit(missing))
+
+
 def global_rank(df: DataFrame, order_cols, rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Exact 1-based rank by ``order_cols`` (a total order) for any key.

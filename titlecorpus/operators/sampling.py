@@ -6,29 +6,24 @@ rows on every run and cluster size, no ``sample()`` (whose size is random).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlecorpus.functions.keys import seeded_hash, seeded_int
+from titlecorpus.functions.keys import seeded_int
 from titlecorpus.operators.rank import HashOrder, hash_rank
-from titlecorpus.operators.select import TOP_N_LIMIT
 
 
 def sample_n(df: DataFrame, n: int, seed, key: str = "id") -> DataFrame:
     """``n`` rows without replacement, clamped to the population."""
-    if n <= 0:
-        return df.limit(0)
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(seeded_hash(key, seed), F.col(key)).limit(n)
-    return df.where(HashOrder(df, key, seed).cut(n))
+    return HashOrder(df, key, seed).take(n)
 
 
 def sample_n_strict(df: DataFrame, n: int, seed, key: str = "id") -> DataFrame:
     """As ``sample_n`` but more rows than available is an error."""
-    total = HashOrder(df, key, seed).count()
-    if n > total:
-        raise ValueError(f"Cannot take a larger sample ({n}) than population ({total})")
-    return sample_n(df, n, seed, key)
+    order = HashOrder(df, key, seed)
+    if n > order.count():
+        raise ValueError(f"Cannot take a larger sample ({n}) than population ({order.count()})")
+    return order.take(n)
 
 
 def sample_n_reindexed(df: DataFrame, n: int, seed=42, key: str = "id",
@@ -38,12 +33,7 @@ def sample_n_reindexed(df: DataFrame, n: int, seed=42, key: str = "id",
     total = order.count()
     if n > total:
         raise ValueError(f"Cannot take a larger sample ({n}) than population ({total})")
-    if n <= TOP_N_LIMIT:
-        picked = sample_n(df, n, seed, key)
-        # The window only sees the n rows left by the top-n.
-        pos = F.row_number().over(Window.orderBy(seeded_hash(key, seed), F.col(key)))
-        return picked.withColumn(index_col, (pos - 1).cast("long"))
-    ranked = hash_rank(df.where(order.cut(n)), key, seed, index_col)
+    ranked = hash_rank(order.take(n), key, seed, index_col)
     return ranked.withColumn(index_col, F.col(index_col) - 1)
 
 

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import normalize_ws, task_prefix
-from titlecorpus.operators.rank import global_rank
-
-# Above this many rows a top-N is not merged in one task: exact global rank.
-TOP_N_LIMIT = 100_000
+from titlecorpus.operators.rank import first_by
 
 
 def category_filter(df: DataFrame, category: str | None, col: Column | None = None) -> DataFrame:
@@ -49,30 +46,28 @@ def with_task_prefix(df: DataFrame, col: str = "input_text", prefix: str | None
 
 
 def first_n(df: DataFrame, order_cols, n: int | None) -> DataFrame:
-    """First ``n`` rows by a total order; ``None`` or a negative n = all.
+    """First ``n`` rows by ``order_cols``; ``None`` = all, a negative ``n``
+    leaves out the last ``-n`` (as a slice does).
 
-    Small n plans as ``TakeOrderedAndProject`` (per-partition top-n, then a
-    merge of n rows); large n uses the exact global rank instead, so no task
-    ever holds more than its share of rows.
+    One plan at every size: the keys alone are ordered, the rows are then cut
+    by a predicate (``first_by``). Rows that share the last key fill up to
+    exactly ``n``.
     """
-    if n is None or n < 0:
+    if n is None:
         return df
+    if n < 0:
+        n = max(0, df.count() + n)
     if n == 0:
         return df.limit(0)
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(*cols).limit(n)
-    return global_rank(df, cols, "_pos").where(F.col("_pos") <= n).drop("_pos")
+    return first_by(df, order_cols, n)
 
 
 def row_at(df: DataFrame, order_col: str, index: int) -> DataFrame:
     """The row at 0-based position ``index`` in ``order_col`` order (0 or 1 row)."""
     if index < 0:
         raise IndexError("index must be >= 0")
-    if index < TOP_N_LIMIT:
-        # The window runs over at most index + 1 rows left by the top-n.
-        head = df.orderBy(order_col).limit(index + 1)
-        pos = F.row_number().over(Window.orderBy(order_col))
-        return head.withColumn("_pos", pos).where(F.col("_pos") == index + 1).drop("_pos")
-    ranked = global_rank(df, [order_col], "_pos")
-    return ranked.where(F.col("_pos") == index + 1).drop("_pos")
+    head = first_by(df, [order_col], index + 1)
+    last = head.agg(F.max(order_col).alias("k"), F.count(F.lit(1)).alias("n")).first()
+    if last["n"] <= index:
+        return df.limit(0)
+    return head.where(F.col(order_col).eqNullSafe(F.lit(last["k"]))).limit(1)

@@ -98,14 +98,16 @@ def generate_sql(rows_cte: str, text: str, max_len: int, beams: int = 1,
     ctes = f""",
 spans AS (SELECT id, unnest(range(0, len(sp))) AS span_pos, unnest(sp) AS span
           FROM (SELECT id, regexp_split_to_array({text}, '{SPAN}') AS sp FROM {rows_cte})),
-stoks AS (SELECT id, span_pos, {tok('span')}[1:{max_len}] AS toks FROM spans),
+whole AS (SELECT id, span_pos, {tok('span')} AS every FROM spans),
+stoks AS (SELECT id, span_pos, part, every[part * {max_len} + 1:(part + 1) * {max_len}] AS toks
+          FROM (SELECT id, span_pos, every, unnest(range(0, greatest(1, (len(every) + {max_len} - 1) // {max_len}))) AS part FROM whole)),
 kept AS (SELECT * FROM stoks WHERE {keep}),
-occ2 AS (SELECT id, span_pos, unnest(toks) AS token FROM kept),
-scored AS (SELECT o.id, o.span_pos, sum(coalesce(m.weight, 0)) / count(*) AS score
-           FROM occ2 o LEFT JOIN model m ON o.token = m.token GROUP BY o.id, o.span_pos),
+occ2 AS (SELECT id, span_pos, part, unnest(toks) AS token FROM kept),
+scored AS (SELECT o.id, o.span_pos, o.part, sum(coalesce(m.weight, 0)) / count(*) AS score
+           FROM occ2 o LEFT JOIN model m ON o.token = m.token GROUP BY o.id, o.span_pos, o.part),
 best AS (SELECT s.id, s.span_pos, s.score, k.toks,
-                row_number() OVER (PARTITION BY s.id ORDER BY s.score DESC, s.span_pos) AS beam
-         FROM scored s JOIN kept k ON k.id = s.id AND k.span_pos = s.span_pos)"""
+                row_number() OVER (PARTITION BY s.id ORDER BY s.score DESC, s.span_pos, s.part) AS beam
+         FROM scored s JOIN kept k ON k.id = s.id AND k.span_pos = s.span_pos AND k.part = s.part)"""
     final = f"""SELECT r.id, array_to_string(b.toks, ' ') AS predicted_title, b.score{beam_col}
 FROM {rows_cte} r LEFT JOIN best b ON b.id = r.id AND b.beam <= {beams}"""
     return ctes, final
@@ -180,7 +182,7 @@ SELECT epoch, id, position, (position - 1) // {Q.BATCH_SIZE} AS batch_id FROM po
 vt AS (SELECT unnest(list_concat({tok('input_text')}, {tok('target_text')})) AS token FROM train),
 vc AS (SELECT token, count(*) AS count FROM vt GROUP BY token),
 vocab AS (SELECT token, count, CAST(row_number() OVER (ORDER BY count DESC, token) + 1 AS INTEGER) AS token_id
-          FROM vc ORDER BY count DESC, token LIMIT {Q.VOCAB_SIZE})"""
+          FROM vc)"""
     s["vocab"] = f"WITH {vocab} SELECT * FROM vocab"
 
     def enc(mask: bool) -> str:

@@ -36,7 +36,6 @@ EVAL_FIRST_K = 5
 DRAWS = 5
 EPOCHS = 2
 BATCH_SIZE = 4
-VOCAB_SIZE = 30_000
 INPUT_LEN = 512
 LABEL_LEN = 128
 TITLE_LEN = 128
@@ -212,7 +211,7 @@ def q_batch_groups(spark, sf):
 # -- encoding ---------------------------------------------------------------------
 def _vocab(spark, sf):
     train, _ = _train_eval(spark, sf)
-    return encode.build_vocab(train, ["input_text", "target_text"], VOCAB_SIZE)
+    return encode.build_vocab(train, ["input_text", "target_text"])
 
 
 def q_vocab(spark, sf):
@@ -221,12 +220,12 @@ def q_vocab(spark, sf):
 
 def q_encode_padded(spark, sf):
     return encode.encode(_pairs(spark, sf), _vocab(spark, sf), input_len=INPUT_LEN,
-                         label_len=LABEL_LEN, vocab_size=VOCAB_SIZE)
+                         label_len=LABEL_LEN)
 
 
 def q_encode_masked_labels(spark, sf):
     return encode.encode(_pairs(spark, sf), _vocab(spark, sf), input_len=INPUT_LEN,
-                         label_len=LABEL_LEN, mask_pad=True, vocab_size=VOCAB_SIZE)
+                         label_len=LABEL_LEN, mask_pad=True)
 
 
 # -- title model ---------------------------------------------------------------------

@@ -23,10 +23,10 @@ from titlecorpus.sources.files import read_dataset, read_split, write_splits
 from titlecorpus.sources.table import fetch_papers_for_training, read_table
 
 
-def training_pairs(spark: SparkSession, table_path: str, limit: int | None = 100) -> DataFrame:
-    """(id, input_text, target_text) of the first ``limit`` papers."""
+def training_pairs(spark: SparkSession, table_path: str, limit: int | None = None) -> DataFrame:
+    """(id, input_text, target_text) of all papers, or the first ``limit``."""
     return pair_projection(fetch_papers_for_training(read_table(spark, table_path),
-                                                     -1 if limit is None else limit))
+                                                     limit))
 
 
 def file_pairs(spark: SparkSession, filename: str, n_rows: int | None = None) -> DataFrame:
@@ -40,7 +40,7 @@ def file_pairs(spark: SparkSession, filename: str, n_rows: int | None = None) ->
 
 
 def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
-                       eval_frac: float = 0.1, seed=42, eval_rows: int | None = 5,
+                       eval_frac: float = 0.1, seed=42, eval_rows: int | None = None,
                        n_show: int = 5, draw_seed=7, max_length: int = 128) -> dict:
     """Fit on the train part, score held-out rows. Returns ``{"totals",
     "eval_loss", "shown"}`` where ``shown`` is a DataFrame of true vs
@@ -80,7 +80,7 @@ def evaluate_saved_model(spark: SparkSession, pairs: DataFrame, model_path: str,
 
 
 def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
-                          held_frac: float = 0.1, seed=42, vocab_size: int = 30_000,
+                          held_frac: float = 0.1, seed=42, vocab_size: int | None = None,
                           input_len: int = 512, label_len: int = 128, mask_pad: bool = False,
                           three_way: bool = False, prefix: str | None = None) -> DataFrame:
     """Encode all pairs with a vocabulary of the train part and write them

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlecorpus.operators.rank import FILE_ORDER, HashOrder, file_order_rank, with_file_order
-from titlecorpus.operators.select import TOP_N_LIMIT, first_n
+from titlecorpus.operators.rank import FILE_ORDER, HashOrder, file_order_rank, hash_rank, with_file_order
 from titlecorpus.schema import NA_TOKENS, PAPER_FILE_SCHEMA
 
 # CSV layout that reads back cell for cell: quoted fields may hold newlines
@@ -47,9 +46,16 @@ def null_tokens(df: DataFrame, cols) -> DataFrame:
 def read_dataset(spark: SparkSession, filename: str, schema=PAPER_FILE_SCHEMA) -> DataFrame:
     """Scan by suffix, with the file-order key of each row."""
     if filename.endswith(".csv"):
-        raw = (spark.read.schema(schema).options(**_CSV_OPTIONS)
-               .option("multiLine", "true").csv(filename))
-        return null_tokens(with_file_order(raw), [f.name for f in schema.fields])
+        # Columns are bound by the names in the header; a file of the folder
+        # whose header differs is an error, never a silent swap.
+        raw = (spark.read.options(**_CSV_OPTIONS).option("multiLine", "true")
+               .option("enforceSchema", "false").csv(filename))
+        missing = [f.name for f in schema.fields if f.name not in raw.columns]
+        if missing:
+            raise ValueError(f"{filename} has no column {', '.join(missing)}")
+        order = [F.col(c) for c in FILE_ORDER]
+        named = with_file_order(raw).select(*(F.col(f.name).cast(f.dataType) for f in schema.fields), *order)
+        return null_tokens(named, [f.name for f in schema.fields])
     if filename.endswith(".parquet"):
         return with_file_order(spark.read.parquet(filename))
     raise ValueError("Unsupported file format. Please use a .csv or .parquet file.")
@@ -64,17 +70,16 @@ def load_dataset(spark: SparkSession, filename: str, n_rows: int | None = None,
     data_cols = [c for c in df.columns if c not in FILE_ORDER]
     if n_rows is None:
         return df.select(*data_cols)
+    numbered = file_order_rank(df, "_pos")
     if not random_select:
-        if n_rows <= TOP_N_LIMIT:
-            return first_n(df, list(FILE_ORDER), n_rows).select(*data_cols)
-        # Large head: number rows in file order from per-split counts (no
-        # shuffle, no checkpoint) and keep a prefix by predicate.
-        return file_order_rank(df, "_pos").where(F.col("_pos") <= n_rows).select(*data_cols)
-    keyed = df.withColumn("_line_key", F.concat_ws(":", *[F.col(c).cast("string") for c in FILE_ORDER]))
-    order = HashOrder(keyed, "_line_key", seed)
+        # Rows numbered in file order from per-split counts, a prefix kept by predicate.
+        if n_rows < 0:  # as a slice: all but the last
+            n_rows = max(0, numbered.count() + n_rows)
+        return numbered.where(F.col("_pos") <= n_rows).select(*data_cols)
+    order = HashOrder(numbered, "_pos", seed)
     if n_rows > order.count():
         raise ValueError(f"Cannot take a sample of {n_rows} from {order.count()} rows")
-    picked = HashOrder(keyed.where(order.cut(n_rows)), "_line_key", seed).rank("index")
+    picked = hash_rank(numbered.where(order.cut(n_rows)), "_pos", seed, "index")
     return picked.select((F.col("index") - 1).alias("index"), *data_cols)
 
 

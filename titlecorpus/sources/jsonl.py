@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlecorpus.operators.rank import (FILE_ORDER, HashOrder, file_order_rank, hash_rank,
-                                        with_file_order)
+from titlecorpus.operators.rank import HashOrder, file_order_rank, hash_rank, with_file_order
 from titlecorpus.operators.select import category_filter
 from titlecorpus.schema import JSON_FIELDS
 
@@ -79,19 +78,21 @@ def load_arxiv_metadata(spark: SparkSession, path: str, n_papers: int | None = N
     if observation is not None:
         parsed = parsed.observe(observation, F.count(F.lit(1)).alias("n_found"))
     if random_select and n_papers is not None:
-        key = F.concat_ws(":", *[F.col(c).cast("string") for c in FILE_ORDER])
-        parsed = parsed.withColumn("_line_key", key)
-        order = HashOrder(parsed, "_line_key", seed)
+        # A line's number among the lines that passed: the same for any split size or core count.
+        numbered = file_order_rank(parsed.withColumn("_row", F.monotonically_increasing_id()), "_line_no")
+        order = HashOrder(numbered, "_line_no", seed)
         if strict and n_papers > order.count():
             raise ValueError(f"Cannot take {n_papers} papers from {order.count()} lines")
-        selected = hash_rank(parsed.where(order.cut(n_papers)), "_line_key", seed, RANK)
+        selected = hash_rank(numbered.where(order.cut(n_papers)), "_line_no", seed, RANK)
     else:
         # Number the lines that passed the filter: row index re-taken above
         # the filter, offsets from per-split counts.
         renumbered = parsed.withColumn("_row", F.monotonically_increasing_id())
         selected = file_order_rank(renumbered, RANK)
         if n_papers is not None:
-            selected = selected.where(F.col(RANK) <= n_papers) if n_papers >= 0 else selected
+            if n_papers < 0:  # as a slice: all but the last
+                n_papers = max(0, selected.count() + n_papers)
+            selected = selected.where(F.col(RANK) <= n_papers)
     return extract_fields(selected, keep=(RANK,))
 
 

@@ -47,14 +47,14 @@ def append_papers(spark: SparkSession, path: str, papers: DataFrame, order_cols=
     return int(written.get["n"])
 
 
-def fetch_papers(table: DataFrame, limit: int = 10) -> DataFrame:
-    """All columns of the first ``limit`` rows by id; a negative limit = all."""
-    return first_n(table, ["id"], limit)
+def fetch_papers(table: DataFrame, limit: int | None = 10) -> DataFrame:
+    """All columns of the first ``limit`` rows by id (``None`` or negative: all)."""
+    return first_n(table, ["id"], None if limit is None or limit < 0 else limit)
 
 
-def fetch_papers_for_training(table: DataFrame, limit: int = 100) -> DataFrame:
-    """(id, abstract, title) of the first ``limit`` rows by id."""
-    return first_n(table.select("id", "abstract", "title"), ["id"], limit)
+def fetch_papers_for_training(table: DataFrame, limit: int | None = None) -> DataFrame:
+    """(id, abstract, title) of all rows, or the first ``limit`` by id."""
+    return fetch_papers(table.select("id", "abstract", "title"), limit)
 
 
 def paper_at(table: DataFrame, index: int) -> DataFrame:

@@ -3,8 +3,9 @@
 Requests ``(id, abstract)`` arrive as files; each micro-batch is validated,
 scored against the static model and written under ``batch_id=<n>`` with
 overwrite, so a replayed batch replaces its own output instead of
-appending it twice. Invalid rows become error rows; the stream never stops
-on a bad record.
+appending it twice. Invalid rows (a blank text, a NULL id without one, a
+malformed JSON line) become error rows: as many rows come out as went in.
+The stream never stops on a bad record.
 """
 
 from __future__ import annotations
@@ -41,11 +42,8 @@ def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | Non
 def predict_batch_with(requests: DataFrame, predictor) -> DataFrame:
     """As ``predict_batch`` with a user predictor ``str -> str`` run in Arrow
     batches; a record whose prediction raises gets an error text."""
-    checked = validate_requests(requests)
-    titles = predict_with(checked.where(F.col("error").isNull()), predictor)
-    out = checked.join(titles, "id", "left")
-    return out.select("id", "abstract", "predicted_title",
-                      F.coalesce(checked["error"], titles["error"]).alias("error"))
+    checked = validate_requests(requests.select("id", "abstract"))
+    return predict_with(checked, predictor).select("id", "abstract", "predicted_title", "error")
 
 
 def write_predictions(batch: DataFrame, batch_id: int, output_dir: str, model: DataFrame | None,
@@ -75,6 +73,26 @@ def request_stream(spark: SparkSession, source_dir: str | None, source_format: s
     return reader.format(source_format).load(source_dir)
 
 
+def default_checkpoint(spark: SparkSession, output_dir: str, checkpoint_dir: str | None = None) -> str:
+    """The checkpoint folder that goes with an output folder, ``_checkpoint`` in it.
+
+    An output folder that holds batches while the checkpoint is missing is
+    refused: the stream would start again at batch 0 and replace them.
+    """
+    path = checkpoint_dir or f"{output_dir}/_checkpoint"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def found(p: str) -> bool:
+        at = hadoop.Path(p)
+        return bool(at.getFileSystem(conf).globStatus(at))
+
+    if found(f"{output_dir}/batch_id=*") and not found(path):
+        raise ValueError(f"{output_dir} holds predictions but {path} is missing: "
+                         "name the checkpoint they were made with, or another output folder")
+    return path
+
+
 def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | None,
                          n_model_rows: int | None, output_dir: str, checkpoint_dir: str,
                          max_length: int = 128, available_now: bool = True,
