@@ -28,10 +28,13 @@ from titlecorpus.llm.common import steps, stored, table
 CAPACITY, END = 1024, 2
 #: Pieces of a block, about: no window of a rank is larger.
 BLOCK_ROWS = 4096
-#: A space between white space (or at the end): there, splitting before each space would split a token.
-UNSAFE = r"[\pZ\x09-\x0D\x1c-\x1f\x{85}] ([\pZ\x09-\x0D\x1c-\x1f\x{85}]|$)|\x00"
+SPACES = r"[\pZ\x09-\x0D\x1c-\x1f\x{85}]"
+#: White space next to white space, or a NUL: such a text is encoded whole.
+UNSAFE = SPACES + SPACES + r"|\x00"
 #: Words of which a task keeps the ids; beyond that it starts anew (this bounds memory, not results).
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
+#: Words encoded as one text, a line feed between.
+JOINED = 2000
 
 
 @cache
@@ -46,42 +49,80 @@ def tokenizer(path: str):
     return t
 
 
-_words: dict[str, np.ndarray] = {}
+class Words:
+    """Ids of words: a number for each word, and for each number where its ids lie in ``store``."""
+
+    def __init__(self, path: str):
+        self.tokenizer = tokenizer(path)
+        self.between = self.tokenizer.token_to_id("\u010a")  # the line feed in the byte alphabet
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.start = self.size = np.zeros(0, np.int64)
+        self.store = np.zeros(0, np.int32)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > KEPT_WORDS:
+            self.clear()
+            new = words
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def learn(self, words: list[str]) -> None:
+        """Encode many words as one text. A line feed between two words is a token of its own unless white space touches it."""
+        alone = [w for w in words if not w or w[-1:].isspace() or "\n" in w or w[0] != " " and w[0].isspace()]
+        odd = set(alone)
+        joined = [w for w in words if w not in odd]
+        groups = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
+        stores, sizes = [self.store], [self.size]
+        for e in self.tokenizer.encode_batch(["\n".join(g) for g in groups] + alone, add_special_tokens=False):
+            ids = np.array(e.ids, np.int32)
+            if len(sizes) <= len(groups):
+                at = np.concatenate([[-1], np.flatnonzero(ids == self.between), [len(ids)]])
+                sizes.append(np.diff(at) - 1)
+                ids = ids[ids != self.between]
+            else:
+                sizes.append(np.array([len(ids)]))
+            stores.append(ids)
+        self.number.update(zip(joined + alone, range(len(self.number), len(self.number) + len(words))))
+        self.store, self.size = np.concatenate(stores), np.concatenate(sizes)
+        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+
+
+@cache
+def kept_words(path: str) -> Words:
+    return Words(path)
 
 
 def encode(texts, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts (an Arrow string array without nulls) in a row, and the offsets of each text.
 
-    The vocabulary's pattern begins a token at every space that no white space
-    precedes, so a text is the sum of its parts split before spaces, and each
-    distinct part is encoded once; texts with longer white space around a
-    space are encoded whole.
+    In the vocabulary's pattern a token ends where letters or digits do, and
+    single white space begins one; so a text without neighbouring white space
+    is the sum of its parts split there, and each distinct part is encoded
+    once. Texts with it are encoded whole.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    t = tokenizer(path)
+    words = kept_words(path)
     unsafe = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
-    parts = pc.split_pattern(pc.replace_substring(pc.if_else(pa.array(unsafe), "", texts), " ", "\0 "), "\0")
+    marked = pc.if_else(pa.array(unsafe), "", texts)
+    marked = pc.replace_substring(pc.replace_substring(marked, " ", "\0 "), "\n", "\0\n\0")
+    parts = pc.split_pattern(pc.replace_substring_regex(marked, r"([\pL\pN])([^\pL\pN\x00])", "\\1\0\\2"), "\0")
     known = parts.values.dictionary_encode()
-    words, at = known.dictionary.to_pylist(), known.indices.to_numpy(zero_copy_only=False)
-    new = [w for w in words if w not in _words]
-    if len(_words) + len(new) > KEPT_WORDS:
-        _words.clear()
-        new = words
-    _words.update((w, np.array(e.ids, np.int32)) for w, e in zip(new, t.encode_batch(new, add_special_tokens=False)))
-    ids = [_words[w] for w in words]
-    whole = {i: np.array(e.ids, np.int32) for i, e in zip(np.flatnonzero(unsafe).tolist(), t.encode_batch(texts.filter(pa.array(unsafe)).to_pylist(), add_special_tokens=False))}
-
-    size = np.array([len(x) for x in ids], np.int64)
-    start = np.concatenate([[0], np.cumsum(size)])
-    store = np.concatenate([*ids, np.zeros(0, np.int32)])
-    n = size[at]
+    number = words.numbers(known.dictionary.to_pylist())[known.indices.to_numpy(zero_copy_only=False)]
+    n = words.size[number]
     end = np.concatenate([[0], np.cumsum(n)])
-    flat = store[np.repeat(start[at] - end[:-1], n) + np.arange(end[-1])]
+    flat = words.store[np.repeat(words.start[number] - end[:-1], n) + np.arange(end[-1])]
     offsets = end[parts.offsets.to_numpy()]
-    if whole:
-        each = [whole.get(i, flat[offsets[i]:offsets[i + 1]]) for i in range(len(texts))]
+    if unsafe.any():
+        whole = words.tokenizer.encode_batch(texts.filter(pa.array(unsafe)).to_pylist(), add_special_tokens=False)
+        whole = {i: np.array(e.ids, np.int32) for i, e in zip(np.flatnonzero(unsafe).tolist(), whole)}
+        each = [whole[i] if i in whole else flat[offsets[i]:offsets[i + 1]] for i in range(len(texts))]
         flat, offsets = np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
     return flat, offsets
 
