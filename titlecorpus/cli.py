@@ -47,6 +47,9 @@ def main(argv=None) -> None:
     s.add_argument("--n-rows", type=int)
     s.add_argument("--out", required=True)
     s.add_argument("--held-frac", type=float, default=0.1)
+    s.add_argument("--vocab-size", type=int, help="the most frequent tokens only (all)")
+    s.add_argument("--input-len", type=int, default=512)
+    s.add_argument("--label-len", type=int, default=128)
     s.add_argument("--three-way", action="store_true")
     s.add_argument("--mask-pad", action="store_true")
     s.add_argument("--task-prefix", action="store_true", help="prefix inputs with the task prefix")
@@ -81,7 +84,8 @@ def main(argv=None) -> None:
     elif a.cmd == "shards":
         pairs = (file_pairs(spark, a.from_file, a.n_rows) if a.from_file
                  else training_pairs(spark, a.table, a.n_rows))
-        write_training_shards(spark, pairs, a.out, a.held_frac,
+        write_training_shards(spark, pairs, a.out, a.held_frac, vocab_size=a.vocab_size,
+                              input_len=a.input_len, label_len=a.label_len,
                               mask_pad=a.mask_pad, three_way=a.three_way,
                               prefix=TASK_PREFIX if a.task_prefix else None)
     elif a.cmd == "evaluate":

@@ -9,7 +9,7 @@ first, so with the broadcast the regrouping needs no second shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
@@ -100,3 +100,34 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     return grouped.select(F.col("_id").alias(id_col), *keep,
                           _pad(F.col("_in"), input_len).alias("input_ids"),
                           labels.alias("labels"))
+
+
+def save_vocab(vocab: DataFrame, path: str) -> DataFrame:
+    """Write the vocabulary and read it back: what was encoded with it can be decoded later."""
+    vocab.write.mode("overwrite").parquet(path)
+    return load_vocab(vocab.sparkSession, path)
+
+
+def load_vocab(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", id_col: str = "id",
+           unknown: str | None = None, to: str = "text") -> DataFrame:
+    """(id, text): the tokens of the ids, a space between. Padding and masked
+    labels are left out, and unknown tokens too unless ``unknown`` names a text
+    for them. Every row comes out; one without tokens has an empty text."""
+    rows = df.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids")).repartition("_id")
+    coded = rows.select("_id", F.posexplode_outer("_ids").alias("pos", "token_id"))
+    coded = coded.withColumn("token_id", F.when(F.col("token_id") > UNK_ID, F.col("token_id")).when(F.col("token_id") == UNK_ID, UNK_ID))
+    table = vocab.select("token", "token_id")
+    is_hot = (F.col("token_id") <= HOT_TOKENS) & (F.length("token") <= HOT_LENGTH)
+    first = coded.join(F.broadcast(table.where(is_hot)), "token_id", "left")
+    # Padding and unknown ids need no token and stay out of the shuffle.
+    settled = F.col("token").isNotNull() | F.col("token_id").isNull() | (F.col("token_id") == UNK_ID)
+    tail = first.where(~settled).drop("token").join(table.where(~is_hot), "token_id", "left")
+    named = first.where(settled).unionByName(tail)
+    shown = F.when(F.col("token_id") == UNK_ID, F.lit(unknown)).otherwise(F.col("token"))
+    named = named.withColumn("shown", shown)
+    picked = F.collect_list(F.when(F.col("shown").isNotNull(), F.struct("pos", "shown")))
+    return named.groupBy("_id").agg(F.array_join(F.array_sort(picked).getField("shown"), " ").alias(to)).withColumnRenamed("_id", id_col)

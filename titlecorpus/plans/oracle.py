@@ -15,6 +15,7 @@ from titlecorpus.schema import (
     DEFAULT_TITLE,
     INVALID_INPUT_MESSAGE,
     NA_TOKENS,
+    PREDICTION_ERROR_PREFIX,
     TASK_PREFIX,
 )
 
@@ -202,6 +203,26 @@ SELECT p.id, list_resize(coalesce(inp, []::INTEGER[]), {Q.INPUT_LEN}, 0) AS inpu
 FROM pairs p LEFT JOIN grouped g ON g.id = p.id"""
     s["encode_padded"] = enc(False)
     s["encode_masked_labels"] = enc(True)
+    s["decode_ids"] = f"""WITH {vocab},
+items AS (SELECT id, unnest(range(1, len(a) + 1)) AS pos, unnest(a) AS token
+          FROM (SELECT id, {tok('input_text')}[1:{Q.INPUT_LEN}] AS a FROM pairs)),
+shown AS (SELECT i.id, string_agg(coalesce(v.token, '{Q.UNKNOWN}'), ' ' ORDER BY pos) AS text
+          FROM items i LEFT JOIN vocab v ON v.token = i.token GROUP BY i.id)
+SELECT p.id, coalesce(text, '') AS text FROM pairs p LEFT JOIN shown s ON s.id = p.id"""
+    s["sample_nine_tenths"] = f"""WITH {SPLIT}
+SELECT id, input_text, target_text FROM ranked WHERE rn <= round_even(0.9::DOUBLE * n, 0)"""
+    s["split_80_10_10"] = f"""WITH {SPLIT}
+SELECT id, input_text, target_text, CASE WHEN rn <= ceil(0.5::DOUBLE * ceil(0.2::DOUBLE * n)) THEN 'test'
+       WHEN rn <= ceil(0.2::DOUBLE * n) THEN 'validation' ELSE 'train' END AS split FROM ranked"""
+    s["json_sample"] = f"""WITH {JSON_SRC},
+lines AS (SELECT *, row_number() OVER (ORDER BY id) AS line_no FROM d),
+drawn AS (SELECT *, row_number() OVER (ORDER BY md5('{Q.SEED}:' || line_no), line_no) AS place FROM lines)
+SELECT place, {json_fields()} FROM drawn WHERE place <= {Q.SAMPLE_N}"""
+    s["predict_with_failures"] = f"""WITH {PAPERS},
+w AS (SELECT id, abstract, list_filter(regexp_split_to_array(abstract, '{WS}+'), lambda t: t <> '') AS ws FROM papers),
+e AS (SELECT *, CASE WHEN len(coalesce(ws, [])) = 0 THEN '{INVALID_INPUT_MESSAGE}'
+             WHEN len(ws) % 7 = 3 THEN '{PREDICTION_ERROR_PREFIX}' || len(ws) || ' words' END AS error FROM w)
+SELECT id, abstract, CASE WHEN error IS NULL THEN array_to_string(ws[1:5], ' ') END AS predicted_title, error FROM e"""
     s["model_fit"] = f"WITH {MODEL} SELECT * FROM model"
     ctes, final = generate_sql("eval", "input_text", Q.TITLE_LEN)
     s["predict_titles"] = f"WITH {MODEL}{ctes}\n{final}"

@@ -20,7 +20,7 @@ from titlecorpus.operators.validate import validate_requests
 from titlecorpus.plans import corpus, fixtures
 from titlecorpus.session import work_path
 from titlecorpus.sources import files, jsonl, papers, table
-from titlecorpus.streaming.predict import start_predict_stream
+from titlecorpus.streaming.predict import predict_batch_with, start_predict_stream
 
 SEED = 42
 DRAW_SEED = 7
@@ -38,6 +38,7 @@ EPOCHS = 2
 BATCH_SIZE = 4
 INPUT_LEN = 512
 LABEL_LEN = 128
+UNKNOWN = "<unk>"
 TITLE_LEN = 128
 BEAM_TITLE_LEN = 50
 BEAMS = 4
@@ -228,6 +229,39 @@ def q_encode_masked_labels(spark, sf):
                          label_len=LABEL_LEN, mask_pad=True)
 
 
+def q_decode_ids(spark, sf):
+    """Encoded inputs decoded again: the first INPUT_LEN tokens, unknown ones marked."""
+    pairs = _pairs(spark, sf)
+    vocab = encode.save_vocab(_vocab(spark, sf), work_path(spark, "vocab"))
+    return encode.decode(encode.encode(pairs, vocab, input_len=INPUT_LEN, label_len=LABEL_LEN), vocab, unknown=UNKNOWN)
+
+
+def q_sample_nine_tenths(spark, sf):
+    return splits.split_fraction(_pairs(spark, sf), 0.9, SEED, part="sample").where(F.col("split") == "sample").drop("split")
+
+
+def q_split_80_10_10(spark, sf):
+    return splits.split_three_way(_pairs(spark, sf), 0.2, SEED)
+
+
+def q_json_sample(spark, sf):
+    """Random lines of the dump, drawn by line number."""
+    return jsonl.load_arxiv_metadata(spark, _json_dump(spark, sf), SAMPLE_N, random_select=True, seed=SEED).withColumnRenamed(jsonl.RANK, "place")
+
+
+def q_predict_with_failures(spark, sf):
+    """A predictor that fails on some records: titles, error texts and invalid requests side by side."""
+    requests = _papers(spark, sf).select("id", "abstract")
+    return predict_batch_with(requests, first_words)
+
+
+def first_words(text: str) -> str:
+    words = text.split()
+    if len(words) % 7 == 3:
+        raise ValueError(f"{len(words)} words")
+    return " ".join(words[:5])
+
+
 # -- title model ---------------------------------------------------------------------
 def q_model_fit(spark, sf):
     train, _ = _train_eval(spark, sf)
@@ -318,6 +352,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vocab": q_vocab,
     "encode_padded": q_encode_padded,
     "encode_masked_labels": q_encode_masked_labels,
+    "decode_ids": q_decode_ids,
+    "sample_nine_tenths": q_sample_nine_tenths,
+    "split_80_10_10": q_split_80_10_10,
+    "json_sample": q_json_sample,
+    "predict_with_failures": q_predict_with_failures,
     "model_fit": q_model_fit,
     "predict_titles": q_predict_titles,
     "predict_topk": q_predict_topk,

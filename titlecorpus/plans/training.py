@@ -86,13 +86,14 @@ def write_training_shards(spark: SparkSession, pairs: DataFrame, out_path: str,
     """Encode all pairs with a vocabulary of the train part and write them
     partitioned by split (train / eval, or train / validation / test);
     ``prefix`` (e.g. the task prefix) is put before each input text.
-    Returns the vocabulary."""
+    The vocabulary is stored in ``<out_path>_vocab``, where ``load_vocab``
+    finds it for decoding or later encoding; returns it."""
     if prefix is not None:
         pairs = with_task_prefix(pairs, "input_text", prefix)
     split = (split_three_way(pairs, held_frac, seed) if three_way
              else split_fraction(pairs, held_frac, seed))
-    vocab = enc.build_vocab(split.where(F.col("split") == "train"), ["input_text", "target_text"],
-                            vocab_size)
+    vocab = enc.save_vocab(enc.build_vocab(split.where(F.col("split") == "train"), ["input_text", "target_text"],
+                                           vocab_size), f"{out_path}_vocab")
     encoded = enc.encode(split, vocab, input_len=input_len, label_len=label_len,
                          mask_pad=mask_pad, keep=("split",), vocab_size=vocab_size)
     write_splits(encoded, out_path)
