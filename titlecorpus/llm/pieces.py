@@ -23,6 +23,7 @@ space there, as the format has it. Models with a normaliser other than the ident
 
 from __future__ import annotations
 
+import re
 from functools import cache
 
 import numpy as np
@@ -39,6 +40,8 @@ CELLS = 1 << 18
 #: Words of which a task keeps the ids; beyond that it starts anew (this bounds memory, not results).
 KEPT_WORDS = 500_000
 WORST = -1e30
+#: Characters next to which words may be cut, if the pieces allow it.
+MARKS = "\n\t.,;:!?#$%&*()[]{}|\"'<>=+/-_\\^~@"
 
 
 def hashes(codes: np.ndarray) -> np.ndarray:
@@ -62,7 +65,7 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
-        self.known: dict[str, np.ndarray] = {}
+        self.clear()
         self.text = [model.id_to_piece(i) for i in range(size)]
         self.unknown = model.unk_id()
         self.bytes = np.full(256, -1, np.int64)
@@ -71,7 +74,12 @@ class Pieces:
             special[i] = model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i)
             if model.is_byte(i):
                 self.bytes[int(p[3:5], 16)] = i
-        self.special, self.of_byte = special, {int(i): b for b, i in enumerate(self.bytes) if i >= 0}
+        self.special = special
+        self.decoded = [b"" if x else t.encode() for t, x in zip(self.text, special)]
+        self.decoded[self.unknown] = " \u2047 ".encode()
+        for b, i in enumerate(self.bytes):
+            if i >= 0:
+                self.decoded[i] = bytes([b])
         score = np.array([model.get_score(i) for i in range(size)])
         normal = [i for i in range(size) if not special[i]]
         probe = " Aäﬁ①  b "
@@ -84,6 +92,7 @@ class Pieces:
         self.longest = max(len(self.text[i]) for i in normal)
         if self.bpe:
             self._merges(normal)
+        self._boundaries(normal)
         by_length: dict[int, list[int]] = {}
         for i in normal:
             if not self.bpe or self.reachable[i]:
@@ -97,6 +106,14 @@ class Pieces:
             order = np.argsort(h)
             self.keys[n] = (h[order], np.array(ids)[order])
 
+    def _boundaries(self, normal: list[int]) -> None:
+        """Patterns of places that no piece spans, next to a letter: words may be cut there, and far fewer are distinct."""
+        inside = {t[k:k + 2] for t in (self.text[i] for i in normal) for k in range(len(t) - 1)}
+        after = {x[1] for x in inside if x[0].isalpha()}
+        before = {x[0] for x in inside if x[1].isalpha()}
+        escaped = lambda free: "".join(rf"\x{{{ord(c):x}}}" for c in MARKS if c not in free)
+        self.cuts = [rf"(\pL)([{c}])" for c in [escaped(after)] if c] + [rf"([{c}])(\pL)" for c in [escaped(before)] if c]
+
     def _merges(self, normal: list[int]) -> None:
         """rank (0 for single characters), and left and right part of the merge that makes each piece."""
         size = len(self.text)
@@ -167,8 +184,8 @@ class Pieces:
             at, a, b, limit = at[~done], a[~done], b[~done], limit[~done]
         return ok
 
-    def viterbi(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of equally long words; -1 for a character without a piece."""
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of equally long words in a row, and how many each has; -1 for a character without a piece."""
         codes = points(words)
         count, length = codes.shape
         h = hashes(codes)
@@ -198,40 +215,59 @@ class Pieces:
                 worth = best[at, start] + gain
                 up = (worth > best[at, end]) & (gain > WORST)
                 best[at[up], end], back[at[up], end], last[at[up], end] = worth[up], n, p[up]
-        out, at = [[] for _ in range(count)], np.full(count, length)
-        live = np.arange(count)
-        while len(live):
-            for w, p in zip(live.tolist(), last[live, at[live]].tolist()):
-                out[w].append(p)
+        out, at, live = np.full((count, length), -2, np.int64), np.full(count, length), np.arange(count)
+        for k in range(length - 1, -1, -1):
+            out[live, k] = last[live, at[live]]
             at[live] -= back[live, at[live]]
             live = live[at[live] > 0]
-        return [np.array(o[::-1], np.int64) for o in out]
-
-    def words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word (a space sign and what follows up to the next); byte pieces in place of unknown characters."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known, new = {}, words
-        self.known.update(zip(new, self._new_words(new)))
-        return [self.known[w] for w in words]
-
-    def _new_words(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            if not w:
-                out[i] = np.zeros(0, np.int64)
-            elif self.bpe and w.startswith(SPACE * 2):
-                # Pieces of several spaces share one rank, which pair tests cannot order.
-                out[i] = np.array(self.merge(w)[0], np.int64)
+            if not len(live):
+                break
+        return out[out > -2], (out > -2).sum(1)
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of new words, appended to the store; byte pieces in place of unknown characters."""
+        by_length: dict[int, list[str]] = {}
+        slow = []
+        for w in words:
+            # Pieces of several spaces share one rank, which pair tests cannot order.
+            if not w or self.bpe and w.startswith(SPACE * 2):
+                slow.append(w)
             else:
-                by_length.setdefault(len(w), []).append(i)
-        for n, at in by_length.items():
-            for k in range(0, len(at), max(1, CELLS // n)):
-                some = at[k:k + max(1, CELLS // n)]
-                for i, ids in zip(some, self.viterbi([words[i] for i in some])):
-                    out[i] = ids
-        return [ids if (ids >= 0).all() else self._bytes(w, ids) for w, ids in zip(words, out)]
+                by_length.setdefault(len(w), []).append(w)
+        names, stores, sizes = [], [self.store], [self.size]
+
+        def add(some: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+            if (ids < 0).any():
+                each = [x if (x >= 0).all() else self._bytes(w, x) for w, x in zip(some, np.split(ids, np.cumsum(size)[:-1]))]
+                ids, size = np.concatenate(each), np.array([len(x) for x in each])
+            names.extend(some)
+            stores.append(ids.astype(np.int32))
+            sizes.append(size)
+
+        for n, same in by_length.items():
+            for k in range(0, len(same), max(1, CELLS // n)):
+                some = same[k:k + max(1, CELLS // n)]
+                add(some, *self.viterbi(some))
+        for w in slow:
+            ids = np.array(self.merge(w)[0] if w else [], np.int64)
+            add([w], ids, np.array([len(ids)]))
+        self.number.update(zip(names, range(len(self.number), len(self.number) + len(names))))
+        self.store, self.size = np.concatenate(stores), np.concatenate(sizes).astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.store, self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Places of words in the store."""
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > KEPT_WORDS:
+            self.clear()
+            new = words
+        if new:
+            self.learn(new)
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
     def _bytes(self, word: str, ids: np.ndarray) -> np.ndarray:
         if self.bytes[0] < 0:
@@ -251,28 +287,33 @@ class Pieces:
         marked = pc.replace_substring(texts, " ", SPACE)
         if self.front:
             marked = pc.if_else(pc.equal(pc.binary_length(marked), 0), "", pc.binary_join_element_wise(SPACE, marked, ""))
-        # A part for each run of space signs with what follows: no piece holds a space sign after another character.
-        parts = pc.split_pattern(pc.replace_substring_regex(marked, f"([^{SPACE}]){SPACE}", f"\\1\\x00{SPACE}".replace("\\x00", "\0")), "\0")
+        # A NUL of the text is itself cut off on both sides, which no piece with it forbids; it marks the cuts.
+        has_nul = pc.match_substring(marked, "\0").to_numpy(zero_copy_only=False)
+        given, marked = marked, pc.if_else(pa.array(has_nul), "", marked)
+        # No piece holds a space sign after another character.
+        for cut in [f"([^{SPACE}])({SPACE})", *self.cuts]:
+            marked = pc.replace_substring_regex(marked, cut, "\\1\0\\2")
+        parts = pc.split_pattern(marked, "\0")
         known = parts.values.dictionary_encode()
-        ids = self.words(known.dictionary.to_pylist())
-        at = known.indices.to_numpy(zero_copy_only=False)
-        size = np.array([len(x) for x in ids], np.int64)
-        start, store = np.concatenate([[0], np.cumsum(size)]), np.concatenate([*ids, np.zeros(0, np.int64)])
-        n = size[at]
+        at = self.numbers(known.dictionary.to_pylist())[known.indices.to_numpy(zero_copy_only=False)]
+        n = self.size[at]
         end = np.concatenate([[0], np.cumsum(n)])
-        flat = store[np.repeat(start[at] - end[:-1], n) + np.arange(end[-1])] if len(at) else store
-        return flat, end[parts.offsets.to_numpy()]
+        flat = self.store[np.repeat(self.start[at] - end[:-1], n) + np.arange(end[-1])]
+        offsets = end[parts.offsets.to_numpy()]
+        if has_nul.any():
+            whole = {i: self.whole(given[i].as_py()) for i in np.flatnonzero(has_nul).tolist()}
+            each = [whole[i] if i in whole else flat[offsets[i]:offsets[i + 1]] for i in range(len(texts))]
+            flat, offsets = np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+        return flat, offsets
+
+    def whole(self, marked: str) -> np.ndarray:
+        """Ids of one marked text, cut before the first space sign of each run only."""
+        parts = re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", marked)
+        at = self.numbers(parts)
+        return np.concatenate([self.store[self.start[i]:self.start[i] + self.size[i]] for i in at])
 
     def decode(self, ids: list[int]) -> str:
-        out = bytearray()
-        for i in ids:
-            if i in self.of_byte:
-                out.append(self.of_byte[i])
-            elif i == self.unknown:
-                out += " ⁇ ".encode()
-            elif not self.special[i]:
-                out += self.text[i].encode()
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join([self.decoded[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.front and text.startswith(" ") else text
 
 
