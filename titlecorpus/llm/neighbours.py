@@ -57,8 +57,9 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 3
     """Part of each vector: halves of halves, equal in size, with few graph edges between them."""
     part = np.zeros(len(x), np.int64)
     for p in range(parts.bit_length() - 1):
+        whole = part.copy()
         for one in range(1 << p):
-            at = np.flatnonzero(part == one)
+            at = np.flatnonzero(whole == one)
             mid = x[at] - x[at].mean(0)
             side = np.zeros(len(x), np.int8)  # 0 outside, 1 and -1 the halves
             order = at[np.argsort(mid @ np.linalg.eigh(mid.T @ mid)[1][:, -1], kind="stable")]
