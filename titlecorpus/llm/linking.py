@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from titlecorpus.llm.common import hot_join, stored
 
-#: Salts that the members of a bucket are spread over where the unlinked ones meet them.
-SALTS = 16
+#: Times that the members of a bucket which are not linked yet take a leader.
+ROUNDS = 3
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -55,33 +55,29 @@ def lead(members: DataFrame, shortest: float) -> DataFrame:
     return stored(led.select("bucket", "node", "size", F.col("first.node").alias("leader"), fits.alias("fits")), "led")
 
 
-def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: float) -> DataFrame:
-    """Verified pairs (a, b) that connect what all verified pairs within buckets connect.
+def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: float, rounds: int = ROUNDS) -> DataFrame:
+    """Verified pairs (a, b) that connect the similar members of each bucket, from as many pairs as there are members.
 
-    Pairs whose sizes do not fit are never verified. First every member is
-    verified against its leader. Members that fail meet the other members of
-    the bucket that they are not yet connected to; two members that passed are
-    connected by their leader already. So a bucket of n copies of one thing
-    costs n pairs, and no true link is lost.
+    Every member is verified against its bucket's leader; those that fail and
+    are of no other's kind yet take the least of themselves as their leader
+    and are verified again, ``rounds`` times in all. A bucket of n copies of
+    one thing costs n pairs, one of n different things n pairs a round, and
+    never all pairs. Members of one kind are found by the round in which one
+    of them leads, in any of the buckets that they share; sizes that do not
+    fit are never verified.
     """
-    fits = lambda x, y: F.least(x, y) >= shortest * F.greatest(x, y)
-    star = stored(verify(led.where("fits").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()), "star_links")
-    root = components(star)
-
-    passed = star.select(F.col("a").alias("leader"), F.col("b").alias("node"), F.lit(True).alias("passed"))
-    placed = stored(led.join(passed, ["leader", "node"], "left").join(root, "node", "left")
-                    .select("bucket", "node", "size", F.coalesce("root", "node").alias("root"), F.col("passed").isNull().alias("open")), "placed")
-    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    side = lambda p: [F.col(c).alias(p + c) for c in ("node", "size", "root")]
-    open_ = placed.where("open").select("bucket", *side("x"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rest = placed.select("bucket", *side("y"), "open", salt.alias("salt")).join(open_.select("bucket", "salt").distinct(), ["bucket", "salt"], "left_semi")
-    met = (open_.join(rest, ["bucket", "salt"]).where((F.col("xroot") != F.col("yroot")) & fits(F.col("xsize"), F.col("ysize")))
-           .where(~F.col("open") | (F.col("xnode") < F.col("ynode")))
-           .select(F.least("xnode", "ynode").alias("a"), F.greatest("xnode", "ynode").alias("b")).distinct())
-    return star.unionByName(stored(verify(met.join(star, ["a", "b"], "left_anti")), "other_links"))
-
-
-def with_texts(pairs: DataFrame, texts: DataFrame, salts: int = 256) -> DataFrame:
+    links = tested = None
+    for _ in range(rounds):
+        pairs = led.where("fits").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        star = stored(verify(pairs), "links")
+        links, tested = (star, pairs) if links is None else (links.unionByName(star), tested.unionByName(pairs))
+        passed = star.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+        led = lead(led.join(passed, ["leader", "node"], "left_anti").select("bucket", "node", "size"), shortest)
+    return links
+
+
+def with_texts(pairs: DataFrame, texts: DataFrame, salts: int = 64) -> DataFrame:
     """``pairs`` (a, b) with the ``text`` of both nodes, as ``ta`` and ``tb``.
 
     A node of very many pairs is spread: its text goes to at most ``salts``
