@@ -279,6 +279,9 @@ class WarcWriter(DataSourceArrowWriter):
         work = f"{path}/_temporary/{self.job}"
         if system.get_file_info(work).type == fs.FileType.Directory:
             system.delete_dir(work)
+        others = fs.FileSelector(f"{path}/_temporary", allow_not_found=True)
+        if system.get_file_info(others.base_dir).type == fs.FileType.Directory and not system.get_file_info(others):
+            system.delete_dir(others.base_dir)
 
 
 class WarcSource(DataSource):
