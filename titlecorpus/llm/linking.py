@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.llm.common import hot_join, stored
 
-#: Times that the members of a bucket which are not linked yet take a leader.
+#: Times that the members of a bucket which are not linked yet take a leader, before the rest is settled.
 ROUNDS = 3
+#: Members of a part of a bucket, pairs compared at once, and pairs of two groups that a part gives in the first round of settling.
+CELL, PAIRS, FEW = 512, 1 << 20, 4
+#: Counts of a profile.
+BINS = 256
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,6 +48,27 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def least_keys(h: np.ndarray, owner: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, key) of the ``most`` least different hashes of each owner (a number under 2^20); keys have 44 bits."""
+    x = np.unique(owner.astype(np.uint64) << np.uint64(44) | h >> np.uint64(20))
+    own = (x >> np.uint64(44)).astype(np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(own)])
+    keep = np.arange(len(x)) - np.repeat(begins, np.diff(np.append(begins, len(x)))) < most
+    return own[keep], (x[keep] & np.uint64((1 << 44) - 1)).astype(np.int64)
+
+
+def profiles(features: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Feature counts of ``n`` items, features folded to BINS; counts over 255 stand as 255."""
+    counts = np.bincount(owner * BINS + (features % np.uint64(BINS)).astype(np.int64), minlength=n * BINS)
+    return np.minimum(counts, 255).astype(np.uint8).reshape(n, BINS)
+
+
+def shared(members: DataFrame) -> DataFrame:
+    """The members (bucket, node, size) whose bucket holds another one."""
+    held = members.withColumn("held", F.count("*").over(Window.partitionBy("bucket")))
+    return stored(held.where("held > 1").drop("held"), "bucket_members")
+
+
 def lead(members: DataFrame, shortest: float) -> DataFrame:
     """(bucket, node, size, leader, fits) of the members of shared buckets but for each bucket's least node, their leader.
 
@@ -55,16 +81,17 @@ def lead(members: DataFrame, shortest: float) -> DataFrame:
     return stored(led.select("bucket", "node", "size", F.col("first.node").alias("leader"), fits.alias("fits")), "led")
 
 
-def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: float, rounds: int = ROUNDS) -> DataFrame:
-    """Verified pairs (a, b) that connect the similar members of each bucket, from as many pairs as there are members.
+def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: float, rounds: int = ROUNDS,
+         settle: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Verified pairs (a, b) that connect the similar members of each bucket.
 
-    Every member is verified against its bucket's leader; those that fail and
-    are of no other's kind yet take the least of themselves as their leader
-    and are verified again, ``rounds`` times in all. A bucket of n copies of
-    one thing costs n pairs, one of n different things n pairs a round, and
-    never all pairs. Members of one kind are found by the round in which one
-    of them leads, in any of the buckets that they share; sizes that do not
-    fit are never verified.
+    First every member is verified against its bucket's leader; those that
+    fail and are of no other's kind yet take the least of themselves as their
+    leader and are verified again, ``rounds`` times in all. A bucket of n
+    copies of one thing costs n pairs, one of n different things n pairs a
+    round. What that leaves open, kinds that never led and members that are
+    similar to another one than their leader, is for ``settle`` (links and
+    pairs tested so far -> further links); see ``settled``.
     """
     links = tested = None
     for _ in range(rounds):
@@ -74,7 +101,117 @@ def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: flo
         links, tested = (star, pairs) if links is None else (links.unionByName(star), tested.unionByName(pairs))
         passed = star.select(F.col("a").alias("leader"), F.col("b").alias("node"))
         led = lead(led.join(passed, ["leader", "node"], "left_anti").select("bucket", "node", "size"), shortest)
-    return links
+    return links if settle is None else links.unionByName(settle(links, tested))
+
+
+def settled(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of: Callable[[DataFrame], DataFrame],
+            verify: Callable[[DataFrame], DataFrame], shortest: float, per_edit: int) -> DataFrame:
+    """The verified pairs that are missing until each bucket's similar members are connected.
+
+    ``members``: (bucket, node, size) of the shared buckets; ``profile_of``
+    gives (node, profile) of nodes; an edit moves ``per_edit`` counts of a
+    profile at most. Any two members of a bucket that are in different groups
+    yet, of sizes that fit and with profiles near enough (a bound that no
+    similar pair exceeds) are verified. Two groups need one link only, so a
+    round takes their FEW nearest pairs, the next one eight times as many,
+    until nothing was held back: then no unverified pair is left that could
+    be similar and join two groups.
+    """
+    few, more = FEW, None
+    while True:
+        root = components(links if more is None else links.unionByName(more))
+        named = stored(members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "named_members")
+        mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held")).where("low < high")
+        parts = stored(mixed.select("bucket", "held", F.ceil(F.col("held") / CELL).cast("int").alias("parts")), "mixed_buckets")
+        apart = stored(hot_join(named, parts, "bucket", "held").where("parts is not null"), "mixed_members")
+        profile = profile_of(apart.select("node").distinct())
+        near = stored(near_pairs(apart.join(profile, "node"), shortest, per_edit, few), "near_pairs")
+        pairs = stored(near.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = stored(verify(pairs), "links")
+        more, tested = found if more is None else more.unionByName(found), tested.unionByName(pairs)
+        if near.where("cut").isEmpty():
+            return more
+        few *= 8
+
+
+def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) -> DataFrame:
+    """(a, b, cut) of members (bucket, node, size, root, parts, profile) of a bucket and different roots that may be similar.
+
+    A bucket's members are dealt to ``parts`` parts, and any two parts meet in
+    a task of their own. ``cut``: the part has more than ``few`` pairs of the
+    two roots, of which the nearest are given.
+    """
+
+    def pairs(cell, side, alone, size, root, profile):
+        """Rows of the pairs, and whether others of their roots were held back; rows are sorted by cell."""
+        end = np.searchsorted(cell, cell, "right")
+        count = end - np.arange(len(cell)) - 1
+        upto = np.cumsum(count)
+        start = 0
+        while start < len(cell):
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS, "right")))
+            if stop < len(cell):  # whole cells, one at least
+                whole = int(np.searchsorted(cell, cell[stop]))
+                stop = whole if whole > start else int(end[start])
+            n = count[start:stop]
+            x = np.repeat(np.arange(start, stop), n)
+            y = np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + x + 1
+            most = lambda x, y: np.floor((1 - shortest) * np.maximum(size[x], size[y]) + 1e-9)
+            fit = (root[x] != root[y]) & (alone[x] | (side[x] != side[y])) & (np.abs(size[x] - size[y]) <= most(x, y))
+            x, y = x[fit], y[fit]
+            far = np.empty(len(x), np.int64)
+            for at in range(0, len(x), 1 << 14):
+                apart = profile[x[at:at + (1 << 14)]].astype(np.int16) - profile[y[at:at + (1 << 14)]]
+                over = np.maximum(apart, 0).sum(1, dtype=np.int64)
+                far[at:at + (1 << 14)] = np.maximum(over, over - apart.sum(1, dtype=np.int64))
+            fit = far <= per_edit * most(x, y)
+            x, y, far = x[fit], y[fit], far[fit]
+            key = [cell[x], np.minimum(root[x], root[y]), np.maximum(root[x], root[y])]
+            order = np.lexsort([far, *key])
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = np.any([k[order][1:] != k[order][:-1] for k in key], axis=0)
+            run = np.cumsum(fresh) - 1
+            begins = np.flatnonzero(fresh)
+            held = np.diff(np.append(begins, len(order)))
+            keep = np.arange(len(order)) - begins[run] < few
+            yield x[order][keep], y[order][keep], held[run][keep] > few
+            start = stop
+
+    def rows(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def done(t):
+            names = [np.asarray(t.column(c)) for c in ("bucket", "i", "j")]
+            cell = np.cumsum(np.concatenate([[False], np.any([c[1:] != c[:-1] for c in names], axis=0)]))
+            node = t.column("node").combine_chunks()
+            profile = np.frombuffer(b"".join(t.column("profile").to_pylist()), np.uint8).reshape(-1, BINS)
+            root = np.asarray(t.column("root").combine_chunks().dictionary_encode().indices)
+            for x, y, cut in pairs(cell, np.asarray(t.column("side")), names[1] == names[2], np.asarray(t.column("size")).astype(np.int64), root, profile):
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(cut, pa.bool_())], ["a", "b", "cut"])
+
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(pa.Table.from_batches([b]))
+            size += b.num_rows
+            if size < 4 * CELL:
+                continue
+            t = pa.concat_tables(held)
+            last = pc.and_(pc.and_(*(pc.equal(t.column(c), t.column(c)[-1]) for c in ("bucket", "i"))), pc.equal(t.column("j"), t.column("j")[-1]))
+            whole = int(np.argmax(np.asarray(last)))
+            if whole:
+                yield from done(t.slice(0, whole))
+            held = [t.slice(whole)]
+            size = held[0].num_rows
+        if held:
+            yield from done(pa.concat_tables(held))
+
+    dealt = members.withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "size", "root", "profile")
+    return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node").mapInArrow(rows, "a binary, b binary, cut boolean")
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame, salts: int = 64) -> DataFrame:
