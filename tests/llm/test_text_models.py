@@ -125,6 +125,28 @@ def test_main_text_of_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "A sentence of this article that is rather long and dense, with many words and no link. " * 3
+
+
+@pytest.mark.parametrize("part", [
+    f"<section id='discussion'><p>{LONG}</p></section>", "<h2 id='related-work'>Related work</h2>", f"<section id='feedback'><p>{LONG}</p></section>",
+    f"<p class='notice-period'>{LONG}</p>", f"<div class='social-policy'><p>{LONG}</p></div>", "<pre><code>x = 1 <span class='hljs-comment'># one</span></code></pre>",
+    "<p>Since <math><mi>a</mi><mo>=</mo><mn>2</mn></math> it holds.</p>", "<ul><li><a href=1>First paper</a><li><a href=2>Second one</a><li><a href=3>Third</a></ul>"])
+@pytest.mark.parametrize("around", ["<article><h1>Title</h1><p>{0}</p>{1}<p>{0}</p></article>", "<nav>menu</nav><main><p>{0}</p>{1}<p>{0}</p></main><footer>f</footer>"])
+def test_article_text_stays_whatever_its_name(part, around):
+    import re
+    words = [w for w in re.sub(r"<[^>]*>", " ", part).split()]
+    text = html_text.main_text(around.format(LONG, part))
+    inner = text[len(LONG.strip()):-len(LONG.strip())]
+    assert "".join(words) in "".join(inner.split())
+
+
+def test_furniture_in_an_article_goes():
+    links = "<a href=1>One more</a> <a href=2>Another</a> <a href=3>Third</a>"
+    page = f"<article><p>{LONG}</p><div class='ad'>Buy</div><div class='related'>{links}</div><div class='comments'><p>{LONG}</p></div></article><div class='cookie-bar'>Cookies</div>"
+    assert html_text.main_text(page) == LONG.strip()
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>", "t"), (1, "u", "<p>é</p>", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     got = html_text.extract_text(df).collect()

@@ -12,6 +12,10 @@ body is the threshold: the subtree grows to a parent that has another child as
 dense as that, or a heading, and to the article or main element around it.
 Menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and reader comments are no part of the tree (by element, role or class).
+A class or id counts if all words of one of its names say so, on blocks but
+headings. Names that an article's own parts bear too (a discussion, a notice)
+count only if the block is less dense than the page or at least half links.
+Lists of links go unless they lie in the core, an article or a main element.
 
 Text: character references decoded, white space inside a block turned into one
 space, blocks trimmed and joined in page order by a line feed.
@@ -39,11 +43,12 @@ TOKEN = re.compile(
 CUT_OFF = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 #: Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe object svg math canvas head title audio video noembed noframes".split())
+HIDDEN = frozenset("script style noscript template iframe object svg annotation annotation-xml canvas head title audio video noembed noframes".split())
 RAW = frozenset("script style noscript template iframe title noembed noframes textarea xmp".split())
 FURNITURE = frozenset("nav footer aside form button select textarea input dialog menu datalist label".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup "
-                   "time tt u var wbr".split())
+                   "time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace "
+                   "mpadded mphantom merror menclose mfenced mmultiscripts mprescripts semantics".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                      "header hgroup hr main menu nav ol p pre search section summary table ul".split())
 #: Elements that end at the next one of the set, up to the container named.
@@ -58,34 +63,46 @@ PARTS = frozenset(
     "notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall nav navbar navigation menu submenu topbar "
     "toolbar breadcrumb breadcrumbs pagination pager sidebar sidebars rail widget widgets related recommended recommendations trending footer masthead "
     "share sharing social comment comments commentlist discussion disqus respond replies reply feedback".split())
+#: Those that parts of an article bear as well, and words that only say where or what shape a part is.
+DOUBTFUL = frozenset("notice notices alert related recommended recommendations social share sharing sponsor sponsored promotion discussion respond replies reply "
+                     "feedback overlay rail widget widgets subscription navigation masthead consent".split())
+SHAPES = frozenset("left right top bottom main box bar block list item items area section container wrapper wrap inner outer links link buttons button text "
+                   "content header site page global primary secondary posts form panel unit slot".split())
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum", "doubtful")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.items = tag, parent, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.doubtful = False
 
 
-def outside(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of a text; ``inside`` an article or main element a header may hold the title."""
+def outside(tag: str, attributes: str, inside: bool) -> bool | None:
+    """Whether an element is no part of a text, None if its density has to tell; ``inside`` an article or main element a header may hold the title."""
     if tag in FURNITURE or tag in HIDDEN or tag == "header" and not inside:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
+    found: bool | None = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "role" and value.lower() in ROLES:
             return True
-        if name in ("class", "id"):
+        if name in ("class", "id") and tag not in INLINE and tag not in HEADINGS:
             for one in value.split():
-                if any(w.lower() in PARTS for w in WORDS.findall(one)):
-                    return True
-    return False
+                words = [w.lower() for w in WORDS.findall(one)]
+                known = [w for w in words if w in PARTS]
+                # Inside an article only a name that is one known word and no more.
+                if known and all(w in PARTS or w in SHAPES and not inside for w in words):
+                    if not all(w in DOUBTFUL for w in known):
+                        return True
+                    found = None
+    return found
 
 
 def tree(page: str) -> Node:
@@ -151,9 +168,11 @@ def tree(page: str) -> Node:
             continue
         child = Node(tag, node)
         if skip is None:
-            if outside(tag, attributes, within > 0):
+            apart = outside(tag, attributes, within > 0)
+            if apart:
                 skip = child
             else:
+                child.doubtful = apart is None
                 node.items.append(child)
         within += tag in ("article", "main")
         node = child
@@ -167,6 +186,9 @@ def measure(root: Node) -> list[Node]:
         n = stack.pop()
         order.append(n)
         stack.extend(c for c in reversed(n.items) if isinstance(c, Node))
+    for n in order:
+        n.chars = n.tags = n.link_chars = n.link_tags = 0
+        n.density = n.sum = 0.0
     for n in reversed(order):
         n.chars += sum(len(x) - x.count(" ") - x.count("\n") for x in n.items if isinstance(x, str))
         if n.tag == "a":
@@ -185,12 +207,17 @@ def measure(root: Node) -> list[Node]:
     return order
 
 
-def content(root: Node) -> Node:
-    """The subtree that holds the text."""
+def content(root: Node) -> tuple[Node, Node]:
+    """The subtree that holds the text, and its core."""
     order = measure(root)
+    apart = [n for n in order if n.doubtful and (n.density < root.density or n.link_chars and 2 * n.link_chars >= n.chars)]
+    if apart:
+        for n in apart:
+            n.parent.items = [x for x in n.parent.items if x is not n]
+        order = measure(root)
     core = max(order, key=lambda n: n.sum)
     if core.sum == 0:
-        return root
+        return root, root
     threshold, n = core.density, core
     while n.parent is not None:
         threshold, n = min(threshold, n.density), n.parent
@@ -202,11 +229,18 @@ def content(root: Node) -> Node:
         if parent.tag in ("article", "main") or loose or any(c.density >= threshold or c.tag in HEADINGS or c.tag == "p" for c in others):
             best = parent
         n = parent
-    return best
+    return best, core
 
 
-def blocks(node: Node) -> list[str]:
+def blocks(node: Node, core: Node) -> list[str]:
     """Texts of the blocks below ``node`` in page order."""
+
+    def kept(n: Node) -> bool:
+        while n.parent is not None:
+            if n is core or n.tag in ("article", "main"):
+                return True
+            n = n.parent
+        return False
     out, line, stack = [], [], [iter([node])]
 
     def flush() -> None:
@@ -228,7 +262,7 @@ def blocks(node: Node) -> list[str]:
             block = item.tag not in INLINE
             if block:
                 flush()
-            if not (block and item.tag not in HEADINGS and item.tag != "p" and item.link_tags > 2 and item.link_chars >= 0.9 * item.chars):
+            if not (block and item.tag not in HEADINGS and item.tag != "p" and item.link_tags > 2 and item.link_chars >= 0.9 * item.chars and not kept(item)):
                 stack.append(iter(item.items))
                 closing.append(block)
     flush()
@@ -236,7 +270,7 @@ def blocks(node: Node) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(blocks(content(tree(page)))) if page else ""
+    return "\n".join(blocks(*content(tree(page)))) if page else ""
 
 
 def extract_text(df: DataFrame, page: str = "html", to: str = "text", length: str = "n_chars") -> DataFrame:
