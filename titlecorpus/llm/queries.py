@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from titlecorpus.llm import html_text, line_dedup, near_dedup, neighbours, packing, pieces, quality, toxicity, url_filter, warc
+from titlecorpus.llm import html_text, inner_product, line_dedup, near_dedup, neighbours, packing, periodic, pieces, quality, toxicity, url_filter, warc, whitening
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -14,10 +14,14 @@ QUERIES = {
     "op7_neighbours": neighbours.op7_neighbours,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_url_filter": url_filter.op9_url_filter,
+    "op10_html_text": html_text.op10_html_text,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_exact_search": inner_product.op13_exact_search,
 }
-QUERIES["op10_html_text"] = html_text.op10_html_text
 ORACLE_SQL = {
     "op1_quality_rules": quality.ORACLE_SQL,
     "op4_warc": warc.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op13_exact_search": inner_product.ORACLE_SQL,
 }
