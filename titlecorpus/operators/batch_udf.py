@@ -7,23 +7,20 @@ one failing record yields an error text, never a failed task.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.schema import PREDICTION_ERROR_PREFIX
-
-# Ship this module's functions by value: Python workers need not have the
-# package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from titlecorpus.session import ship_package
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
     """Apply ``fn`` to every Arrow batch (columns in -> columns out)."""
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield fn(pdf)
@@ -53,6 +50,7 @@ def predict_with(df: DataFrame, predict: Callable[[str], str], text_col: str = "
                 titles.append(title)
                 errors.append(error)
             yield pdf.assign(error=errors, predicted_title=titles)
+    ship_package(df.sparkSession)
     if "error" not in df.columns:
         df = df.withColumn("error", F.lit(None).cast("string"))
     # Nullable integers reach pandas as objects, not as floats.

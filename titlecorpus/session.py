@@ -8,8 +8,10 @@ bench) do we create our own folder.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,28 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, once: they need
+    not have it installed, nor on their path. A package that was itself shipped
+    as a zip is there already."""
+    sc = spark.sparkContext
+    here = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(here):
+        return
+    _SHIPPED.add(sc.applicationId)
+    # Spark copies the driver's file to every executor.
+    path = os.path.join(tempfile.mkdtemp(prefix="titlecorpus-"), "titlecorpus.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Checkpoint folder of this application (set up on first use)."""
     sc = spark.sparkContext
