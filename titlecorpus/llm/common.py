@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlecorpus.session import work_path
+from titlecorpus.session import ship_package, work_path
 
 #: Keys that a hot_join treats apart. Every other key holds less than 1/1000 of the rows.
 HOT_KEYS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

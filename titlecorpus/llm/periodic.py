@@ -8,7 +8,8 @@ more), so each is searched alone. In a
 tile every multiple of P is a boundary: words that agree with those p further
 on, for p of the octave, make a stretch of p words at least around a boundary,
 and Z-functions to both sides of it tell how far the stretch reaches (2P words
-or so at most each). Boundaries without any stretch are ruled out by a few words.
+or so at most each). Boundaries without any stretch are ruled out by a few words;
+in octaves up to TOGETHER the Z-values of all boundaries are counted in lockstep.
 
 A document's first tile is searched where its text is read; all other tiles
 are dealt to tasks of their own. The fragments are shuffled by document and
@@ -31,8 +32,8 @@ from titlecorpus.llm.common import steps, table
 
 #: Words of a tile of the fine octaves, the largest of these, and words of a shortest run.
 CORE, FINE, SHORTEST = 1 << 15, 1 << 11, 12
-#: Word pairs compared at once, and words of a boundary looked at before its Z-functions.
-PAIRS, LOOKS = 1 << 20, 8
+#: Word pairs compared at once, words of a boundary looked at before its Z-functions, and the largest octave whose boundaries advance together.
+PAIRS, LOOKS, TOGETHER = 1 << 20, 8, 64
 RUNS = "array<struct<start:long,length:long,period:long>>"
 
 
@@ -82,6 +83,17 @@ def around(w: np.ndarray, c: int, begin: int, end: int, octave: int) -> tuple[np
     return period[fit], c - back[fit], c + ahead[fit]
 
 
+def agreed(w: np.ndarray, a: np.ndarray, b: np.ndarray, edge: np.ndarray, octave: int, step: int) -> np.ndarray:
+    """Z-values of short octaves, all in lockstep: how many words from ``a`` on equal those from ``b`` on, ahead (``step`` 1, ``b`` below ``edge``) or back (-1, ``a`` from ``edge`` on)."""
+    count, open_ = np.zeros(len(a), np.int64), np.arange(len(a))
+    for k in range(reach_of(octave)):
+        inside = b[open_] + k < edge[open_] if step > 0 else a[open_] - k >= edge[open_]
+        open_ = open_[inside]
+        open_ = open_[w[a[open_] + step * k] == w[b[open_] + step * k]]
+        count[open_] += 1
+    return count
+
+
 def fragments(w: np.ndarray, begin, end, first, last, low, high) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(tile, period, x, y) of tiles that stand one after the other in ``w`` (places in ``w``): each word of [x, y) equals that a period on.
 
@@ -112,7 +124,15 @@ def fragments(w: np.ndarray, begin, end, first, last, low, high) -> tuple[np.nda
             for k in looks + 1:
                 back = back[a[back] - k >= begin[of[i[back]]]]
                 back = back[w[a[back] - k] == w[b[back] - k]]
-            for k in np.unique(i[np.union1d(ahead, back)]):
+            alive = np.union1d(ahead, back)
+            if octave <= TOGETHER:
+                p = b[alive] - a[alive]
+                x = a[alive] - agreed(w, a[alive] - 1, b[alive] - 1, begin[of[i[alive]]], octave, -1)
+                y = a[alive] + agreed(w, a[alive], b[alive], end[of[i[alive]]], octave, 1)
+                fit = y - x >= np.maximum(p, SHORTEST - p)
+                found.append((of[i[alive]][fit], p[fit], x[fit], y[fit]))
+                continue
+            for k in np.unique(i[alive]):
                 p, x, y = around(w, int(at[k]), int(begin[of[k]]), int(end[of[k]]), octave)
                 found.append((np.full(len(p), of[k]), p, x, y))
         octave *= 2
