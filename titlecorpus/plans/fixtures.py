@@ -41,7 +41,7 @@ def json_dump_lines(docs: DataFrame) -> DataFrame:
                     F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value"))
 
 
-def _file_count(docs: DataFrame, at_least: int = 4) -> int:
+def file_count(docs: DataFrame, at_least: int = 4) -> int:
     """One output file per input split (at least ``at_least``): the write
     runs as wide as the scan, whatever the data size."""
     return max(at_least, docs.rdd.getNumPartitions())
@@ -50,7 +50,7 @@ def _file_count(docs: DataFrame, at_least: int = 4) -> int:
 def write_json_dump(docs: DataFrame, path: str) -> str:
     """Write the dump as several text files whose names follow line order."""
     lines = json_dump_lines(docs)
-    (lines.repartitionByRange(_file_count(docs), "doc_id").sortWithinPartitions("doc_id")
+    (lines.repartitionByRange(file_count(docs), "doc_id").sortWithinPartitions("doc_id")
      .select("value").write.mode("overwrite").text(path))
     return path
 
@@ -58,6 +58,6 @@ def write_json_dump(docs: DataFrame, path: str) -> str:
 def write_requests(docs: DataFrame, path: str) -> int:
     """(id, abstract) request files; returns how many files were written."""
     reqs = papers_from_documents(docs).select("id", "abstract")
-    n = _file_count(docs)
+    n = file_count(docs)
     reqs.repartitionByRange(n, "id").write.mode("overwrite").parquet(path)
     return n

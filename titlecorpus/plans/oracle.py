@@ -132,6 +132,8 @@ SELECT row_number() OVER (ORDER BY id) AS id, title, abstract, journal_ref, cate
 SELECT count(*) AS n_found FROM papers WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}')"""
     s["csv_roundtrip"] = f"""WITH {PAPERS}
 SELECT {na('title')}, {na('abstract')}, {na('journal_ref')}, {na('categories')} FROM papers"""
+    s["csv_split_read"] = f"""WITH {PAPERS}
+SELECT row_number() OVER (ORDER BY id) AS row_no, {na('title')}, {na('abstract')}, {na('journal_ref')}, {na('categories')} FROM papers"""
     s["parquet_roundtrip"] = f"""WITH {PAPERS}
 SELECT title, abstract, journal_ref, categories FROM papers"""
     s["append_ids"] = f"""WITH {PAPERS}

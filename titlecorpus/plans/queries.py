@@ -107,6 +107,14 @@ def q_csv_roundtrip(spark, sf):
     return files.load_dataset(spark, path)
 
 
+def q_csv_split_read(spark, sf):
+    """The rows of CSV files in file order, each file read in splits."""
+    base = work_path(spark, "ordered")
+    src = _papers(spark, sf)
+    path = files.save_dataset(src.repartitionByRange(fixtures.file_count(src), "id").sortWithinPartitions("id"), base, "csv")
+    return file_order_rank(files.read_dataset(spark, path), "row_no").drop("_file", "_block", "_row")
+
+
 def q_parquet_roundtrip(spark, sf):
     base = work_path(spark, "papers")
     path = files.save_dataset(_papers(spark, sf), base, "parquet")
@@ -327,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_count": q_json_count,
     "corpus_build": q_corpus_build,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_split_read": q_csv_split_read,
     "parquet_roundtrip": q_parquet_roundtrip,
     "append_ids": q_append_ids,
     "scan_limit": q_scan_limit,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from titlecorpus.operators.rank import FILE_ORDER, HashOrder, file_order_rank, hash_rank, with_file_order
 from titlecorpus.schema import NA_TOKENS, PAPER_FILE_SCHEMA
+from titlecorpus.sources.csv_split import read_csv_splits
 
 # CSV layout that reads back cell for cell: quoted fields may hold newlines
 # and doubled quotes; empty strings are written as empty cells.
@@ -43,8 +44,12 @@ def null_tokens(df: DataFrame, cols) -> DataFrame:
                            for c in cols})
 
 
-def read_dataset(spark: SparkSession, filename: str, schema=PAPER_FILE_SCHEMA) -> DataFrame:
-    """Scan by suffix, with the file-order key of each row."""
+def read_dataset(spark: SparkSession, filename: str, schema=PAPER_FILE_SCHEMA, whole_files: bool = False) -> DataFrame:
+    """Scan by suffix, with the file-order key of each row.
+
+    A CSV file is read in splits, however large (``csv_split``);
+    ``whole_files`` gives each file to one task of Spark's parser instead.
+    """
     if filename.endswith(".csv"):
         # Columns are bound by the names in the header; a file of the folder
         # whose header differs is an error, never a silent swap.
@@ -54,7 +59,8 @@ def read_dataset(spark: SparkSession, filename: str, schema=PAPER_FILE_SCHEMA) -
         if missing:
             raise ValueError(f"{filename} has no column {', '.join(missing)}")
         order = [F.col(c) for c in FILE_ORDER]
-        named = with_file_order(raw).select(*(F.col(f.name).cast(f.dataType) for f in schema.fields), *order)
+        tagged = with_file_order(raw) if whole_files else read_csv_splits(spark, filename, raw.columns, _CSV_OPTIONS)
+        named = tagged.select(*(F.col(f.name).cast(f.dataType) for f in schema.fields), *order)
         return null_tokens(named, [f.name for f in schema.fields])
     if filename.endswith(".parquet"):
         return with_file_order(spark.read.parquet(filename))
