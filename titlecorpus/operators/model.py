@@ -10,7 +10,7 @@ the highest mean weight; ties go to the earlier one.
 
 from __future__ import annotations
 
-import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
 from titlecorpus.schema import MODEL_NAME_DATE_FORMAT
+from titlecorpus.sources import manifest
 
 # Model rows we broadcast whole; above it only the hot tokens are broadcast.
 BROADCAST_MODEL_ROWS = 2_000_000
@@ -50,23 +51,44 @@ def default_model_name(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime(MODEL_NAME_DATE_FORMAT)
 
 
-def save_model(model: DataFrame, path: str) -> dict:
-    """Write the token table and a totals file; returns the totals."""
+def save_model(model: DataFrame, path: str, vocab: DataFrame | None = None) -> dict:
+    """Write the token table (and the vocabulary) as a new version; returns the totals.
+
+    The parts lie under fresh names; the manifest that names them, with the
+    totals, is published last. Whoever loads the model gets the parts of one
+    version, whenever a writer stops.
+    """
+    spark = model.sparkSession
+    after = max(manifest.versions(spark, path), default=0)
+    name = uuid.uuid4().hex
     # Totals are observed while the rows are written: no second pass.
     obs = Observation("model_totals")
-    model.observe(obs, F.count(F.lit(1)).alias("n_tokens")) \
-        .write.mode("overwrite").parquet(f"{path}/tokens")
+    model.observe(obs, F.count(F.lit(1)).alias("n_tokens")).write.parquet(f"{path}/tokens-{name}")
+    parts = {"tokens": f"tokens-{name}"}
+    if vocab is not None:
+        vocab.write.parquet(f"{path}/vocab-{name}")
+        parts["vocab"] = f"vocab-{name}"
     totals = {k: int(v) for k, v in obs.get.items()}
-    model.sparkSession.createDataFrame([(json.dumps(totals),)], "totals string") \
-        .write.mode("overwrite").text(f"{path}/totals")
+    manifest.publish(spark, path, {"parts": parts, "totals": totals}, after)
     return totals
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+def model_version(spark: SparkSession, path: str) -> int:
+    """The newest version of a saved model (0: none)."""
+    return max(manifest.versions(spark, path), default=0)
+
+
+def load_part(spark: SparkSession, path: str, part: str, version: int | None = None) -> tuple[DataFrame, dict]:
+    """(part, totals) of one version of a saved model, the newest unless given: ``tokens`` or ``vocab``."""
+    _, state = manifest.load(spark, path, version)
+    if state is None or part not in state["parts"]:
+        raise FileNotFoundError(f"{path} holds no {part} of a model")
+    return spark.read.parquet(f"{path}/{state['parts'][part]}"), state["totals"]
+
+
+def load_model(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, dict]:
     """(token table, totals) of a model written by ``save_model``."""
-    tokens = spark.read.parquet(f"{path}/tokens")
-    totals = json.loads(spark.read.text(f"{path}/totals").first()[0])
-    return tokens, totals
+    return load_part(spark, path, "tokens", version)
 
 
 def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None) -> DataFrame:

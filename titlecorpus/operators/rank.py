@@ -268,6 +268,10 @@ def file_order_rank(tagged: DataFrame, rank_col: str = "line_no") -> DataFrame:
 
 
 # -- any order -----------------------------------------------------------------
+#: Keys that one task holds to find the n-th; for more the keys are range-partitioned.
+TOP_KEYS = 100_000
+
+
 def first_by(df: DataFrame, order_cols, n: int) -> DataFrame:
     """Exactly the first ``n`` rows by ``order_cols`` (all, if there are fewer).
 
@@ -280,6 +284,14 @@ def first_by(df: DataFrame, order_cols, n: int) -> DataFrame:
     shared_dir(spark)
     position = F.struct(*((F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order_cols)))
     keys = df.select(position.alias("_k"))
+    if n <= TOP_KEYS:
+        # Each task keeps its n least keys; those meet in one task.
+        least = keys.orderBy("_k").limit(n).agg(F.count(F.lit(1)).alias("n"), F.max("_k").alias("k")).first()
+        if least["n"] < n:
+            return df
+        bound = _literal(keys, least["k"])
+        held = keys.agg(F.count_if(F.col("_k") < bound).alias("below"), F.count_if(F.col("_k") == bound).alias("ties")).first()
+        return _cut(df, position, bound, n - held["below"], held["ties"])
     parts = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
     placed = (keys.repartitionByRange(parts, "_k").withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
     before = 0
@@ -295,10 +307,19 @@ def first_by(df: DataFrame, order_cols, n: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("_pid").orderBy("_k"))
     rank = F.rank().over(Window.partitionBy("_pid").orderBy("_k"))
     last = inside.withColumn("_place", place).withColumn("_rank", rank).where(F.col("_place") == n - before).first()
-    fields = placed.schema["_k"].dataType.fields
-    bound = F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(last["_k"], fields)))
+    bound = _literal(placed, last["_k"])
     missing = n - before - last["_rank"] + 1
-    if inside.where(F.col("_k") == bound).limit(missing + 1).count() == missing:
+    return _cut(df, position, bound, missing, inside.where(F.col("_k") == bound).limit(missing + 1).count())
+
+
+def _literal(keys: DataFrame, value) -> Column:
+    fields = keys.schema["_k"].dataType.fields
+    return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(value, fields)))
+
+
+def _cut(df: DataFrame, position: Column, bound: Column, missing: int, ties: int) -> DataFrame:
+    """The rows before ``bound`` and ``missing`` of the ``ties`` at it."""
+    if ties == missing:
         return df.where(position <= bound)
     return df.where(position < bound).unionByName(df.where(position == bound).limit(missing))
 

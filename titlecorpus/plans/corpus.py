@@ -11,7 +11,7 @@ from pyspark.sql import Observation, SparkSession
 
 from titlecorpus.schema import DATASET_NAME_FORMAT
 from titlecorpus.sources.jsonl import RANK, load_arxiv_metadata
-from titlecorpus.sources.table import append_papers, read_table, show_papers
+from titlecorpus.sources.table import append_papers, first_papers, show_papers
 
 
 def dataset_name(n_papers: int | None, category: str | None) -> str:
@@ -34,7 +34,7 @@ def build_corpus(spark: SparkSession, jsonl_path: str, table_path: str,
     selected = load_arxiv_metadata(spark, jsonl_path, n_papers, random_select,
                                    categories_filter, seed, strict, observation=found)
     inserted = append_papers(spark, table_path, selected, rank_col=RANK)
-    display = show_papers(read_table(spark, table_path), print_result) if print_result else ""
+    display = show_papers(first_papers(spark, table_path, print_result), print_result) if print_result else ""
     return {"inserted": inserted, "found": found.get["n_found"] if found else None,
             "display": display}
 

@@ -140,6 +140,11 @@ SELECT title, abstract, journal_ref, categories FROM papers"""
 SELECT row_number() OVER (ORDER BY b, doc_id) AS id, title, abstract, journal_ref, categories
 FROM (SELECT 1 AS b, id AS doc_id, title, abstract, journal_ref, categories FROM papers
       UNION ALL SELECT 2, id, title, abstract, journal_ref, categories FROM papers)"""
+    thrice = f"""WITH {PAPERS}
+SELECT row_number() OVER (ORDER BY b, doc_id) AS id, title, abstract, journal_ref, categories
+FROM (SELECT b, id AS doc_id, title, abstract, journal_ref, categories FROM papers CROSS JOIN (VALUES (1), (2), (3)) t(b))"""
+    s["table_first_n"] = f"SELECT * FROM ({thrice}) WHERE id <= (SELECT count(*) FROM documents) + {Q.HEAD_N}"
+    s["table_record_at"] = f"SELECT * FROM ({thrice}) WHERE id = (SELECT count(*) FROM documents) + {Q.RECORD_INDEX + 1}"
     s["scan_limit"] = f"WITH {PAPERS} SELECT * FROM papers ORDER BY id LIMIT {Q.SCAN_LIMIT}"
     s["pairs_limit"] = f"WITH {PAPERS} SELECT id, abstract, title FROM papers ORDER BY id LIMIT {Q.PAIRS_LIMIT}"
     s["record_at"] = f"WITH {PAPERS} SELECT * FROM papers ORDER BY id LIMIT 1 OFFSET {Q.RECORD_INDEX}"

@@ -129,6 +129,23 @@ def q_append_ids(spark, sf):
     return table.read_table(spark, path)
 
 
+def _thrice(spark, sf) -> tuple[str, int]:
+    """A table of three appends of the papers, and the papers of one."""
+    path = work_path(spark, "table")
+    src = _papers(spark, sf).withColumnRenamed("id", "doc_id")
+    return path, [table.append_papers(spark, path, src, ["doc_id"]) for _ in range(3)][0]
+
+
+def q_table_first_n(spark, sf):
+    path, n = _thrice(spark, sf)
+    return table.first_papers(spark, path, n + HEAD_N)
+
+
+def q_table_record_at(spark, sf):
+    path, n = _thrice(spark, sf)
+    return table.paper_by_position(spark, path, n + RECORD_INDEX)
+
+
 def q_scan_limit(spark, sf):
     return table.fetch_papers(_papers(spark, sf), SCAN_LIMIT)
 
@@ -336,6 +353,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_build": q_corpus_build,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_split_read": q_csv_split_read,
+    "table_first_n": q_table_first_n,
+    "table_record_at": q_table_record_at,
     "parquet_roundtrip": q_parquet_roundtrip,
     "append_ids": q_append_ids,
     "scan_limit": q_scan_limit,

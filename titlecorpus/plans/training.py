@@ -20,13 +20,12 @@ from titlecorpus.operators.splits import first_k_of_split, split_fraction, split
 from titlecorpus.session import work_path
 from titlecorpus.operators.rank import file_order_rank
 from titlecorpus.sources.files import read_dataset, read_split, write_splits
-from titlecorpus.sources.table import fetch_papers_for_training, read_table
+from titlecorpus.sources.table import first_papers
 
 
 def training_pairs(spark: SparkSession, table_path: str, limit: int | None = None) -> DataFrame:
     """(id, input_text, target_text) of all papers, or the first ``limit``."""
-    return pair_projection(fetch_papers_for_training(read_table(spark, table_path),
-                                                     limit))
+    return pair_projection(first_papers(spark, table_path, limit))
 
 
 def file_pairs(spark: SparkSession, filename: str, n_rows: int | None = None) -> DataFrame:
