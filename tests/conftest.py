@@ -25,3 +25,11 @@ def write_lines(tmp_path):
         p.write_text("\n".join(lines) + "\n", encoding="utf-8")
         return str(p)
     return _write
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Call it to have Spark find every table too large to broadcast by itself."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    yield lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

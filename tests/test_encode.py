@@ -29,21 +29,20 @@ def test_truncation(spark):
     assert r.input_ids == [2, 1, 1] and r.labels == [2, 1]
 
 
-def test_encode_single_shuffle(spark):
+def test_encode_single_shuffle(spark, tmp_path):
+    from titlecorpus.operators.encode import save_vocab
     df = spark.createDataFrame([(1, "a b", "a")], "id long, input_text string, target_text string")
-    vocab = spark.createDataFrame([("a", 1, 2)], "token string, count long, token_id int")
-    plan = encode(df, vocab, vocab_size=1)._jdf.queryExecution().executedPlan().toString()
+    vocab = save_vocab(spark.createDataFrame([("a", 1, 2)], "token string, count long, token_id int"), str(tmp_path / "v"))
+    plan = encode(df, vocab)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_unknown_vocab_size_splits_hot_tokens(spark, monkeypatch):
-    from titlecorpus.operators import encode as enc
+def test_large_vocab_spreads_hot_tokens(spark, no_broadcast):
     df = spark.createDataFrame([(i, "a b c " + "z" * 80, "a") for i in range(20)] + [(99, None, "")],
                                "id long, input_text string, target_text string")
     vocab = spark.createDataFrame([("a", 9, 2), ("b", 5, 3), ("z" * 80, 4, 4)], "token string, count long, token_id int")
-    whole = sorted(map(tuple, encode(df, vocab, input_len=5, label_len=2, vocab_size=3).collect()))
-    monkeypatch.setattr(enc, "HOT_TOKENS", 2)
-    monkeypatch.setattr(enc, "HOT_LENGTH", 64)
+    whole = sorted(map(tuple, encode(df, vocab, input_len=5, label_len=2).collect()))
+    no_broadcast()
     split = sorted(map(tuple, encode(df, vocab, input_len=5, label_len=2).collect()))
     assert whole == split and split[0][1] == [2, 3, 1, 4, 0] and split[-1][1] == [0] * 5
 

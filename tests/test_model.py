@@ -47,14 +47,17 @@ def test_bigram_block_and_beams(spark):
     assert [r.beam for r in rows] == [1, 2]
 
 
-def test_large_model_path_equals_broadcast(spark, pairs, monkeypatch):
-    m = model.fit(pairs)
-    req = pairs.select("id", "input_text")
-    small = sorted(map(tuple, model.generate(req, m, n_model_rows=10, text_col="input_text").collect()))
-    monkeypatch.setattr(model, "BROADCAST_MODEL_ROWS", 0)
-    monkeypatch.setattr(model, "HOT_TOKENS", 2)
-    large = sorted(map(tuple, model.generate(req, m, n_model_rows=10**9, text_col="input_text").collect()))
-    assert small == large
+def test_large_model_path_equals_broadcast(spark, pairs, tmp_path, no_broadcast):
+    model.save_model(model.fit(pairs), str(tmp_path / "m"))
+    m, _ = model.load_model(spark, str(tmp_path / "m"))
+    req = pairs.select("id", "input_text").union(pairs.select("id", "input_text"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    df = model.generate(req, m, text_col="input_text")
+    assert plan(df).count("Exchange hashpartitioning") <= 2
+    small = sorted(map(tuple, df.collect()))
+    no_broadcast()
+    large = sorted(map(tuple, model.generate(req, m, text_col="input_text").collect()))
+    assert small == large and len(small) == 2 * pairs.count()
 
 
 def test_save_load(spark, pairs, tmp_path):

@@ -2,9 +2,10 @@
 
 Ids: 0 = padding, 1 = unknown token, 2.. = vocabulary by descending count,
 ties by token. Encoding explodes the (already truncated) token lists, joins
-the vocabulary -- broadcast when its size argument bounds it, else by
-shuffle -- and regroups by row id. The rows are hash-partitioned by id
-first, so with the broadcast the regrouping needs no second shuffle.
+the vocabulary -- broadcast where Spark finds it small, else by a shuffle that
+spreads heavy tokens, known or not -- and regroups by row id. The rows are
+hash-partitioned by id first, so with the broadcast the regrouping needs no
+second shuffle.
 """
 
 from __future__ import annotations
@@ -13,11 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
+from titlecorpus.operators.heavy import spread_join
 from titlecorpus.operators.rank import global_rank
 
-# Tokens that are broadcast to the encoding tasks, and their longest.
-HOT_TOKENS, HOT_LENGTH = 200_000, 64
-
 PAD_ID = 0
 UNK_ID = 1
 LABEL_IGNORE = -100
@@ -39,22 +38,6 @@ def _pad(ids, length: int, value: int = PAD_ID):
     return F.concat(ids, F.array_repeat(F.lit(value), F.lit(length) - F.size(ids)))
 
 
-def _with_ids(tokens: DataFrame, table: DataFrame, vocab_size: int | None) -> DataFrame:
-    """Left join of the ids. Ids follow the counts, so the tokens that could
-    crowd one reducer are the first ids: those go by broadcast (HOT_TOKENS rows
-    of HOT_LENGTH characters at most), only the others by a shuffle. A
-    vocabulary whose ``vocab_size`` fits goes by broadcast whole."""
-    if vocab_size is not None and vocab_size <= HOT_TOKENS:
-        return tokens.join(F.broadcast(table), "token", "left")
-    is_hot = (F.col("token_id") <= HOT_TOKENS) & (F.length("token") <= HOT_LENGTH)
-    first = tokens.join(F.broadcast(table.where(is_hot)), "token", "left")
-    # Rows of empty texts (NULL token) skip the shuffle: a NULL key would put
-    # all of them on one reducer.
-    settled = F.col("token_id").isNotNull() | F.col("token").isNull()
-    tail = first.where(~settled).drop("token_id").join(table.where(~is_hot), "token", "left")
-    return first.where(settled).unionByName(tail)
-
-
 def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
            target_col: str = "target_text", input_len: int = 512, label_len: int = 128,
            mask_pad: bool = False, id_col: str = "id", keep=(),
@@ -62,7 +45,8 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     """(id, input_ids[input_len], labels[label_len]) with right padding.
 
     Tokens are cut to the length *before* the explode, so a row's fan-out is
-    bounded. ``mask_pad`` turns padding in the labels into -100. ``keep``
+    bounded. ``vocab_size`` is accepted and not needed: sizes are Spark's
+    estimates. ``mask_pad`` turns padding in the labels into -100. ``keep``
     columns (functions of the id, e.g. the split name) are carried along as
     extra grouping keys, which the id partitioning already satisfies.
     """
@@ -84,7 +68,7 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
         "_id", *keep, "token",
         F.when(is_label, 1).when(~is_label, 0).alias("side"),
         F.when(is_label, F.col("_p") - F.col("_n_in")).otherwise(F.col("_p")).alias("pos"))
-    joined = _with_ids(exploded, vocab.select("token", "token_id"), vocab_size)
+    joined = spread_join(exploded, vocab.select("token", "token_id"), "token", ["_id", "side", "pos"])
     ids = joined.withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
                             .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
 
@@ -121,13 +105,10 @@ def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", id_col:
     coded = rows.select("_id", F.posexplode_outer("_ids").alias("pos", "token_id"))
     coded = coded.withColumn("token_id", F.when(F.col("token_id") > UNK_ID, F.col("token_id")).when(F.col("token_id") == UNK_ID, UNK_ID))
     table = vocab.select("token", "token_id")
-    is_hot = (F.col("token_id") <= HOT_TOKENS) & (F.length("token") <= HOT_LENGTH)
-    first = coded.join(F.broadcast(table.where(is_hot)), "token_id", "left")
-    # Padding and unknown ids need no token and stay out of the shuffle.
-    settled = F.col("token").isNotNull() | F.col("token_id").isNull() | (F.col("token_id") == UNK_ID)
-    tail = first.where(~settled).drop("token").join(table.where(~is_hot), "token_id", "left")
-    named = first.where(settled).unionByName(tail)
-    shown = F.when(F.col("token_id") == UNK_ID, F.lit(unknown)).otherwise(F.col("token"))
+    # Padding and unknown ids are no tokens: their rows have no key and match nothing.
+    known = coded.withColumn("_unknown", F.col("token_id") == UNK_ID).withColumn("token_id", F.when(F.col("token_id") > UNK_ID, F.col("token_id")))
+    named = spread_join(known, table, "token_id", ["_id", "pos"])
+    shown = F.when(F.col("_unknown"), F.lit(unknown)).otherwise(F.col("token"))
     named = named.withColumn("shown", shown)
     picked = F.collect_list(F.when(F.col("shown").isNotNull(), F.struct("pos", "shown")))
     return named.groupBy("_id").agg(F.array_join(F.array_sort(picked).getField("shown"), " ").alias(to)).withColumnRenamed("_id", id_col)

@@ -17,13 +17,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
+from titlecorpus.operators.heavy import is_small, spread_join
 from titlecorpus.schema import MODEL_NAME_DATE_FORMAT
 from titlecorpus.sources import manifest
 
-# Model rows we broadcast whole; above it only the hot tokens are broadcast.
-BROADCAST_MODEL_ROWS = 2_000_000
-HOT_TOKENS = 200_000
-
 
 def weight_expr(n_both: str, n_abs: str):
     """floor(1e6 * (n_both + 0.5) / (n_abs + 1)) in exact integer arithmetic."""
@@ -91,29 +88,6 @@ def load_model(spark: SparkSession, path: str, version: int | None = None) -> tu
     return load_part(spark, path, "tokens", version)
 
 
-def _with_weights(tokens: DataFrame, model: DataFrame, n_model_rows: int | None) -> DataFrame:
-    """Left-join token weights (0 when unseen), sized by the model row count."""
-    weights = model.select("token", "weight")
-    if n_model_rows is None:
-        # Unknown size: count the model table (one row per token) first.
-        n_model_rows = model.count()
-    if n_model_rows <= BROADCAST_MODEL_ROWS:
-        joined = tokens.join(F.broadcast(weights), "token", "left")
-        return joined.withColumn("weight", F.coalesce("weight", F.lit(0)))
-    # Large model: frequent tokens (by paper count) are the skewed keys; they
-    # go through a bounded broadcast, the long tail through a shuffle join.
-    hot = (model.orderBy(F.col("n_abs").desc(), F.col("token")).limit(HOT_TOKENS)
-           .select("token", F.col("weight").alias("hot_w")))
-    first = tokens.join(F.broadcast(hot), "token", "left")
-    done = first.where(F.col("hot_w").isNotNull() | F.col("token").isNull()) \
-        .withColumnRenamed("hot_w", "weight")
-    # NULL tokens (spans without any) never reach the shuffle: a NULL key
-    # would send all of them to one reducer.
-    tail = first.where(F.col("hot_w").isNull() & F.col("token").isNotNull()).drop("hot_w") \
-        .join(weights, "token", "left")
-    return done.unionByName(tail).withColumn("weight", F.coalesce("weight", F.lit(0)))
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -125,8 +99,9 @@ def _window_tokens(text: Column, span_pos: Column, part: Column, max_length: int
 
 
 def row_key(df: DataFrame) -> Column:
-    """MD5 of all columns of a row: tells apart rows that share an id, or have none."""
-    return F.md5(F.concat_ws("\x1f", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns)))
+    """MD5 of all columns of a row, each with its length: tells apart rows that share an id, or have none."""
+    fields = (F.col(f"`{c}`").cast("string") for c in df.columns)
+    return F.md5(F.concat(*(F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in fields)))
 
 
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
@@ -138,8 +113,12 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     ``score`` is NULL for a window without usable tokens; every row keeps at
     least one, so no row is lost.
 
-    Explode, weight join and the (sum, count) hash aggregation stay inside
-    the partitions; no token array is carried past the explode. ``carry``
+    With a model that Spark broadcasts, explode, weight join and the (sum, count)
+    hash aggregation stay inside the partitions; a larger one meets the counted
+    tokens of the windows in a join that spreads the heavy ones (``spread_join``;
+    the requests tell which are heavy, so a word unseen in training is, too).
+    ``n_model_rows`` is accepted and not needed: sizes are Spark's estimates. No
+    token array is carried past the explode. ``carry``
     names small columns (functions of the key) kept as extra grouping keys.
     Equal rows share a key; their tokens add to sum and count alike, which
     leaves the mean.
@@ -162,10 +141,15 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
     tokens = toks.select("_key", *carry, "span_pos", "part", F.explode_outer("toks").alias("token"))
-    weighted = _with_weights(tokens, model, n_model_rows)
+    window = ["_key", "span_pos", "part", *carry]
+    weights = model.select("token", "weight")
     n = F.count("token")
-    return weighted.groupBy("_key", "span_pos", "part", *carry).agg(
-        F.when(n > 0, F.sum("weight") / n).alias("score"))
+    if is_small(weights):
+        return tokens.join(weights, "token", "left").groupBy(*window).agg(F.when(n > 0, F.sum(F.coalesce("weight", F.when(F.col("token").isNotNull(), 0))) / n).alias("score"))
+    # Each token of a window once, with its number: fewer rows for the shuffle that a large model takes.
+    times = tokens.groupBy(*window, "token").agg(n.alias("n"))
+    weighted = spread_join(times, weights, "token", window)
+    return weighted.groupBy(*window).agg(F.when(F.sum("n") > 0, F.sum(F.coalesce("weight", F.lit(0)) * F.col("n")) / F.sum("n")).alias("score"))
 
 
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
