@@ -121,8 +121,11 @@ def settled(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of:
     while True:
         root = components(links if more is None else links.unionByName(more))
         named = stored(members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "named_members")
-        mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("held")).where("low < high")
-        parts = stored(mixed.select("bucket", "held", F.ceil(F.col("held") / CELL).cast("int").alias("parts")), "mixed_buckets")
+        groups = named.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+            F.sum("n").alias("held"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
+        cells = lambda n: F.ceil(n / CELL).cast("int")
+        parts = stored(groups.select("bucket", "held", F.col("most.root").alias("most"), cells(F.col("held") - F.col("most.n")).alias("parts"),
+                                     cells(F.col("most.n")).alias("most_parts")), "mixed_buckets")
         apart = stored(hot_join(named, parts, "bucket", "held").where("parts is not null"), "mixed_members")
         profile = profile_of(apart.select("node").distinct())
         near = stored(near_pairs(apart.join(profile, "node"), shortest, per_edit, few), "near_pairs")
@@ -135,10 +138,12 @@ def settled(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of:
 
 
 def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) -> DataFrame:
-    """(a, b, cut) of members (bucket, node, size, root, parts, profile) of a bucket and different roots that may be similar.
+    """(a, b, cut) of members (bucket, node, size, root, most, parts, most_parts, profile) of a bucket and different roots that may be similar.
 
-    A bucket's members are dealt to ``parts`` parts, and any two parts meet in
-    a task of their own. ``cut``: the part has more than ``few`` pairs of the
+    The members of a bucket's largest group (root ``most``) are dealt to
+    ``most_parts`` parts, all others to ``parts``. Any two parts meet in a cell
+    of their own but for two of the largest group, whose members are linked: a
+    bucket of n copies and k other texts costs n k pairs. ``cut``: the part has more than ``few`` pairs of the
     two roots, of which the nearest are given.
     """
 
@@ -208,8 +213,11 @@ def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) ->
         if held:
             yield from done(pa.concat_tables(held))
 
-    dealt = members.withColumn("side", F.pmod(F.xxhash64("node"), F.col("parts").cast("long")).cast("int"))
-    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n).cast("long")).cast("int")
+    largest = F.col("root") == F.col("most")
+    dealt = members.withColumn("side", F.when(largest, F.col("parts") + of("most_parts")).otherwise(of("parts")))
+    meets = F.col("parts") - 1 + F.when(largest, 0).otherwise(F.col("most_parts"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), meets))).select(
         "bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "size", "root", "profile")
     return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node").mapInArrow(rows, "a binary, b binary, cut boolean")
 
