@@ -55,6 +55,8 @@ def test_evaluate_saved_model_and_three_way_shards(spark, tmp_path):
     model.save_model(model.fit(pairs), str(tmp_path / "m"))
     shown = evaluate_saved_model(spark, pairs, str(tmp_path / "m")).collect()
     assert len(shown) == 5
+    beams = evaluate_saved_model(spark, pairs, str(tmp_path / "m"), num_beams=3, no_repeat_ngram_size=2, prefix="summarize: ").collect()
+    assert len(beams) == 5
     vocab = write_training_shards(spark, pairs, str(tmp_path / "sh3"), three_way=True, input_len=4,
                                   label_len=2, mask_pad=True, prefix="summarize: ")
     assert vocab.where("token = 'summarize'").count() == 1

@@ -133,3 +133,28 @@ def test_second_run_keeps_the_first_ones_output(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
     with _pytest.raises(ValueError):
         default_checkpoint(spark, out, str(tmp_path / "other"))
+
+
+def test_model_changes_under_a_stream_and_a_replay_does_not(spark, tmp_path):
+    from titlecorpus.streaming.predict import write_predictions
+    kind = "id long, input_text string, target_text string"
+    path, out, src = str(tmp_path / "m"), str(tmp_path / "out"), tmp_path / "src"
+    src.mkdir()
+    model.save_model(model.fit(spark.createDataFrame([(1, "Spin chains. Graphs grow.", "Spin chains")], kind)), path)
+    batches = []
+    for n in range(2):
+        if n:
+            model.save_model(model.fit(spark.createDataFrame([(1, "Spin chains. Graphs grow.", "Graphs grow")], kind)), path)
+        (src / f"{n}.json").write_text('{"id": %d, "abstract": "Spin chains. Graphs grow."}\n' % n)
+        q = start_predict_stream(spark, str(src), path, None, out, str(tmp_path / "chk"), source_format="json")
+        q.awaitTermination()
+        assert q.exception() is None
+        batches.append(spark.createDataFrame([(n, "Spin chains. Graphs grow.")], "id long, abstract string"))
+    want = {0: "spin chains", 1: "graphs grow"}
+    read = lambda: {r.id: r.predicted_title for r in spark.read.parquet(f"{out}/batch_id=*").collect()}
+    assert read() == want
+    write_predictions(batches[0], 0, out, path, None)  # replayed under the newer model: still its own version
+    assert read() == want
+    write_predictions(batches[0], 5, out, path, None, num_beams=2, no_repeat_ngram_size=2)
+    beams = spark.read.parquet(f"{out}/batch_id=5").orderBy("beam").collect()
+    assert [r.predicted_title for r in beams] == ["graphs grow", "spin chains"]

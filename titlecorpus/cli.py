@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from titlecorpus.operators.model import default_model_name, load_model
+from titlecorpus.operators.model import default_model_name
 from titlecorpus.plans.corpus import build_corpus, dataset_name
 from titlecorpus.plans.training import (evaluate_saved_model, file_pairs, train_and_evaluate,
                                         training_pairs, write_training_shards)
@@ -66,6 +66,11 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", help="the stream's checkpoint folder (<out>/_checkpoint)")
     p.add_argument("--max-length", type=int, default=128)
     p.add_argument("--source-format", choices=("parquet", "json"), default="parquet")
+    for cmd in (t, e, p):
+        cmd.add_argument("--beams", type=int, default=1, help="candidates a title (the best is evaluated)")
+        cmd.add_argument("--no-repeat-ngram-size", type=int, choices=(0, 2), default=0)
+    for cmd in (t, e):
+        cmd.add_argument("--task-prefix", action="store_true", help="prefix evaluated inputs with the task prefix")
     a = ap.parse_args(argv)
 
     spark = get_session()
@@ -78,7 +83,9 @@ def main(argv=None) -> None:
         print(json.dumps({"table": table, "inserted": res["inserted"], "found": res["found"]}))
     elif a.cmd == "train":
         path = f"{a.model_dir}/{a.model_name or default_model_name()}"
-        out = train_and_evaluate(spark, training_pairs(spark, a.table, a.limit), path, a.eval_frac)
+        out = train_and_evaluate(spark, training_pairs(spark, a.table, a.limit), path, a.eval_frac,
+                                 num_beams=a.beams, no_repeat_ngram_size=a.no_repeat_ngram_size,
+                                 prefix=TASK_PREFIX if a.task_prefix else None)
         out["shown"].show(truncate=False)
         print(json.dumps({"model": path, "eval_loss": out["eval_loss"], **out["totals"]}))
     elif a.cmd == "shards":
@@ -90,13 +97,15 @@ def main(argv=None) -> None:
                               prefix=TASK_PREFIX if a.task_prefix else None)
     elif a.cmd == "evaluate":
         shown = evaluate_saved_model(spark, training_pairs(spark, a.table, a.limit), a.model,
-                                     a.frac, n_show=a.show)
+                                     a.frac, n_show=a.show, num_beams=a.beams,
+                                     no_repeat_ngram_size=a.no_repeat_ngram_size,
+                                     prefix=TASK_PREFIX if a.task_prefix else None)
         shown.orderBy("draw").show(truncate=False)
     elif a.cmd == "predict":
-        tokens, totals = load_model(spark, a.model)
-        q = start_predict_stream(spark, a.requests, tokens, totals["n_tokens"], a.out,
+        q = start_predict_stream(spark, a.requests, a.model, None, a.out,
                                  default_checkpoint(spark, a.out, a.checkpoint), a.max_length,
-                                 source_format=a.source_format)
+                                 source_format=a.source_format, num_beams=a.beams,
+                                 no_repeat_ngram_size=a.no_repeat_ngram_size)
         q.awaitTermination()
 
 

@@ -7,6 +7,7 @@ one failing record yields an error text, never a failed task.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,13 +18,33 @@ from titlecorpus.schema import PREDICTION_ERROR_PREFIX
 from titlecorpus.session import ship_package
 
 
-def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
-    """Apply ``fn`` to every Arrow batch (columns in -> columns out)."""
+#: Handles of this Python process, by the key of the call that asked for them.
+_HANDLES: dict[str, object] = {}
+
+
+def worker_handle(key: str, setup: Callable[[], object]):
+    """What ``setup`` returned in this Python worker: it runs once, the handle serves all later batches and tasks."""
+    if key not in _HANDLES:
+        _HANDLES[key] = setup()
+    return _HANDLES[key]
+
+
+def map_batches(df: DataFrame, fn: Callable, schema, setup: Callable[[], object] | None = None) -> DataFrame:
+    """Apply ``fn`` to every Arrow batch (columns in -> columns out).
+
+    ``setup``: a factory for what is costly to make (a loaded model), run once
+    per Python worker, not once a batch or task; ``fn`` then takes the batch
+    and the handle. Both are shipped by value.
+    """
     ship_package(df.sparkSession)
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from titlecorpus.operators.batch_udf import worker_handle
+
+        given = () if setup is None else (worker_handle(key, setup),)
         for pdf in batches:
-            yield fn(pdf)
+            yield fn(pdf, *given)
     return df.mapInPandas(run, schema)
 
 
@@ -33,18 +54,24 @@ def word_counts(pdf: pd.DataFrame, text_col: str = "text", out_col: str = "n_wor
     return pdf.assign(**{out_col: n.astype("Int64")})
 
 
-def predict_with(df: DataFrame, predict: Callable[[str], str], text_col: str = "clean") -> DataFrame:
+def predict_with(df: DataFrame, predict: Callable[[str], str] | None, text_col: str = "clean",
+                 setup: Callable[[], Callable[[str], str]] | None = None) -> DataFrame:
     """``df`` (with ``error``, added if missing, NULL where the text is valid) plus
     ``predicted_title`` from a user predictor. Every row comes out once; a row
     that has an error, or whose prediction raises, has no title."""
+    key = uuid.uuid4().hex
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from titlecorpus.operators.batch_udf import worker_handle
+
+        title_of = predict if setup is None else worker_handle(key, setup)
         for pdf in batches:
             titles, errors = [], []
             for text, error in zip(pdf[text_col], pdf["error"]):
                 title = None
                 if error is None:
                     try:
-                        title = predict(text)
+                        title = title_of(text)
                     except Exception as exc:  # noqa: BLE001 - per-record capture
                         error = f"{PREDICTION_ERROR_PREFIX}{exc}"
                 titles.append(title)

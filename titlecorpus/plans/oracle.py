@@ -128,6 +128,14 @@ WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}') ORDER BY id LIMIT {Q
 SELECT row_number() OVER (ORDER BY id) AS id, title, abstract, journal_ref, categories FROM (
   SELECT id, {json_fields()} FROM d
   WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}') ORDER BY id LIMIT {Q.HEAD_N})"""
+    s["direct_load"] = f"""WITH {JSON_SRC}
+SELECT row_number() OVER (ORDER BY id) AS id, {json_fields()} FROM d ORDER BY d.id LIMIT {Q.HEAD_N}"""
+    s["file_head"] = f"WITH {PAPERS} SELECT title, abstract, journal_ref, categories FROM papers ORDER BY id LIMIT {Q.HEAD_N}"
+    s["file_sample"] = f"""WITH {PAPERS},
+lines AS (SELECT *, row_number() OVER (ORDER BY id) AS pos FROM papers),
+drawn AS (SELECT *, row_number() OVER (ORDER BY {md5key(Q.SEED, 'pos')}, pos) - 1 AS index FROM lines)
+SELECT index, title, abstract, journal_ref, categories FROM drawn WHERE index < {Q.SAMPLE_N}"""
+    s["sample_strict"] = f"WITH {PAPERS} SELECT * FROM papers ORDER BY {md5key(Q.SEED)}, id LIMIT {Q.SAMPLE_N}"
     s["json_count"] = f"""WITH {PAPERS}
 SELECT count(*) AS n_found FROM papers WHERE id % 13 <> 7 AND contains(categories, '{Q.CATEGORY}')"""
     s["csv_roundtrip"] = f"""WITH {PAPERS}

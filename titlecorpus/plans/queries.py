@@ -197,6 +197,32 @@ def q_sample_n(spark, sf):
     return sampling.sample_n(_papers(spark, sf), SAMPLE_N, SEED)
 
 
+def q_sample_strict(spark, sf):
+    return sampling.sample_n_strict(_papers(spark, sf), SAMPLE_N, SEED)
+
+
+def q_direct_load(spark, sf):
+    """The first lines of the dump, without a category, loaded into a table."""
+    path = work_path(spark, "table")
+    corpus.load_into_table(spark, _json_dump(spark, sf), path, HEAD_N)
+    return table.read_table(spark, path)
+
+
+def _ordered_export(spark, sf) -> str:
+    """Parquet export whose files follow the ids."""
+    src = _papers(spark, sf)
+    return files.save_dataset(src.repartitionByRange(fixtures.file_count(src), "id").sortWithinPartitions("id"),
+                              work_path(spark, "export"), "parquet")
+
+
+def q_file_head(spark, sf):
+    return files.load_dataset(spark, _ordered_export(spark, sf), HEAD_N)
+
+
+def q_file_sample(spark, sf):
+    return files.load_dataset(spark, _ordered_export(spark, sf), SAMPLE_N, random_select=True, seed=SEED)
+
+
 def q_sample_n_reindexed(spark, sf):
     return sampling.sample_n_reindexed(_papers(spark, sf), SAMPLE_N, SEED)
 
@@ -353,6 +379,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_build": q_corpus_build,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_split_read": q_csv_split_read,
+    "direct_load": q_direct_load,
+    "file_head": q_file_head,
+    "file_sample": q_file_sample,
+    "sample_strict": q_sample_strict,
     "table_first_n": q_table_first_n,
     "table_record_at": q_table_record_at,
     "parquet_roundtrip": q_parquet_roundtrip,

@@ -40,7 +40,8 @@ def file_pairs(spark: SparkSession, filename: str, n_rows: int | None = None) ->
 
 def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
                        eval_frac: float = 0.1, seed=42, eval_rows: int | None = None,
-                       n_show: int = 5, draw_seed=7, max_length: int = 128) -> dict:
+                       n_show: int = 5, draw_seed=7, max_length: int = 128,
+                       num_beams: int = 1, no_repeat_ngram_size: int = 0, prefix: str | None = None) -> dict:
     """Fit on the train part, score held-out rows. Returns ``{"totals",
     "eval_loss", "shown"}`` where ``shown`` is a DataFrame of true vs
     predicted titles for ``n_show`` draws (with replacement) of eval rows.
@@ -58,23 +59,31 @@ def train_and_evaluate(spark: SparkSession, pairs: DataFrame, model_path: str,
         read_split(spark, split_path, "eval"), eval_rows, seed).drop("split")
     loss = eval_loss(train, scored).first()
     picked = draw_with_replacement(ev, n_show, draw_seed, order_seed=seed)
-    pred = mdl.generate(picked.select("id", "input_text").dropDuplicates(["id"]), tokens,
-                        max_length, n_model_rows=totals["n_tokens"], text_col="input_text")
+    pred = _titles(picked, tokens, max_length, num_beams, no_repeat_ngram_size, prefix)
     shown = side_by_side(picked.select("draw", "id", "input_text", "target_text"), pred)
     return {"totals": totals, "eval_loss": loss["eval_loss"], "shown": shown}
 
 
+def _titles(picked: DataFrame, tokens: DataFrame, max_length: int, num_beams: int, no_repeat_ngram_size: int,
+            prefix: str | None) -> DataFrame:
+    """Titles of the drawn rows, the best of the beams; ``prefix``: a task prefix before the inputs."""
+    texts = picked.select("id", "input_text").dropDuplicates(["id"])
+    texts = with_task_prefix(texts, prefix=prefix) if prefix is not None else texts
+    pred = mdl.generate(texts, tokens, max_length, num_beams, no_repeat_ngram_size, text_col="input_text")
+    return pred.where(F.coalesce(F.col("beam"), F.lit(1)) == 1).drop("beam") if num_beams > 1 else pred
+
+
 def evaluate_saved_model(spark: SparkSession, pairs: DataFrame, model_path: str,
                          frac: float = 0.9, seed=42, n_show: int = 5, draw_seed=7,
-                         max_length: int = 128) -> DataFrame:
+                         max_length: int = 128, num_beams: int = 1, no_repeat_ngram_size: int = 0,
+                         prefix: str | None = None) -> DataFrame:
     """Held-out check of a saved model: an exact ``frac`` sample of the pairs,
     ``n_show`` draws (with replacement) from it, true vs predicted titles."""
     tokens, totals = mdl.load_model(spark, model_path)
     sample = split_fraction(pairs, frac, seed, part="sample").where(F.col("split") == "sample") \
         .drop("split")
     picked = draw_with_replacement(sample, n_show, draw_seed, order_seed=seed)
-    pred = mdl.generate(picked.select("id", "input_text").dropDuplicates(["id"]), tokens,
-                        max_length, n_model_rows=totals["n_tokens"], text_col="input_text")
+    pred = _titles(picked, tokens, max_length, num_beams, no_repeat_ngram_size, prefix)
     return side_by_side(picked.select("draw", "id", "input_text", "target_text"), pred)
 
 

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import is_blank, strip_ws
 from titlecorpus.operators.batch_udf import predict_with
-from titlecorpus.operators.model import generate
+from titlecorpus.operators.model import generate, load_model, model_version
 from titlecorpus.operators.validate import validate_requests
 from titlecorpus.schema import INVALID_INPUT_MESSAGE
+from titlecorpus.sources import manifest
 
 REQUEST_SCHEMA = "id long, abstract string"
 
 
 def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | None,
-                  max_length: int = 128) -> DataFrame:
-    """(id, abstract, predicted_title, error) for one batch of requests."""
+                  max_length: int = 128, num_beams: int = 1, no_repeat_ngram_size: int = 0) -> DataFrame:
+    """(id, abstract, predicted_title, error) for one batch of requests, and ``beam`` with more beams than one."""
     # Validation is expressed on the raw columns and evaluated after the
     # id partitioning inside ``generate``; invalid rows have a NULL clean
     # text and so get a NULL title next to their error.
@@ -34,26 +35,45 @@ def predict_batch(requests: DataFrame, model: DataFrame, n_model_rows: int | Non
     clean = F.when(~bad, strip_ws("abstract"))
     error = F.when(bad, F.lit(INVALID_INPUT_MESSAGE))
     out = generate(requests.select("id", "abstract"), model, max_length=max_length,
-                   n_model_rows=n_model_rows, text_col=clean,
+                   n_model_rows=n_model_rows, text_col=clean, num_beams=num_beams, no_repeat_ngram_size=no_repeat_ngram_size,
                    keep={"abstract": F.col("abstract"), "error": error})
-    return out.select("id", "abstract", "predicted_title", "error")
+    return out.select("id", "abstract", "predicted_title", "error", *(["beam"] if num_beams > 1 else []))
 
 
-def predict_batch_with(requests: DataFrame, predictor) -> DataFrame:
+def predict_batch_with(requests: DataFrame, predictor, setup=None) -> DataFrame:
     """As ``predict_batch`` with a user predictor ``str -> str`` run in Arrow
-    batches; a record whose prediction raises gets an error text."""
+    batches; a record whose prediction raises gets an error text. ``setup``
+    makes the predictor once per Python worker instead."""
     checked = validate_requests(requests.select("id", "abstract"))
-    return predict_with(checked, predictor).select("id", "abstract", "predicted_title", "error")
+    return predict_with(checked, predictor, setup=setup).select("id", "abstract", "predicted_title", "error")
 
 
-def write_predictions(batch: DataFrame, batch_id: int, output_dir: str, model: DataFrame | None,
-                      n_model_rows: int | None, max_length: int = 128, predictor=None) -> None:
+def batch_model(spark: SparkSession, model_path: str, batch_id: int, output_dir: str) -> tuple[DataFrame, dict]:
+    """(token table, totals) for a micro-batch: the newest version of the saved
+    model when the batch is first seen. The version is recorded beside the
+    output before anything is predicted, so a replay uses the same one."""
+    record = f"{output_dir}/_models"
+    if batch_id + 1 in manifest.versions(spark, record):
+        version = manifest.load(spark, record, batch_id + 1)[1]["version"]
+    else:
+        version = model_version(spark, model_path)
+        manifest.publish(spark, record, {"version": version}, batch_id)
+    return load_model(spark, model_path, version)
+
+
+def write_predictions(batch: DataFrame, batch_id: int, output_dir: str, model: DataFrame | str | None,
+                      n_model_rows: int | None, max_length: int = 128, predictor=None, **options) -> None:
     """Predict one micro-batch into ``<output_dir>/batch_id=<n>``, replacing
-    whatever an earlier attempt of the same batch wrote (idempotent replay)."""
+    whatever an earlier attempt of the same batch wrote (idempotent replay).
+    ``model``: a token table, or the path of a saved model, of which each batch
+    takes the newest version (``batch_model``)."""
     if predictor is not None:
         out = predict_batch_with(batch, predictor)
     else:
-        out = predict_batch(batch, model, n_model_rows, max_length)
+        if isinstance(model, str):
+            model, totals = batch_model(batch.sparkSession, model, batch_id, output_dir)
+            n_model_rows = totals["n_tokens"]
+        out = predict_batch(batch, model, n_model_rows, max_length, **options)
     out.write.mode("overwrite").parquet(f"{output_dir}/batch_id={batch_id}")
 
 
@@ -93,14 +113,18 @@ def default_checkpoint(spark: SparkSession, output_dir: str, checkpoint_dir: str
     return path
 
 
-def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | None,
+def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame | str | None,
                          n_model_rows: int | None, output_dir: str, checkpoint_dir: str,
                          max_length: int = 128, available_now: bool = True,
                          max_files_per_trigger: int | None = None,
                          predictor=None, source_format: str = "parquet",
-                         source_options: dict | None = None) -> StreamingQuery:
+                         source_options: dict | None = None, **options) -> StreamingQuery:
     """Start the stream; ``predictor`` (optional) replaces the counted model.
 
+    ``model``: a token table that stays, or the path of a saved model: a version
+    saved while the stream runs serves the batches that start after it.
+    ``options``: ``num_beams`` and ``no_repeat_ngram_size`` of the generation.
+
     ``source_format``: ``parquet`` or ``json`` request files in ``source_dir``
     (JSON lines ``{"id": ..., "abstract": ...}``), or ``kafka`` with
     ``source_options`` (bootstrap servers, topic) whose message values are
@@ -110,7 +134,7 @@ def start_predict_stream(spark: SparkSession, source_dir: str, model: DataFrame
                               max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        write_predictions(batch, batch_id, output_dir, model, n_model_rows, max_length, predictor)
+        write_predictions(batch, batch_id, output_dir, model, n_model_rows, max_length, predictor, **options)
 
     writer = (requests.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_dir))
