@@ -138,19 +138,29 @@ def test_epoch_batches(spark):
     assert sampling.epoch_batches(spark.range(10), epochs=0, batch_size=4, seed=42).count() == 0
 
 
-def test_complement_broadcast_bound(spark, monkeypatch):
-    df = spark.range(50)
-    part = df.where("id % 5 = 0")
-    small = splits.complement(df, part)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(splits, "BROADCAST_KEYS", 3)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    try:
-        large = splits.complement(df, part)
-        large.collect()
-        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
-        assert sorted(r.id for r in large.collect()) == [i for i in range(50) if i % 5]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+def test_complement_by_filter(spark, monkeypatch):
+    df = spark.createDataFrame([(k if k % 11 else None, f"t{k}") for k in range(400)], "id long, _word string")
+    part = spark.createDataFrame([(k,) for k in range(0, 400, 3)] + [(None,), (10**9,)], "id long")
+    want = sorted(map(str, df.join(part, "id", "left_anti").select(*df.columns).collect()))
+    for words in (splits.FILTER_WORDS, 2):  # two words hold every bit: all rows are hits
+        monkeypatch.setattr(splits, "FILTER_WORDS", words)
+        got = splits.complement(df.withColumnRenamed("_word", "text"), part).withColumnRenamed("text", "_word")
+        assert sorted(map(str, got.collect())) == want
+    monkeypatch.undo()
+    assert splits.complement(df.select("id"), part.limit(0)).count() == 400
+
+
+def test_sure_non_members_are_not_shuffled(spark, no_broadcast):
+    no_broadcast()
+    df = spark.range(100000).withColumn("text", F.lit("x"))
+    part = spark.range(50, 150)
+    out = splits.complement(df, part)
+    assert out.count() == 99900
+    bits = splits.key_filter(part, "id")
+    assert bits.count() <= 100
+    h, mask = splits._bits("id")
+    probed = df.withColumn("_h", h).withColumns({"_word": F.pmod("_h", F.lit(splits.FILTER_WORDS)), "_mask": mask}).join(bits, "_word")
+    assert 100 <= probed.where("_held & _mask = _mask").count() < 110  # the members and hardly any other
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(id" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]
+

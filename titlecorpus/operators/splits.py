@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlecorpus.operators.rank import HashOrder
@@ -28,21 +28,39 @@ def split_fraction(df: DataFrame, frac: float = 0.1, seed=42, key: str = "id",
     return df.withColumn(split_col, F.when(order.cut(k), F.lit(part)).otherwise(F.lit(rest)))
 
 
-# Identity keys of the removed part that may be broadcast (8 bytes each).
-BROADCAST_KEYS = 10_000_000
+#: Words of 64 bits of the filter of the removed keys: 64 MB with their numbers, however many keys.
+FILTER_WORDS = 1 << 22
+
+
+def _bits(key: str) -> tuple[Column, Column]:
+    """Word of a key in the filter, and its four bits there."""
+    h = F.xxhash64(key)
+    bits = [F.expr(f"shiftleft(1L, cast(shiftrightunsigned(_h, {22 + 6 * i}) & 63 as int))") for i in range(4)]
+    mask = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+    return h, mask
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(_word, _held): a Bloom filter of the keys, blocked by word; filters of parts merge by OR. At most FILTER_WORDS rows."""
+    h, mask = _bits(key)
+    return keys.withColumn("_h", h).select(F.pmod("_h", F.lit(FILTER_WORDS)).alias("_word"), mask.alias("_mask")).groupBy("_word").agg(F.bit_or("_mask").alias("_held"))
 
 
 def complement(df: DataFrame, part: DataFrame, key: str = "id") -> DataFrame:
     """Rows of ``df`` whose key is not in ``part`` (difference by row identity).
 
-    The part's keys are counted first: up to ``BROADCAST_KEYS`` of them are
-    broadcast, so the rows of ``df`` (with their text) are not shuffled;
-    beyond that both sides meet in a shuffle join on the key.
+    A row whose bits the filter of the part's keys lacks is surely no member
+    and stays where it is; only the others, the members and a few more, meet
+    the keys in a shuffle. Exact at any size; a part of far more keys than the
+    filter has bits shuffles more rows. Rows without a key stay.
     """
     keys = part.select(key)
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return df.join(keys, key, "left_anti")
+    h, mask = _bits(key)
+    probed = df.withColumn("_h", h).withColumns({"_word": F.pmod("_h", F.lit(FILTER_WORDS)), "_mask": mask})
+    probed = probed.join(F.broadcast(key_filter(keys, key)), "_word", "left")
+    hit = F.coalesce(F.col("_held").bitwiseAND(F.col("_mask")) == F.col("_mask"), F.lit(False))
+    met = probed.where(hit).select(*df.columns).join(keys, key, "left_anti")
+    return probed.where(~hit).select(*df.columns).unionByName(met.select(*df.columns))
 
 
 def three_way_sizes(held_frac: float, n: int) -> tuple[int, int]:
