@@ -164,3 +164,21 @@ def test_sure_non_members_are_not_shuffled(spark, no_broadcast):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(id" not in plan.split("Union")[1].split("BroadcastHashJoin")[0]
 
+
+
+def test_many_draws_stay_distributed(spark, monkeypatch):
+    """More draws than rows: equal to picking ranks one by one; no position passes the driver."""
+    n, k = 700, 20000
+    df = spark.range(n).withColumn("t", F.concat(F.lit("x"), F.col("id"))).repartition(5)
+    ranks = {r.id: r.rank for r in HashOrder(df, "id", 42).rank().collect()}
+    at = {r: i for i, r in ranks.items()}
+    from pyspark.sql.classic.dataframe import DataFrame
+    seen, plain = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(len(x := plain(self))) or x)
+    out = sampling.draw_with_replacement(df, k, seed=7)
+    monkeypatch.undo()
+    assert max(seen) <= n  # the histogram of the rows alone
+    got = {r.draw: (r["rank"], r.id, r.t) for r in out.collect()}
+    import hashlib
+    want = {d: 1 + int(hashlib.md5(f"7:{d}".encode()).hexdigest()[:8], 16) % n for d in range(k)}
+    assert got == {d: (r, at[r], f"x{at[r]}") for d, r in want.items()}

@@ -195,6 +195,36 @@ class HashOrder:
         ranked = picked.withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("long"))
         return ranked.where(F.col(rank_col).isin(wanted)).drop("_h", "_b", "_off")
 
+    def rows_for(self, wanted: DataFrame, rank_col: str = "rank") -> DataFrame:
+        """The rows of ``wanted``, each with the row of the order at its 1-based
+        position ``rank_col``; positions may repeat, and any number of them
+        stays distributed.
+
+        The histogram's prefix sums are cut into cells of equal width, so a
+        position finds its bucket by an equality on the cell and a range: at
+        most two rows a bucket, broadcast. Only buckets that hold a wanted
+        position are ranked.
+        """
+        total = self.count()
+        spark = self.df.sparkSession
+        spans, before = [], 0
+        for bucket, n in self._hist:
+            spans.append((bucket, before, n))
+            before += n
+        width = max(1, -(-total // max(1, len(spans))))
+        table = spark.createDataFrame(spans, "_b string, _off long, _n long")
+        cell = lambda x: F.floor(x / width).cast("long")
+        cells = table.withColumn("_cell", F.explode(F.sequence(cell(F.col("_off")), cell(F.col("_off") + F.col("_n") - 1))))
+        place = F.col(rank_col) - 1
+        placed = wanted.withColumn("_cell", cell(place)).join(F.broadcast(cells), "_cell").where(
+            (place >= F.col("_off")) & (place < F.col("_off") + F.col("_n"))).drop("_cell", "_n")
+        hit = F.broadcast(placed.select("_b", "_off").distinct())
+        digits = len(spans[0][0]) if spans else _BUCKET_DIGITS
+        keyed = self.df.withColumn("_h", self.h).withColumn("_b", F.substring("_h", 1, digits)).join(hit, "_b")
+        within = Window.partitionBy("_b").orderBy("_h", self.key)
+        ranked = keyed.withColumn(rank_col, (F.col("_off") + F.row_number().over(within)).cast("long")).drop("_h", "_b", "_off")
+        return ranked.join(placed.drop("_b", "_off"), rank_col)
+
     # -- rank ------------------------------------------------------------
     def rank(self, rank_col: str = "rank", group_cols=()) -> DataFrame:
         """Add ``rank_col`` = exact 1-based rank in hash order (per group)."""

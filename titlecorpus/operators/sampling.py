@@ -52,10 +52,7 @@ def draw_with_replacement(df: DataFrame, k: int, seed, order_seed=42, key: str =
     draws = spark.range(k).select(
         F.col("id").alias("draw"),
         (F.pmod(seeded_int(F.col("id"), seed), F.lit(n)) + 1).alias(rank_col))
-    positions = [r[rank_col] for r in draws.collect()]  # k values
-    rows = order.rows_at(positions, rank_col)
-    # k rows on the draws side: a broadcast bounded by the argument itself.
-    return rows.join(F.broadcast(draws), rank_col)
+    return order.rows_for(draws, rank_col)
 
 
 def epoch_batches(df: DataFrame, epochs: int, batch_size: int, seed, key: str = "id") -> DataFrame:
