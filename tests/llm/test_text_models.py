@@ -1,11 +1,13 @@
 """SentencePiece, toxicity, HTML text: against the library, brute force, held-out labels and worked examples."""
 
 import itertools
+import math
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -152,3 +154,33 @@ def test_html_table(spark):
     got = html_text.extract_text(df).collect()
     assert [(r.page_id, r.text, r.n_chars) for r in got] == [(1, "é", 1), (1, "é", 1), (None, "", 0)] and got[0].asDict().keys() == {"page_id", "url", "text", "n_chars"}
     assert html_text.extract_text(df.limit(0)).count() == 0
+
+
+def test_expected_severity_by_plain_loops(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    assert model.markers
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    m = len(model.markers)
+    for i, text in docs.collect():
+        words = [w for w in regex.split(r"[^\p{L}\p{M}\p{N}]+", (text or "").lower())]
+        eta = 0.0
+        for k, marker in enumerate(model.markers):
+            cut, token = toxicity.TAGS[marker[:2]], marker[2:]
+            n = sum((w[:cut] if cut else w) == token for w in words)
+            eta += model.weights[k] * math.log2(1 + n) + model.weights[m + k] * math.log2(1 + 100 * n / max(len(words), 1))
+        chances = [1 / (1 + math.exp(min(40.0, max(-40.0, t - eta)))) for t in model.thresholds]
+        assert abs(got[i].expected_severity - sum(chances)) < 1e-9
+        assert got[i].severity == sum(p >= 0.5 for p in chances) and got[i].toxic == (chances[0] >= 0.5)
+
+
+def test_toxicity_markers_in_texts_that_share_common_words(spark):
+    """Common words are in every text; copies of one text are one voice, so their own words are no markers."""
+    r = np.random.default_rng(3)
+    text = lambda *more: " ".join(r.permutation([*(f"common{k}" for k in range(12)), *(f"w{x}" for x in r.integers(0, 10**6, 30)), *more]))
+    rows = [(i, text("insult" if i % 4 == 0 else "praise"), int(i % 4 == 0)) for i in range(200)]
+    copy = text("onlyhere")
+    rows += [(1000 + i, copy, 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    markers = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic")).markers
+    assert "w:insult" in markers and "w:onlyhere" not in markers and not any("common" in m for m in markers)

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlecorpus.llm.common import steps, stored, table
+from titlecorpus.llm.common import let, steps, stored, table
 
 #: Bound of the labelled sample and of the vocabulary.
 SAMPLE_LABELS, MARKERS = 10_000, 256
@@ -107,12 +107,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_LABELS) -> Model:
     """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     chosen = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != ""))
+    row = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    # Near copies share the least hash of three words in a row nearly always: they are one voice in the counts.
+    # (The least hash of single words is that of a common word, which most texts of a language share.)
+    window = lambda ws, i: F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2))
+    voice = let(row, lambda ws: F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - 3, F.lit(0))), lambda i: window(ws, i))))
     tagged = [f"transform(words, w -> '{tag}' || {f'left(w, {cut})' if cut else 'w'})" for tag, cut in TAGS.items()]
     tokens = F.expr(f"array_distinct(concat({', '.join(tagged)}))")
-    # Near copies share the least word hash nearly always: they are one voice in the counts.
-    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("words", words)
-                    .withColumn("voice", F.array_min(F.transform("words", lambda w: F.xxhash64(w)))), "toxicity_sample")
+    sample = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("*", F.array_distinct(row).alias("words"), voice.alias("voice")), "toxicity_sample")
     voices = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.countDistinct("voice").alias("n")).collect()}
     none = Model([], np.zeros(0), np.full(len(GRADE_STEPS) + 1, 40.0))
     if len(voices) < 2 or not min(voices.values()):
