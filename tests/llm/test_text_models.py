@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -184,3 +185,23 @@ def test_toxicity_markers_in_texts_that_share_common_words(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     markers = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic")).markers
     assert "w:insult" in markers and "w:onlyhere" not in markers and not any("common" in m for m in markers)
+
+
+def test_long_unbroken_words_are_the_librarys():
+    r = random.Random(11)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(200_000)), "a" * 20_000, "".join(r.choice(["the", "ing", "tion", "x", "日", "é"]) for _ in range(3000)),
+             "".join(chr(r.randint(0x4E00, 0x9000)) for _ in range(5000)), "two words " + "abcdefg" * 300]
+    began = time.perf_counter()
+    assert encoded(words) == LIBRARY.encode(words)
+    assert time.perf_counter() - began < 120
+
+
+def test_lists_decode_as_each_one_alone():
+    r = random.Random(12)
+    byte = [int(x) for x in MODEL.bytes if x >= 0]
+    ids = [[r.choice([r.randrange(len(MODEL.text)), r.choice(byte or [5])]) for _ in range(r.randint(0, 12))] for _ in range(300)]
+    ids[7:7] = [None, [], None]
+    lists = pa.array([[1], *ids, [2]], pa.list_(pa.int32())).slice(1, len(ids))
+    assert MODEL.decode_lists(lists).to_pylist() == [None if x is None else MODEL.decode(x) for x in ids]
+    plain = pa.array([x for x in LIBRARY.encode(["", "a b  c", " \n日本"])], pa.list_(pa.int32()))
+    assert MODEL.decode_lists(plain).to_pylist() == ["", "a b  c", " \n日本"]

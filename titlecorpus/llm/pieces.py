@@ -40,6 +40,8 @@ CELLS = 1 << 18
 #: Words of which a task keeps the ids; beyond that it starts anew (this bounds memory, not results).
 KEPT_WORDS = 500_000
 WORST = -1e30
+#: Longer words are cut into windows that begin so many characters apart (a multiple of many periods) and overlap by so many.
+WINDOW, OVERLAP = 720, 144
 #: Characters next to which words may be cut, if the pieces allow it.
 MARKS = "\n\t.,;:!?#$%&*()[]{}|\"'<>=+/-_\\^~@"
 
@@ -224,6 +226,32 @@ class Pieces:
                 break
         return out[out > -2], (out > -2).sum(1)
 
+    def windowed(self, word: str, step: int = WINDOW, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a long word of a BPE model, and how many: its windows advance together and are joined at a piece that both neighbours have.
+
+        Up to that piece all neighbours stay apart by the one window, from it on by
+        the other, so the joined path is the only such one. A word whose
+        windows share no piece somewhere (one letter over and over) is merged pair by pair.
+        """
+        starts = [*range(0, len(word) - overlap, step)]
+        some = max(1, CELLS // (step + overlap))
+        full = [word[s:s + step + overlap] for s in starts[:-1]]
+        found = [self.viterbi(full[k:k + some]) for k in range(0, len(full), some)] + [self.viterbi([word[starts[-1]:]])]
+        ids = np.split(np.concatenate([f[0] for f in found]), np.cumsum(np.concatenate([f[1] for f in found]))[:-1])
+        length = np.array([1, *map(len, self.text)])  # of the ids from -1 on
+        place = [s + np.cumsum(length[i + 1]) - length[i + 1] for s, i in zip(starts, ids)]
+        out, first = [], 0
+        for k in range(len(ids) - 1):
+            _, left, right = np.intersect1d(place[k] * len(length) + ids[k] + 1, place[k + 1] * len(length) + ids[k + 1] + 1, assume_unique=True, return_indices=True)
+            left, right = left[left >= first], right[left >= first]
+            if not len(left):
+                whole = np.array(self.merge(word)[0], np.int64)
+                return whole, np.array([len(whole)])
+            out.append(ids[k][first:left[-1]])
+            first = right[-1]
+        flat = np.concatenate([*out, ids[-1][first:]])
+        return flat, np.array([len(flat)])
+
     def learn(self, words: list[str]) -> None:
         """Ids of new words, appended to the store; byte pieces in place of unknown characters."""
         by_length: dict[int, list[str]] = {}
@@ -234,6 +262,7 @@ class Pieces:
                 slow.append(w)
             else:
                 by_length.setdefault(len(w), []).append(w)
+        long = [w for n, same in by_length.items() if self.bpe and n > WINDOW + OVERLAP for w in same]
         names, stores, sizes = [], [self.store], [self.size]
 
         def add(some: list[str], ids: np.ndarray, size: np.ndarray) -> None:
@@ -244,8 +273,10 @@ class Pieces:
             stores.append(ids.astype(np.int32))
             sizes.append(size)
 
+        for w in long:
+            add([w], *self.windowed(w))
         for n, same in by_length.items():
-            for k in range(0, len(same), max(1, CELLS // n)):
+            for k in range(0, 0 if self.bpe and n > WINDOW + OVERLAP else len(same), max(1, CELLS // n)):
                 some = same[k:k + max(1, CELLS // n)]
                 add(some, *self.viterbi(some))
         for w in slow:
@@ -316,6 +347,22 @@ class Pieces:
         text = b"".join([self.decoded[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.front and text.startswith(" ") else text
 
+    def decode_lists(self, lists):
+        """The texts of an Arrow array of lists of ids; NULL lists and lists with a NULL id give NULL."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        offsets = lists.offsets.to_numpy()
+        ids = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+        parts = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(self.decoded, pa.binary()).take(ids), mask=lists.is_null() if lists.null_count else None)
+        joined = pc.binary_join(parts, b"")
+        try:
+            text = joined.cast(pa.string())
+        except pa.ArrowInvalid:  # byte pieces that are no text
+            text = pa.array([x if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+        text = pc.replace_substring(text, SPACE, " ")
+        return pc.if_else(pc.starts_with(text, " "), pc.utf8_slice_codeunits(text, 1), text) if self.front else text
+
 
 @cache
 def pieces(path: str) -> Pieces:
@@ -337,8 +384,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", to: str = "ids",
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)), mask=pc.is_null(given) if given.null_count else None)
             columns = [*(b.column(c) for c in names), lists]
             if check:
-                back = [model.decode(x) if x is not None else None for x in lists.to_pylist()]
-                columns.append(pc.equal(pa.array(back, pa.string()), given))
+                columns.append(pc.equal(model.decode_lists(lists), given))
             yield pa.RecordBatch.from_arrays(columns, [*names, to, *[check] * bool(check)])
 
     fields = [f"`{c}` {t}" for c, t in df.dtypes if c in names]
@@ -354,8 +400,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", to: str = "text") ->
 
         model = pieces(path)
         for b in batches:
-            text = [model.decode(x) if x is not None else None for x in b.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(text, pa.string())], [*names, to])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), model.decode_lists(b.column(ids))], [*names, to])
 
     fields = [f"`{c}` {t}" for c, t in df.dtypes if c in names]
     return df.select(*names, ids).mapInArrow(rows, ", ".join([*fields, f"`{to}` string"]))
