@@ -49,12 +49,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def least_keys(h: np.ndarray, owner: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, key) of the ``most`` least different hashes of each owner (a number under 2^20); keys have 44 bits."""
-    x = np.unique(owner.astype(np.uint64) << np.uint64(44) | h >> np.uint64(20))
-    own = (x >> np.uint64(44)).astype(np.int64)
-    begins = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(own)])
-    keep = np.arange(len(x)) - np.repeat(begins, np.diff(np.append(begins, len(x)))) < most
-    return own[keep], (x[keep] & np.uint64((1 << 44) - 1)).astype(np.int64)
+    """(owner, key) of the ``most`` least different hashes of each owner (a number under 2^20); keys have 44 bits.
+
+    Hashes are spread evenly, so the least lie under twice the share of the
+    range that ``most`` of an owner's would take; only those are sorted. An
+    owner that has too few there gives all of its own.
+    """
+
+    def least(h, owner):
+        x = np.sort(owner.astype(np.uint64) << np.uint64(44) | h >> np.uint64(20))
+        x = x[np.concatenate([[True], x[1:] != x[:-1]])[:len(x)]]
+        own = (x >> np.uint64(44)).astype(np.int64)
+        begins = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(own)])
+        keep = np.arange(len(x)) - np.repeat(begins, np.diff(np.append(begins, len(x)))) < most
+        return own[keep], (x[keep] & np.uint64((1 << 44) - 1)).astype(np.int64)
+
+    count = np.bincount(owner)
+    many = count > 2 * most
+    limit = np.full(len(count), 2**64 - 1, np.uint64)
+    limit[many] = limit[many] // count[many].astype(np.uint64) * np.uint64(2 * most)
+    under = h <= limit[owner]
+    own, key = least(h[under], owner[under])
+    few = many & (np.bincount(own, minlength=len(count)) < most)
+    return least(*(x[under | few[owner]] for x in (h, owner))) if few.any() else (own, key)
 
 
 def profiles(features: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -93,34 +110,54 @@ def link(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: flo
     similar to another one than their leader, is for ``settle`` (links and
     pairs tested so far -> further links); see ``settled``.
     """
+    links, tested = led_links(led, verify, shortest, rounds)
+    return links if settle is None else links.unionByName(settle(links, tested))
+
+
+def led_links(led: DataFrame, verify: Callable[[DataFrame], DataFrame], shortest: float, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """The verified pairs (a, b) of members and their leaders, and all such pairs that were tested."""
     links = tested = None
-    for _ in range(rounds):
+    for k in range(rounds):
         pairs = led.where("fits").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         star = stored(verify(pairs), "links")
         links, tested = (star, pairs) if links is None else (links.unionByName(star), tested.unionByName(pairs))
-        passed = star.select(F.col("a").alias("leader"), F.col("b").alias("node"))
-        led = lead(led.join(passed, ["leader", "node"], "left_anti").select("bucket", "node", "size"), shortest)
-    return links if settle is None else links.unionByName(settle(links, tested))
+        if k + 1 < rounds:
+            passed = star.select(F.col("a").alias("leader"), F.col("b").alias("node"))
+            led = lead(led.join(passed, ["leader", "node"], "left_anti").select("bucket", "node", "size"), shortest)
+    return links, tested
 
 
 def settled(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of: Callable[[DataFrame], DataFrame],
             verify: Callable[[DataFrame], DataFrame], shortest: float, per_edit: int) -> DataFrame:
-    """The verified pairs that are missing until each bucket's similar members are connected.
+    """The verified pairs that are missing until each bucket's similar members are connected; see ``settle``."""
+    return settle(links, tested, members, profile_of, verify, shortest, per_edit)[0]
+
+
+def classes(members: DataFrame, led: DataFrame, profile_of: Callable[[DataFrame], DataFrame], verify: Callable[[DataFrame], DataFrame],
+            shortest: float, per_edit: int) -> DataFrame:
+    """(node, root) of ``components`` for all links among ``members``, whose first leaders are in ``led``."""
+    links, tested = led_links(led, verify, shortest)
+    return settle(links, tested, members, profile_of, verify, shortest, per_edit)[1]
+
+
+def settle(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of: Callable[[DataFrame], DataFrame],
+           verify: Callable[[DataFrame], DataFrame], shortest: float, per_edit: int) -> tuple[DataFrame, DataFrame]:
+    """The verified pairs that are missing until each bucket's similar members are connected, and (node, root) of the components then.
 
     ``members``: (bucket, node, size) of the shared buckets; ``profile_of``
     gives (node, profile) of nodes; an edit moves ``per_edit`` counts of a
     profile at most. Any two members of a bucket that are in different groups
     yet, of sizes that fit and with profiles near enough (a bound that no
     similar pair exceeds) are verified. Two groups need one link only, so a
-    round takes their FEW nearest pairs, the next one eight times as many,
-    until nothing was held back: then no unverified pair is left that could
-    be similar and join two groups.
+    round takes their FEW nearest pairs, the next one eight times as many in
+    the buckets where some were held back, until there are none: then no
+    unverified pair is left that could be similar and join two groups. Links
+    of a round join the groups known so far.
     """
-    few, more = FEW, None
+    few, more, root, left = FEW, None, components(links), members
     while True:
-        root = components(links if more is None else links.unionByName(more))
-        named = stored(members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "named_members")
+        named = stored(left.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "named_members")
         groups = named.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(
             F.sum("n").alias("held"), F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
         cells = lambda n: F.ceil(n / CELL).cast("int")
@@ -131,14 +168,30 @@ def settled(links: DataFrame, tested: DataFrame, members: DataFrame, profile_of:
         near = stored(near_pairs(apart.join(profile, "node"), shortest, per_edit, few), "near_pairs")
         pairs = stored(near.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         found = stored(verify(pairs), "links")
-        more, tested = found if more is None else more.unionByName(found), tested.unionByName(pairs)
-        if near.where("cut").isEmpty():
-            return more
+        tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            more = found if more is None else more.unionByName(found)
+            root = joined(root, found)
+        cut = near.where("cut").select("bucket").distinct()
+        if cut.isEmpty():
+            return links.where("false") if more is None else more, root
+        left = apart.join(cut, "bucket", "left_semi").select("bucket", "node", "size")
         few *= 8
 
 
+def joined(root: DataFrame, links: DataFrame) -> DataFrame:
+    """``root`` (node, root) once ``links`` (a, b) connect further groups: only the roots that they touch are walked again."""
+    of = lambda x: root.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    held = root.groupBy("root").agg(F.count("*").alias("held"))
+    moved = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    moved = stored(moved.join(held, "root", "left").fillna(0, ["held"]), "moved_roots")
+    return stored(hot_join(root, moved, "root", "held").select("node", F.coalesce("to", "root").alias("root"))
+                  .unionByName(moved.select(F.col("root").alias("node"), F.col("to").alias("root"))), "roots")
+
+
 def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) -> DataFrame:
-    """(a, b, cut) of members (bucket, node, size, root, most, parts, most_parts, profile) of a bucket and different roots that may be similar.
+    """(a, b, cut, bucket) of members (bucket, node, size, root, most, parts, most_parts, profile) of a bucket and different roots that may be similar.
 
     The members of a bucket's largest group (root ``most``) are dealt to
     ``most_parts`` parts, all others to ``parts``. Any two parts meet in a cell
@@ -193,7 +246,7 @@ def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) ->
             profile = np.frombuffer(b"".join(t.column("profile").to_pylist()), np.uint8).reshape(-1, BINS)
             root = np.asarray(t.column("root").combine_chunks().dictionary_encode().indices)
             for x, y, cut in pairs(cell, np.asarray(t.column("side")), names[1] == names[2], np.asarray(t.column("size")).astype(np.int64), root, profile):
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(cut, pa.bool_())], ["a", "b", "cut"])
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(cut, pa.bool_()), pa.array(names[0][x])], ["a", "b", "cut", "bucket"])
 
         held, size = [], 0
         for b in batches:
@@ -219,7 +272,7 @@ def near_pairs(members: DataFrame, shortest: float, per_edit: int, few: int) ->
     meets = F.col("parts") - 1 + F.when(largest, 0).otherwise(F.col("most_parts"))
     cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), meets))).select(
         "bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "size", "root", "profile")
-    return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node").mapInArrow(rows, "a binary, b binary, cut boolean")
+    return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node").mapInArrow(rows, "a binary, b binary, cut boolean, bucket long")
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame, salts: int = 64) -> DataFrame:
@@ -233,3 +286,17 @@ def with_texts(pairs: DataFrame, texts: DataFrame, salts: int = 64) -> DataFrame
     both = dealt.join(left, ["a", "salt"]).drop("salt").withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)))
     right = dealt.select("b", F.pmod(F.xxhash64("a"), F.lit(salts)).alias("salt")).distinct().join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
     return both.join(right, ["b", "salt"]).select("a", "b", "ta", "tb")
+
+
+def beside_leaders(pairs: DataFrame, texts: DataFrame, most: int = 1024) -> DataFrame:
+    """(a, part, b, text) of ``pairs`` (a, b), sorted by a and part: a row with the text of a and no b, then one of each b with its text.
+
+    A node's text is there once for each ``most`` of its pairs, and rows of
+    one node and part follow each other in one task, which need not hold them.
+    """
+    held = pairs.groupBy("a").agg(F.count("*").alias("held")).withColumn("parts", F.ceil(F.col("held") / most).cast("int"))
+    dealt = hot_join(pairs, stored(held, "leaders"), "a", "held").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts").cast("long")))
+    of = lambda x: texts.select(F.col("node").alias(x), "text")
+    first = dealt.select("a", "part").distinct().join(of("a"), "a").select("a", "part", F.lit(None).cast(dict(pairs.dtypes)["b"]).alias("b"), "text")
+    rest = dealt.join(of("b"), "b").select("a", "part", "b", "text")
+    return first.unionByName(rest).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
