@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import SPAN_SPLIT, tokenize
-from titlecorpus.operators.heavy import is_small, spread_join
+from titlecorpus.operators.heavy import block_count, dealt, is_small, looked_up
 from titlecorpus.schema import MODEL_NAME_DATE_FORMAT
 from titlecorpus.sources import manifest
 
@@ -104,6 +104,13 @@ def row_key(df: DataFrame) -> Column:
     return F.md5(F.concat(*(F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in fields)))
 
 
+def _repeats(toks: Column) -> Column:
+    """Whether a pair of adjacent tokens (the list zipped with itself shifted by one) occurs twice."""
+    m = F.greatest(F.size(toks) - 1, F.lit(0))
+    pairs = F.arrays_zip(F.slice(toks, 1, m), F.slice(toks, 2, m))
+    return F.size(F.array_distinct(pairs)) < F.size(pairs)
+
+
 def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
                 no_repeat_ngram_size: int = 0, n_model_rows: int | None = None,
                 carry=()) -> DataFrame:
@@ -114,12 +121,10 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     least one, so no row is lost.
 
     With a model that Spark broadcasts, explode, weight join and the (sum, count)
-    hash aggregation stay inside the partitions; a larger one meets the counted
-    tokens of the windows in a join that spreads the heavy ones (``spread_join``;
-    the requests tell which are heavy, so a word unseen in training is, too).
-    ``n_model_rows`` is accepted and not needed: sizes are Spark's estimates. No
-    token array is carried past the explode. ``carry``
-    names small columns (functions of the key) kept as extra grouping keys.
+    hash aggregation stay inside the partitions; with a larger one, blocks of
+    rows look up their different tokens (``block_scores``). ``n_model_rows`` is
+    accepted and not needed: sizes are Spark's estimates. No token array is
+    carried past the explode. ``carry`` names small columns (functions of the key) kept as extra grouping keys.
     Equal rows share a key; their tokens add to sum and count alike, which
     leaves the mean.
     """
@@ -131,12 +136,8 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     toks = every.select("_key", *carry, "span_pos", "all", F.explode(F.sequence(F.lit(0), last)).alias("part")).select(
         "_key", *carry, "span_pos", "part", F.slice("all", F.col("part") * max_length + 1, max_length).alias("toks"))
     if no_repeat_ngram_size == 2:
-        # Adjacent token pairs (the list zipped with itself shifted by one);
-        # a window repeating a pair is not a candidate.
-        m = F.greatest(F.size("toks") - 1, F.lit(0))
-        pairs = F.arrays_zip(F.slice("toks", 1, m), F.slice("toks", 2, m))
-        repeats = F.size(F.array_distinct(pairs)) < F.size(pairs)
-        toks = toks.withColumn("toks", F.when(repeats, F.array().cast("array<string>"))
+        # A window repeating a pair is not a candidate.
+        toks = toks.withColumn("toks", F.when(_repeats(F.col("toks")), F.array().cast("array<string>"))
                                .otherwise(F.col("toks")))
     elif no_repeat_ngram_size:
         raise ValueError("no_repeat_ngram_size must be 0 or 2")
@@ -144,12 +145,39 @@ def span_scores(rows: DataFrame, model: DataFrame, max_length: int = 128,
     window = ["_key", "span_pos", "part", *carry]
     weights = model.select("token", "weight")
     n = F.count("token")
-    if is_small(weights):
-        return tokens.join(weights, "token", "left").groupBy(*window).agg(F.when(n > 0, F.sum(F.coalesce("weight", F.when(F.col("token").isNotNull(), 0))) / n).alias("score"))
-    # Each token of a window once, with its number: fewer rows for the shuffle that a large model takes.
-    times = tokens.groupBy(*window, "token").agg(n.alias("n"))
-    weighted = spread_join(times, weights, "token", window)
-    return weighted.groupBy(*window).agg(F.when(F.sum("n") > 0, F.sum(F.coalesce("weight", F.lit(0)) * F.col("n")) / F.sum("n")).alias("score"))
+    return tokens.join(weights, "token", "left").groupBy(*window).agg(F.when(n > 0, F.sum(F.coalesce("weight", F.when(F.col("token").isNotNull(), 0))) / n).alias("score"))
+
+
+def block_scores(rows: DataFrame, model: DataFrame, max_length: int = 128, no_repeat_ngram_size: int = 0) -> DataFrame:
+    """(_key, scores) of the different keys of ``rows`` (_key, text): structs of ``score``, ``span_pos`` and ``part`` as ``span_scores`` gives them.
+
+    For a model too large to broadcast: the text crosses the network once and
+    the different tokens of a block of rows twice (``looked_up``).
+    """
+    spans = F.transform(F.coalesce(F.split("text", SPAN_SPLIT), F.array(F.lit(None).cast("string"))), lambda s: F.coalesce(tokenize(s), F.array().cast("array<string>")))
+    parts = lambda n: F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((n - 1) / F.lit(max_length)).cast("int")))
+    windows = F.flatten(F.transform("_spans", lambda s, i: F.transform(parts(F.size(s)), lambda p: F.struct(
+        i.alias("span_pos"), p.alias("part"), F.slice(s, p * max_length + 1, max_length).alias("toks")))))
+    if no_repeat_ngram_size not in (0, 2):
+        raise ValueError("no_repeat_ngram_size must be 0 or 2")
+    usable = lambda w: w["toks"] if not no_repeat_ngram_size else F.when(~_repeats(w["toks"]), w["toks"]).otherwise(F.array().cast("array<string>"))
+    keyed = rows.select("_key", spans.alias("_spans")).select("_key", windows.alias("_windows")).select(
+        "_key", F.transform("_windows", lambda w: F.struct(w["span_pos"].alias("span_pos"), w["part"].alias("part"))).alias("_places"),
+        F.transform("_windows", lambda w: F.array_join(usable(w), " ")).alias("keys"))
+    blocks = dealt(keyed, "_key", block_count(rows, F.octet_length("text")))
+    found = looked_up(blocks, blocks.dropDuplicates(["_block", "_key"]), model.select("token", "weight"), "token", "weight")
+    total = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0).cast("long")))
+    return found.select("_key", F.zip_with("values", "_places", lambda v, at: F.struct(
+        F.when(F.size(v) > 0, total(v) / F.size(v)).alias("score"), at["span_pos"].alias("span_pos"), at["part"].alias("part"))).alias("scores"))
+
+
+def best_windows(scores: DataFrame, k: int) -> DataFrame:
+    """(_key, span_pos, part, score, beam) of the ``k`` best windows of each row of ``block_scores``; a row without a scored one keeps its first."""
+    first = lambda x: F.struct((-F.coalesce(x["score"], F.lit(-1.0))).alias("low"), x["span_pos"].alias("span_pos"), x["part"].alias("part"), x["score"].alias("score"))
+    ranked = scores.select("_key", F.slice(F.array_sort(F.transform("scores", first)), 1, k).alias("best"))
+    best = ranked.select("_key", F.posexplode("best").alias("place", "w")).select(
+        "_key", "w.span_pos", "w.part", "w.score", (F.col("place") + 1).alias("beam"))
+    return best.where(F.col("score").isNotNull() | (F.col("beam") == 1))
 
 
 def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
@@ -179,14 +207,18 @@ def generate(abstracts: DataFrame, model: DataFrame, max_length: int = 128,
     base = abstracts.withColumn("_key", row_key(abstracts)).repartition("_key")
     carry = list(carry)
     rows = base.select("_key", F.col(id_col).alias("id"), _col(text_col).alias("text"), *carry, *(c.alias(n) for n, c in keep.items()))
-    scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows, ["id", *carry])
-    w = Window.partitionBy("_key").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"), F.col("part"))
-    ranked = scores.withColumn("beam", F.row_number().over(w))
     scored = F.col("score").isNotNull()
-    # Up to k scored windows; a row with none keeps one NULL entry.
-    best = ranked.where(((F.col("beam") <= max(num_beams, 1)) & scored)
-                        | ((F.col("beam") == 1) & ~scored))
-    titled = rows.join(best.drop("id", *carry).hint("shuffle_hash"), "_key", "left")
+    if is_small(model.select("token", "weight")):
+        scores = span_scores(rows, model, max_length, no_repeat_ngram_size, n_model_rows, ["id", *carry])
+        w = Window.partitionBy("_key").orderBy(F.col("score").desc_nulls_last(), F.col("span_pos"), F.col("part"))
+        ranked = scores.withColumn("beam", F.row_number().over(w))
+        # Up to k scored windows; a row with none keeps one NULL entry.
+        best = ranked.where(((F.col("beam") <= max(num_beams, 1)) & scored)
+                            | ((F.col("beam") == 1) & ~scored)).drop("id", *carry)
+    else:
+        keyed = abstracts.withColumn("_key", row_key(abstracts)).select("_key", _col(text_col).alias("text"))
+        best = best_windows(block_scores(keyed, model, max_length, no_repeat_ngram_size), max(num_beams, 1))
+    titled = rows.join(best.hint("shuffle_hash"), "_key", "left")
     title = F.array_join(_window_tokens(F.col("text"), F.col("span_pos"), F.col("part"), max_length), " ")
     cols = ["id", *keep, *carry, *([F.col("text").alias(text_as)] if text_as else []),
             F.when(scored, title).alias("predicted_title"), "score"]
