@@ -1,11 +1,11 @@
 """Vocabulary and fixed-length id sequences (E1-E5).
 
 Ids: 0 = padding, 1 = unknown token, 2.. = vocabulary by descending count,
-ties by token. Encoding explodes the (already truncated) token lists, joins
-the vocabulary -- broadcast where Spark finds it small, else by a shuffle that
-spreads heavy tokens, known or not -- and regroups by row id. The rows are
-hash-partitioned by id first, so with the broadcast the regrouping needs no
-second shuffle.
+ties by token. With a vocabulary that Spark
+broadcasts, encoding explodes the (already truncated) token lists, joins it and
+regroups by row id; the rows are hash-partitioned by id first, so the regrouping
+needs no second shuffle. With a larger one, blocks of rows look their different
+tokens up (``looked_up``): no row a token crosses the network.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlecorpus.functions.text import tokenize
-from titlecorpus.operators.heavy import spread_join
+from titlecorpus.operators.heavy import block_count, dealt, is_small, looked_up
 from titlecorpus.operators.rank import global_rank
 
 PAD_ID = 0
@@ -57,6 +57,26 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
     keep = list(keep)
     tokenized = df.select(F.col(id_col).alias("_id"), *keep, toks(input_col, input_len).alias("_in"),
                           toks(target_col, label_len).alias("_lab"))
+    # Padding sits only on the right and real ids are never 0, so masking the
+    # padding is padding with -100 directly.
+    padded = [_pad(F.col("_in"), input_len).alias("input_ids"),
+              _pad(F.col("_lab"), label_len, LABEL_IGNORE if mask_pad else PAD_ID).alias("labels")]
+    table = vocab.select("token", "token_id")
+    if not is_small(table):
+        sides = tokenized.select("_id", *keep, F.array(F.array_join("_in", " "), F.array_join("_lab", " ")).alias("keys"))
+        size = lambda col, length: F.coalesce(F.least(F.octet_length(col), F.lit(8 * length)), F.lit(0))
+        blocks = dealt(sides, "_id", block_count(df, size(input_col, input_len) + size(target_col, label_len)))
+        one = blocks.groupBy("_block", "_id", *keep).agg(F.flatten(F.collect_list("keys")).alias("keys"))
+        found = looked_up(blocks, one, table, "token", "token_id")
+
+        def merged(side):
+            # Rows of one id merge: by position, then id.
+            of_side = F.transform(F.filter("values", lambda v, i: i % 2 == side),
+                                  lambda v: F.transform(v, lambda x, pos: F.struct(pos.alias("pos"), F.coalesce(x, F.lit(UNK_ID)).alias("tid"))))
+            return F.when(F.size("values") == 2, F.transform(F.get("values", F.lit(side)), lambda x: F.coalesce(x, F.lit(UNK_ID)))) \
+                .otherwise(F.array_sort(F.flatten(of_side)).getField("tid"))
+
+        return found.select("_id", *keep, merged(0).alias("_in"), merged(1).alias("_lab")).select(F.col("_id").alias(id_col), *keep, *padded)
     # Inputs then labels in one array; the position tells the side apart.
     rows = tokenized.select("_id", *keep, F.concat("_in", "_lab").alias("_items"),
                             F.size("_in").alias("_n_in")).repartition("_id")
@@ -68,7 +88,7 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
         "_id", *keep, "token",
         F.when(is_label, 1).when(~is_label, 0).alias("side"),
         F.when(is_label, F.col("_p") - F.col("_n_in")).otherwise(F.col("_p")).alias("pos"))
-    joined = spread_join(exploded, vocab.select("token", "token_id"), "token", ["_id", "side", "pos"])
+    joined = exploded.join(table, "token", "left")
     ids = joined.withColumn("tid", F.when(F.col("token").isNull(), F.lit(None))
                             .otherwise(F.coalesce("token_id", F.lit(UNK_ID))))
 
@@ -78,12 +98,7 @@ def encode(df: DataFrame, vocab: DataFrame, input_col: str = "input_text",
         return F.array_sort(picked).getField("tid")
 
     grouped = ids.groupBy("_id", *keep).agg(side_ids(0).alias("_in"), side_ids(1).alias("_lab"))
-    # Padding sits only on the right and real ids are never 0, so masking the
-    # padding is padding with -100 directly.
-    labels = _pad(F.col("_lab"), label_len, LABEL_IGNORE if mask_pad else PAD_ID)
-    return grouped.select(F.col("_id").alias(id_col), *keep,
-                          _pad(F.col("_in"), input_len).alias("input_ids"),
-                          labels.alias("labels"))
+    return grouped.select(F.col("_id").alias(id_col), *keep, *padded)
 
 
 def save_vocab(vocab: DataFrame, path: str) -> DataFrame:
@@ -101,13 +116,26 @@ def decode(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids", id_col:
     """(id, text): the tokens of the ids, a space between. Padding and masked
     labels are left out, and unknown tokens too unless ``unknown`` names a text
     for them. Every row comes out; one without tokens has an empty text."""
-    rows = df.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids")).repartition("_id")
+    table = vocab.select("token", "token_id")
+    given = df.select(F.col(id_col).alias("_id"), F.col(ids_col).alias("_ids"))
+    if not is_small(table):
+        ids = f"array<{dict(table.dtypes)['token_id']}>"
+        keyed = given.select("_id", F.array(F.coalesce(F.col("_ids").cast(ids), F.array().cast(ids))).alias("keys"))
+        blocks = dealt(keyed, "_id", block_count(given, 8 * F.size("_ids")))
+        one = blocks.groupBy("_block", "_id").agg(F.flatten(F.collect_list("keys")).alias("keys")).withColumn("_ids", F.col("keys"))
+        found = looked_up(blocks, one, table, "token_id", "token")
+        name = lambda x, y: F.when(y == UNK_ID, F.lit(unknown)).when(y > UNK_ID, x)
+        shown = F.zip_with("values", "_ids", lambda v, i: F.zip_with(v, i, name))
+        merged = F.array_sort(F.flatten(F.transform("shown", lambda v: F.filter(F.transform(
+            v, lambda x, pos: F.struct(pos.alias("pos"), x.alias("shown"))), lambda p: p["shown"].isNotNull())))).getField("shown")
+        return found.select("_id", shown.alias("shown")).select(
+            F.col("_id").alias(id_col), F.array_join(F.when(F.size("shown") == 1, F.get("shown", F.lit(0))).otherwise(merged), " ").alias(to))
+    rows = given.repartition("_id")
     coded = rows.select("_id", F.posexplode_outer("_ids").alias("pos", "token_id"))
     coded = coded.withColumn("token_id", F.when(F.col("token_id") > UNK_ID, F.col("token_id")).when(F.col("token_id") == UNK_ID, UNK_ID))
-    table = vocab.select("token", "token_id")
     # Padding and unknown ids are no tokens: their rows have no key and match nothing.
     known = coded.withColumn("_unknown", F.col("token_id") == UNK_ID).withColumn("token_id", F.when(F.col("token_id") > UNK_ID, F.col("token_id")))
-    named = spread_join(known, table, "token_id", ["_id", "pos"])
+    named = known.join(table, "token_id", "left")
     shown = F.when(F.col("_unknown"), F.lit(unknown)).otherwise(F.col("token"))
     named = named.withColumn("shown", shown)
     picked = F.collect_list(F.when(F.col("shown").isNotNull(), F.struct("pos", "shown")))

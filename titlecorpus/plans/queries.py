@@ -284,7 +284,9 @@ def q_decode_ids(spark, sf):
     """Encoded inputs decoded again: the first INPUT_LEN tokens, unknown ones marked."""
     pairs = _pairs(spark, sf)
     vocab = encode.save_vocab(_vocab(spark, sf), work_path(spark, "vocab"))
-    return encode.decode(encode.encode(pairs, vocab, input_len=INPUT_LEN, label_len=LABEL_LEN), vocab, unknown=UNKNOWN)
+    path = work_path(spark, "encoded")
+    encode.encode(pairs, vocab, input_len=INPUT_LEN, label_len=LABEL_LEN).write.parquet(path)
+    return encode.decode(spark.read.parquet(path), vocab, unknown=UNKNOWN)
 
 
 def q_sample_nine_tenths(spark, sf):
